@@ -315,3 +315,407 @@ WHERE fs.order_date <= {O.AS_OF_SQL}
 GROUP BY 1, 2, 3"""))
 def q_forecast_actuals(spark, sf_dir):
     return _wh(spark, sf_dir).forecast_actuals()
+
+
+# ------------------------------------------------------------ forecasting
+from quillmart.operators import forecast as FC  # noqa: E402
+from quillmart.operators import quality as QC  # noqa: E402
+from quillmart.operators import reports as RP  # noqa: E402
+
+UPSERT_OLD_CUTOFF = "2000-10-01"  # the earlier forecast run saw months before this
+
+
+@register("monthly_series", O.sql_for("SELECT * FROM fc_series"))
+def q_monthly_series(spark, sf_dir):
+    return _wh(spark, sf_dir).series
+
+
+@register("forecast_linear", O.sql_for(O.linear_forecast_sql("fc_series")))
+def q_forecast_linear(spark, sf_dir):
+    return FC.forecast_linear(_wh(spark, sf_dir).series)
+
+
+@register("forecast_holt_winters", None)
+def q_forecast_holt_winters(spark, sf_dir):
+    return FC.forecast_holt_winters(_wh(spark, sf_dir).series)
+
+
+_UP = {
+    "up_old_series": f"SELECT * FROM fc_series WHERE revenue_month < DATE '{UPSERT_OLD_CUTOFF}'",
+    "up_old": O.linear_forecast_sql("up_old_series"),
+    "up_new": O.linear_forecast_sql("fc_series"),
+    "up_existing": """
+SELECT * FROM fa_actuals
+UNION ALL
+SELECT *, CAST(NULL AS TIMESTAMP) AS _updated_at FROM up_old""",
+}
+
+
+@register("forecast_upsert", O.sql_for("""
+SELECT * FROM up_existing e
+WHERE NOT COALESCE(e.is_forecast
+                   AND e.revenue_month IN (SELECT revenue_month FROM up_new)
+                   AND e.product_line IN (SELECT product_line FROM up_new), FALSE)
+UNION ALL
+SELECT *, CAST(NULL AS TIMESTAMP) AS _updated_at FROM up_new""", _UP))
+def q_forecast_upsert(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    old = FC.forecast_linear(w.series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
+    existing = w.actuals.unionByName(old, allowMissingColumns=True)
+    return FC.upsert_forecast(existing, FC.forecast_linear(w.series))
+
+
+@register("forecast_levels", O.sql_for("""
+SELECT revenue_month,
+       CASE WHEN GROUPING(product_line, therapeutic_area) = 3 THEN 'company'
+            WHEN GROUPING(product_line, therapeutic_area) = 1 THEN 'product_line'
+            ELSE 'therapeutic_area' END AS level,
+       CASE WHEN GROUPING(product_line, therapeutic_area) = 3 THEN 'ALL'
+            WHEN GROUPING(product_line, therapeutic_area) = 1 THEN product_line
+            ELSE therapeutic_area END AS series,
+       concat_ws(':',
+           CASE WHEN GROUPING(product_line, therapeutic_area) = 3 THEN 'company'
+                WHEN GROUPING(product_line, therapeutic_area) = 1 THEN 'product_line'
+                ELSE 'therapeutic_area' END,
+           COALESCE(CASE WHEN GROUPING(product_line, therapeutic_area) = 3 THEN 'ALL'
+                         WHEN GROUPING(product_line, therapeutic_area) = 1 THEN product_line
+                         ELSE therapeutic_area END, 'NULL')) AS series_key,
+       CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue
+FROM fa_actuals
+WHERE NOT is_forecast AND revenue_month IS NOT NULL
+GROUP BY GROUPING SETS ((revenue_month), (revenue_month, product_line),
+                        (revenue_month, therapeutic_area))"""))
+def q_forecast_levels(spark, sf_dir):
+    return FC.forecast_levels(_wh(spark, sf_dir).actuals)
+
+
+@register("forecast_levels_fit", None)
+def q_forecast_levels_fit(spark, sf_dir):
+    lv = FC.forecast_levels(_wh(spark, sf_dir).actuals)
+    return FC.forecast_holt_winters(lv.select("revenue_month", "series_key", "revenue"), key="series_key")
+
+
+# ---------------------------------------------------------- data quality
+def raw_checks() -> dict[str, list[tuple]]:
+    from quillmart.constants import EVENT_TYPES, SEGMENTS, TIERS
+    u, nn = "unique", "not_null"
+    return {
+        "territories": [("territory_id", u, None), ("territory_id", nn, None)],
+        "products": [("product_id", u, None), ("product_id", nn, None),
+                     ("product_code", u, None), ("product_code", nn, None)],
+        "customers": [("customer_id", u, None), ("customer_id", nn, None),
+                      ("segment", "accepted_values", SEGMENTS), ("tier", "accepted_values", TIERS)],
+        "reps": [("rep_id", u, None), ("rep_id", nn, None)],
+        "orders": [("order_id", u, None), ("order_id", nn, None), ("order_date", nn, None)],
+        "costs": [("cost_id", u, None), ("cost_id", nn, None)],
+        "returns": [("return_id", u, None), ("return_id", nn, None)],
+        "mrr_events": [("event_id", u, None), ("event_id", nn, None),
+                       ("event_type", "accepted_values", EVENT_TYPES)],
+    }
+
+
+def silver_checks() -> dict[str, list[tuple]]:
+    from quillmart.constants import EVENT_TYPES, VALUE_TIERS
+    def key(*cols):
+        return [c for col in cols for c in ((col, "unique", None), (col, "not_null", None))]
+    return {
+        "dim_date": key("date_key", "date_day"),
+        "dim_product": key("product_key", "product_id") + [("value_tier", "accepted_values", VALUE_TIERS)],
+        "dim_customer": key("customer_key", "customer_id"),
+        "dim_rep": key("rep_key", "rep_id") + [("annual_quota", "greater_than", 0)],
+        "dim_territory": key("territory_key", "territory_id"),
+        "fact_sales": key("sales_key", "order_id") + [("net_revenue", "greater_than", 0),
+                                                      ("units_sold", "at_least", 1)],
+        "fact_cogs": key("cogs_key"),
+        "fact_mrr": key("mrr_key") + [("event_type", "accepted_values", EVENT_TYPES)],
+    }
+
+
+def _dq_sql() -> str:
+    parts = []
+    specs = {**{f"raw_{t}": c for t, c in raw_checks().items()}, **silver_checks()}
+    for table, checks in specs.items():
+        name = table[4:] if table.startswith("raw_") else table
+        for col, chk, arg in checks:
+            if chk == "unique":
+                v = (f"(SELECT COUNT(*) FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL "
+                     f"GROUP BY {col} HAVING COUNT(*) > 1) x)")
+            elif chk == "not_null":
+                v = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NULL)"
+            elif chk == "accepted_values":
+                vals = ", ".join(f"'{a}'" for a in arg)
+                v = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}))"
+            elif chk == "greater_than":
+                v = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NOT NULL AND NOT ({col} > {arg}))"
+            else:
+                v = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NOT NULL AND NOT ({col} >= {arg}))"
+            parts.append(f"SELECT '{name}' AS table_name, '{chk}' AS check_name, '{col}' AS column_name, "
+                         f"CAST({v} AS BIGINT) AS violations")
+    body = "\nUNION ALL\n".join(parts)
+    return O.sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{body}\n) t")
+
+
+@register("dq_report", _dq_sql())
+def q_dq_report(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    tables = {**{t: w.raw[t] for t in raw_checks()},
+              "dim_date": w.dims["date"], "dim_product": w.dims["product"],
+              "dim_customer": w.dims["customer"], "dim_rep": w.dims["rep"],
+              "dim_territory": w.dims["territory"], "fact_sales": w.fact_sales,
+              "fact_cogs": w.fact_cogs, "fact_mrr": w.fact_mrr}
+    return QC.dq_report(tables, {**raw_checks(), **silver_checks()})
+
+
+@register("dq_unique_violations", O.sql_for("""
+SELECT 'orders' AS table_name, 'order_id' AS column_name, CAST(order_id AS VARCHAR) AS value,
+       CAST(COUNT(*) AS BIGINT) AS n_records
+FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'costs', 'product_month', product_id || '@' || CAST(cost_month AS VARCHAR), CAST(COUNT(*) AS BIGINT)
+FROM (SELECT CAST(product_id AS VARCHAR) AS product_id, cost_month FROM raw_costs) c
+GROUP BY product_id, cost_month HAVING COUNT(*) > 1"""))
+def q_dq_unique_violations(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    pm = w.raw["costs"].select(
+        F.concat_ws("@", F.col("product_id").cast("string"), F.col("cost_month").cast("string"))
+        .alias("product_month"))
+    return (QC.unique_violations(w.raw["orders"], "orders", "order_id")
+            .unionByName(QC.unique_violations(pm, "costs", "product_month")))
+
+
+_FKS = [
+    ("orders", "product_id", "products", "product_id"),
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("orders", "rep_id", "reps", "rep_id"),
+    ("orders", "territory_id", "territories", "territory_id"),
+    ("customers", "territory_id", "territories", "territory_id"),
+    ("reps", "territory_id", "territories", "territory_id"),
+    ("costs", "product_id", "products", "product_id"),
+    ("returns", "order_id", "orders", "order_id"),
+    ("mrr_events", "customer_id", "customers", "customer_id"),
+    ("mrr_events", "product_id", "products", "product_id"),
+]
+
+
+@register("dq_orphans", O.sql_for("\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS table_name, '{fk}' AS column_name, CAST(x.{fk} AS VARCHAR) AS value,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM raw_{c} x WHERE x.{fk} IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM raw_{p} y WHERE y.{pk} = x.{fk})
+GROUP BY x.{fk}""" for c, fk, p, pk in _FKS)))
+def q_dq_orphans(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    out = None
+    for c, fk, p, pk in _FKS:
+        part = QC.orphans(w.raw[c], c, fk, w.raw[p], pk)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("dq_margin_bounds", O.sql_for("""
+SELECT product_id, cost_month, gross_margin_pct FROM fact_cogs
+WHERE gross_margin_pct < -50 OR gross_margin_pct > 100"""))
+def q_dq_margin_bounds(spark, sf_dir):
+    return QC.margin_out_of_bounds(_wh(spark, sf_dir).fact_cogs)
+
+
+@register("dq_mrr_non_negative", O.sql_for("""
+SELECT event_id, event_type, mrr_amount FROM fact_mrr
+WHERE event_type NOT IN ('churn', 'contraction') AND mrr_amount <= 0"""))
+def q_dq_mrr_non_negative(spark, sf_dir):
+    return QC.mrr_non_positive(_wh(spark, sf_dir).fact_mrr)
+
+
+@register("dq_future_actuals", O.sql_for(f"""
+SELECT order_id, order_date FROM stg_orders WHERE order_date > {O.AS_OF_SQL}"""))
+def q_dq_future_actuals(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return QC.future_actuals(w.stg["orders"], as_of=w.as_of)
+
+
+@register("dq_order_invariants", O.sql_for("""
+SELECT order_id, rule FROM (
+  SELECT order_id, CASE WHEN net_amount > gross_amount THEN 'net_above_gross' END AS rule FROM raw_orders
+  UNION ALL
+  SELECT order_id, CASE WHEN NOT (discount_pct > 0 AND discount_pct < 1) THEN 'discount_out_of_range' END
+  FROM raw_orders
+) r WHERE rule IS NOT NULL
+UNION ALL
+SELECT r.order_id, 'return_without_order' FROM raw_returns r
+WHERE NOT EXISTS (SELECT 1 FROM raw_orders o WHERE o.order_id = r.order_id)"""))
+def q_dq_order_invariants(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return QC.order_invariants(w.raw["orders"], w.raw["returns"])
+
+
+# ---------------------------------------------------------------- reports
+_SS = {
+    "ss_g": f"""
+SELECT CAST(date_trunc('month', fs.order_date) AS DATE) AS revenue_month, dp.product_line,
+       dt.territory_name,
+       CAST(SUM(fs.final_net_revenue) AS DECIMAL(18,2)) AS revenue,
+       CAST(SUM(fs.net_units) AS BIGINT) AS units
+FROM fact_sales fs
+LEFT JOIN dim_product dp ON fs.product_key = dp.product_key
+LEFT JOIN dim_territory dt ON fs.territory_key = dt.territory_key
+WHERE fs.order_date <= {O.AS_OF_SQL}
+GROUP BY 1, 2, 3""",
+}
+
+
+def _same_series(a: str, b: str) -> str:
+    return (f"{a}.product_line IS NOT DISTINCT FROM {b}.product_line "
+            f"AND {a}.territory_name IS NOT DISTINCT FROM {b}.territory_name")
+
+
+@register("sales_summary", O.sql_for(f"""
+SELECT g.revenue_month, g.product_line, g.territory_name, g.revenue, g.units,
+       pm.revenue AS prior_month_revenue, py.revenue AS prior_year_revenue,
+       CASE WHEN pm.revenue > 0
+            THEN {O.pct(O.cents('g.revenue') + ' - ' + O.cents('pm.revenue'), O.cents('pm.revenue'))} END
+            AS mom_growth_pct,
+       CASE WHEN py.revenue > 0
+            THEN {O.pct(O.cents('g.revenue') + ' - ' + O.cents('py.revenue'), O.cents('py.revenue'))} END
+            AS yoy_growth_pct
+FROM ss_g g
+LEFT JOIN ss_g pm ON {_same_series('pm', 'g')}
+                 AND pm.revenue_month = CAST(g.revenue_month - INTERVAL 1 MONTH AS DATE)
+LEFT JOIN ss_g py ON {_same_series('py', 'g')}
+                 AND py.revenue_month = CAST(g.revenue_month - INTERVAL 12 MONTH AS DATE)""", _SS))
+def q_sales_summary(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.sales_summary(w.fact_sales, w.dims, as_of=w.as_of)
+
+
+@register("rep_performance", O.sql_for(f"""
+SELECT r.rep_id, r.rep_name, r.region, g.year, g.revenue, g.order_lines, r.annual_quota,
+       CASE WHEN r.annual_quota > 0 THEN {O.pct(O.cents('g.revenue'), O.cents('r.annual_quota'))} END
+            AS quota_attainment_pct,
+       CAST(rank() OVER (PARTITION BY r.region, g.year ORDER BY g.revenue DESC) AS INTEGER) AS rank_in_region
+FROM (SELECT rep_key, CAST(year(order_date) AS INTEGER) AS year,
+             CAST(SUM(final_net_revenue) AS DECIMAL(18,2)) AS revenue,
+             CAST(COUNT(order_id) AS BIGINT) AS order_lines
+      FROM fact_sales GROUP BY 1, 2) g
+LEFT JOIN dim_rep r ON g.rep_key = r.rep_key"""))
+def q_rep_performance(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.rep_performance(w.fact_sales, w.dims)
+
+
+@register("territory_health", O.sql_for(f"""
+SELECT t.territory_id, t.territory_name, t.region, t.zone, g.revenue, g.customers, g.reps,
+       g.order_lines,
+       CASE WHEN g.disc_n > 0 THEN {O.from_cents(O.div_round('g.disc_u', 'g.disc_n * 100'))} END
+            AS avg_discount_pct,
+       g.units_sold, g.units_returned,
+       CASE WHEN g.units_sold > 0 THEN {O.pct('g.units_returned', 'g.units_sold')} END AS return_rate_pct
+FROM (SELECT territory_key,
+             CAST(SUM(final_net_revenue) AS DECIMAL(18,2)) AS revenue,
+             CAST(COUNT(DISTINCT customer_key) AS BIGINT) AS customers,
+             CAST(COUNT(DISTINCT rep_key) AS BIGINT) AS reps,
+             CAST(COUNT(*) AS BIGINT) AS order_lines,
+             CAST(SUM(CAST(ROUND(discount_pct * 1000000) AS BIGINT)) AS BIGINT) AS disc_u,
+             CAST(COUNT(discount_pct) AS BIGINT) AS disc_n,
+             CAST(SUM(units_sold) AS BIGINT) AS units_sold,
+             CAST(SUM(units_returned) AS BIGINT) AS units_returned
+      FROM fact_sales GROUP BY 1) g
+LEFT JOIN dim_territory t ON g.territory_key = t.territory_key"""))
+def q_territory_health(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.territory_health(w.fact_sales, w.dims)
+
+
+@register("returns_by_reason", O.sql_for(f"""
+SELECT r.return_reason, CAST(COUNT(*) AS BIGINT) AS return_count,
+       CAST(SUM(r.quantity_returned) AS BIGINT) AS units_returned,
+       CAST(SUM(r.quantity_returned * o.net_price) AS DECIMAL(18,2)) AS returned_value,
+       {O.pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_of_returns_pct
+FROM stg_returns r LEFT JOIN stg_orders o ON r.order_id = o.order_id
+GROUP BY 1"""))
+def q_returns_by_reason(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.returns_by_reason(w.stg["returns"], w.stg["orders"])
+
+
+@register("cost_variance", O.sql_for(f"""
+SELECT c.cost_month, p.product_line, CAST(COUNT(*) AS BIGINT) AS products,
+       CAST(SUM(c.standard_cost) AS DECIMAL(18,2)) AS total_standard_cost,
+       CAST(SUM(c.actual_cost) AS DECIMAL(18,2)) AS total_actual_cost,
+       CAST(SUM(c.actual_cost) - SUM(c.standard_cost) AS DECIMAL(18,2)) AS total_variance,
+       {O.pct(O.cents('SUM(c.actual_cost) - SUM(c.standard_cost)'), O.cents('SUM(c.standard_cost)'), 4)}
+            AS variance_pct
+FROM stg_costs c LEFT JOIN dim_product p ON c.product_id = p.product_id
+GROUP BY 1, 2"""))
+def q_cost_variance(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.cost_variance(w.stg["costs"], w.dims["product"])
+
+
+@register("order_pricing", O.sql_for(f"""
+SELECT order_id, quantity, list_price, discount_pct, net_price, gross_amount, net_amount,
+       CAST(gross_amount - net_amount AS DECIMAL(18,2)) AS discount_amount,
+       CASE WHEN gross_amount > 0
+            THEN {O.pct(O.cents('gross_amount') + ' - ' + O.cents('net_amount'), O.cents('gross_amount'), 4)}
+            END AS effective_discount_pct
+FROM raw_orders"""))
+def q_order_pricing(spark, sf_dir):
+    return RP.order_pricing(_wh(spark, sf_dir).raw["orders"])
+
+
+@register("seasonality_index", O.sql_for("""
+SELECT month_num, months, revenue,
+       ROUND((CAST(revenue AS DOUBLE) / months)
+             / (CAST(SUM(revenue) OVER () AS DOUBLE) / SUM(months) OVER ()), 4) AS seasonality_index
+FROM (SELECT CAST(month(revenue_month) AS INTEGER) AS month_num,
+             CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue, CAST(COUNT(*) AS BIGINT) AS months
+      FROM (SELECT revenue_month, CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue
+            FROM fa_actuals WHERE NOT is_forecast AND revenue_month IS NOT NULL GROUP BY 1) m
+      GROUP BY 1) s"""))
+def q_seasonality_index(spark, sf_dir):
+    return RP.seasonality_index(_wh(spark, sf_dir).actuals)
+
+
+# ------------------------------------------------------ dedupe / increments
+_DELIV = {
+    "deliveries": f"""
+SELECT *, {O.RUN_TS_SQL} AS _loaded_at FROM raw_orders
+UNION ALL
+SELECT o.order_id, o.order_date, o.product_id, o.customer_id, o.rep_id, o.territory_id,
+       CAST(o.quantity - r.total_returned_qty AS INTEGER) AS quantity,
+       o.list_price, o.discount_pct, o.net_price,
+       CAST(o.gross_amount - r.total_returned_qty * o.list_price AS DECIMAL(14,2)) AS gross_amount,
+       CAST(o.net_amount - r.total_returned_qty * o.net_price AS DECIMAL(14,2)) AS net_amount,
+       TIMESTAMP '2001-01-02 01:30:00' AS _loaded_at
+FROM raw_orders o JOIN returns_agg r ON o.order_id = r.order_id""",
+}
+
+
+@register("dedupe_latest", O.sql_for("""
+SELECT order_id, order_date, product_id, customer_id, rep_id, territory_id, quantity, list_price,
+       discount_pct, net_price, gross_amount, net_amount, _loaded_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _loaded_at DESC) AS rn
+      FROM deliveries) d
+WHERE rn = 1""", _DELIV))
+def q_dedupe_latest(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return RP.dedupe_latest(w.order_deliveries, ["order_id"], ["_loaded_at"])
+
+
+@register("incremental_load", O.sql_for(f"""
+SELECT * FROM deliveries WHERE _loaded_at > {O.RUN_TS_SQL}""", _DELIV))
+def q_incremental_load(spark, sf_dir):
+    """Stream both deliveries through the incremental staging (availableNow) and read the sink."""
+    import os
+    from quillmart.session import scratch_path
+    from quillmart.streaming.incremental import stream_increment
+    w = _wh(spark, sf_dir)
+    base = scratch_path(spark, "incremental")
+    src = os.path.join(base, "drops")
+    w.order_deliveries.write.mode("overwrite").parquet(src)
+    sink = os.path.join(base, "sink")
+    stream_increment(spark, src, sink, os.path.join(base, "checkpoint"),
+                     schema=w.order_deliveries.schema, watermark=RUN_TS_LIT)
+    return spark.read.schema(w.order_deliveries.schema).parquet(sink)
+
+
+RUN_TS_LIT = "2001-01-01 01:30:00"

@@ -137,3 +137,38 @@ class Warehouse:
     def forecast_actuals(self) -> DataFrame:
         return M.forecast_actuals(self.fact_sales, self.dims["product"], as_of=self.as_of,
                                   updated_at=self.loaded_at)
+
+    # ---------------------------------------------------------- forecasts
+    @cached_property
+    def actuals(self) -> DataFrame:
+        return self.forecast_actuals()
+
+    @cached_property
+    def series(self) -> DataFrame:
+        from quillmart.operators.forecast import monthly_series
+        return monthly_series(self.actuals)
+
+    # ------------------------------------------------------ re-deliveries
+    @cached_property
+    def order_deliveries(self) -> DataFrame:
+        """Two deliveries of raw orders: the original load, and a later
+        restatement of every returned line (quantity and amounts net of the
+        returned units). Used by the dedupe and incremental operators."""
+        from pyspark.sql import functions as F
+        from quillmart.functions.exact import MONEY
+        o = self.raw["orders"]
+        first = o.withColumn("_loaded_at", F.lit(RUN_TS).cast("timestamp_ntz"))
+        ret = FX.returns_by_order(self.stg["returns"])
+        q = F.col("total_returned_qty")
+        restated = o.join(ret, "order_id", "inner").select(
+            "order_id", "order_date", "product_id", "customer_id", "rep_id", "territory_id",
+            (F.col("quantity") - q).cast("int").alias("quantity"),
+            "list_price", "discount_pct", "net_price",
+            (F.col("gross_amount") - q * F.col("list_price")).cast("decimal(14,2)").alias("gross_amount"),
+            (F.col("net_amount") - q * F.col("net_price")).cast("decimal(14,2)").alias("net_amount"),
+            F.lit(RESTATE_TS).cast("timestamp_ntz").alias("_loaded_at"),
+        )
+        return first.unionByName(restated)
+
+
+RESTATE_TS = "2001-01-02 01:30:00"
