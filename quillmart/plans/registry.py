@@ -719,3 +719,80 @@ def q_incremental_load(spark, sf_dir):
 
 
 RUN_TS_LIT = "2001-01-01 01:30:00"
+
+
+# ------------------------------------------------------------ ingest / export
+def _typed_schema(df: DataFrame):
+    return df.schema
+
+
+@register("load_daily_csv", O.sql_for("SELECT * FROM stg_orders"))
+def q_load_daily_csv(spark, sf_dir):
+    """Round trip: raw orders → daily CSV drops (one folder per day) → read all days → stage."""
+    from quillmart.operators.staging import stage_orders
+    from quillmart.session import scratch_path
+    from quillmart.sources import csv_ingest as CI
+    w = _wh(spark, sf_dir)
+    raw_dir = scratch_path(spark, "raw")
+    orders = w.raw["orders"]
+    CI.write_daily(orders, raw_dir, "orders", "order_date", grain="month")
+    back = CI.read_daily(spark, raw_dir, "orders", schema=orders.schema)
+    return stage_orders(back, w.loaded_at)
+
+
+@register("load_idempotent", O.sql_for("SELECT * FROM stg_returns"))
+def q_load_idempotent(spark, sf_dir):
+    """The same daily drops loaded twice give the same rows (partition overwrite)."""
+    from quillmart.operators.staging import stage_returns
+    from quillmart.session import scratch_path
+    from quillmart.sources import csv_ingest as CI
+    w = _wh(spark, sf_dir)
+    raw_dir = scratch_path(spark, "raw")
+    ret = w.raw["returns"]
+    CI.write_daily(ret, raw_dir, "returns", "return_date", grain="month")
+    CI.write_daily(ret, raw_dir, "returns", "return_date", grain="month")
+    back = CI.read_daily(spark, raw_dir, "returns", schema=ret.schema)
+    return stage_returns(back, w.loaded_at)
+
+
+def _mart_count_sql() -> str:
+    marts = {
+        "mart_sales_performance": "SELECT COUNT(*) FROM fact_sales",
+        "mart_cogs_margin": "SELECT COUNT(*) FROM fact_cogs",
+        "mart_customer_health": ("SELECT COUNT(*) FROM dim_customer dc "
+                                 "LEFT JOIN ch_monthly_orders mo ON dc.customer_id = mo.customer_id"),
+        "mart_mrr_waterfall": "SELECT COUNT(DISTINCT event_month) + MAX(CASE WHEN event_month IS NULL THEN 1 ELSE 0 END) FROM fact_mrr",
+        "mart_time_intelligence": "SELECT COUNT(*) FROM ti_daily",
+        "mart_forecast": ("SELECT (SELECT COUNT(*) FROM fa_actuals) + 6 * "
+                          "(SELECT COUNT(DISTINCT product_line) FROM fc_series)"),
+    }
+    body = "\nUNION ALL\n".join(f"SELECT '{k}' AS table_name, CAST(({v}) AS BIGINT) AS row_count"
+                                for k, v in marts.items())
+    return O.sql_for(body, {**_CH, **_TI})
+
+
+@register("export_roundtrip", _mart_count_sql())
+def q_export_roundtrip(spark, sf_dir):
+    """Export the six marts as dated snappy Parquet, read each back, count rows."""
+    import datetime as dt
+    from quillmart.session import scratch_path
+    from quillmart.sources.export import export_all
+    w = _wh(spark, sf_dir)
+    forecast = FC.upsert_forecast(w.actuals, FC.forecast_holt_winters(w.series))
+    marts = {
+        "mart_sales_performance": w.sales_performance(),
+        "mart_cogs_margin": w.cogs_margin(),
+        "mart_customer_health": w.customer_health(),
+        "mart_mrr_waterfall": w.mrr_waterfall(),
+        "mart_time_intelligence": w.time_intelligence(),
+        "mart_forecast": forecast,
+    }
+    res = export_all(marts, scratch_path(spark, "export"), dt.date(2001, 1, 1))
+    if res["failed"]:
+        raise RuntimeError(f"export failed: {res['failed']}")
+    out = None
+    for name, path in res["ok"]:
+        part = spark.read.parquet(path).groupBy().count().select(
+            F.lit(name).alias("table_name"), F.col("count").cast("bigint").alias("row_count"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -110,15 +110,19 @@ def read_daily(spark: SparkSession, raw_dir: str, table: str, date: dt.date | No
     return _project(df, table, schema)
 
 
-def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str) -> None:
-    """Write a table as CSV drops partitioned by day; re-writing a day replaces it.
-
-    Dynamic partition overwrite makes a re-run of the same days idempotent.
-    A rebalance on the day lets AQE split a hot day over several tasks and
-    pack small days together, instead of one task per day.
+def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: str = "day") -> None:
+    """Write a table as CSV drops partitioned by load date; re-writing a drop replaces it.
+
+    ``grain="month"`` groups a month of days into one drop (the partition
+    value is the month's first day). Dynamic partition overwrite makes a
+    re-run of the same drops idempotent. A rebalance on the drop date lets AQE
+    split a hot day over several tasks and pack small days together, instead
+    of one task per day.
     """
+    day = F.col(date_col).cast("date")
+    part = F.trunc(day, "month") if grain == "month" else day
     out = df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table] if c in df.columns],
-                    F.col(date_col).cast("date").alias("load_date"))
+                    part.alias("load_date"))
     (out.hint("rebalance", "load_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_date")
      .option("header", "true").option("nullValue", "").option("emptyValue", "")
