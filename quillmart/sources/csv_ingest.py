@@ -43,6 +43,58 @@ def _fs_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matched by a glob; a matched directory contributes its part files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(conf)
+    out = []
+    for st in fs.globStatus(path) or []:
+        if st.isDirectory():
+            for child in fs.listStatus(st.getPath()):
+                name = child.getPath().getName()
+                if child.isFile() and not name.startswith(("_", ".")):
+                    out.append(child.getPath().toString())
+        else:
+            out.append(st.getPath().toString())
+    return sorted(out)
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """First line of a file (metadata-sized read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine() or ""
+    finally:
+        stream.close()
+    return tuple(c.strip().strip('"') for c in line.split(","))
+
+
+def _scan_by_header(spark: SparkSession, pattern: str) -> list[DataFrame]:
+    """One CSV scan per distinct header among the matched files.
+
+    Spark applies one header to every file of a scan, while drops may order
+    or name their columns differently; grouping files by header (usually a
+    single group) keeps the by-name column match exact.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in _csv_files(spark, pattern):
+        groups.setdefault(_header(spark, f), []).append(f)
+    return [spark.read.options(**_CSV_OPTS).csv(files) for files in groups.values()]
+
+
+def _union(dfs: list[DataFrame]) -> DataFrame:
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
 def _project(df: DataFrame, table: str, schema: T.StructType | None,
              keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns by name in load order; missing → NULL; then explicit casts."""
@@ -68,8 +120,7 @@ def read_csv(spark: SparkSession, pattern: str, table: str,
     """Scan CSV files (header row) as text and project the table's columns."""
     if not _fs_exists(spark, pattern):
         return _empty(spark, table, schema)
-    df = spark.read.options(**_CSV_OPTS).csv(pattern)  # every column read as text
-    out = _project(df, table, schema)
+    out = _union([_project(df, table, schema) for df in _scan_by_header(spark, pattern)])
     if observe is not None:
         out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
     return out
@@ -93,10 +144,11 @@ def read_dated(spark: SparkSession, raw_dir: str, table: str, date: dt.date | No
     pattern = os.path.join(raw_dir, sub, f"{table}.csv")
     if not _fs_exists(spark, pattern):
         return _empty(spark, table, schema).withColumn("load_date", F.lit(None).cast("date"))
-    df = spark.read.options(**_CSV_OPTS).csv(pattern)
-    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), _DATE_DIR, 1), F.lit("yyyy-MM-dd"))
-    df = df.withColumn("load_date", day).where(F.col("load_date").isNotNull())
-    return _project(df, table, schema, keep=("load_date",))
+    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), _DATE_DIR, 1), "yyyy-MM-dd")
+    parts = [_project(df.withColumn("load_date", day).where(F.col("load_date").isNotNull()),
+                      table, schema, keep=("load_date",))
+             for df in _scan_by_header(spark, pattern)]
+    return _union(parts)
 
 
 def read_daily(spark: SparkSession, raw_dir: str, table: str, date: dt.date | None = None,
