@@ -8,6 +8,8 @@ intermediate decimal scales.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,13 +21,26 @@ def _c(x) -> Column:
 
 
 def cents(x) -> Column:
-    """Decimal or 2-place double → bigint cents."""
+    """Decimal (scale ≤ 2) → bigint cents, exact."""
     return F.round(_c(x) * 100, 0).cast("bigint")
 
 
-def from_cents(c, scale: int = 2) -> Column:
-    """bigint units of 10^-scale → decimal(18, scale)."""
-    return (_c(c).cast("decimal(18,0)") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
+def double_cents(x) -> Column:
+    """A double holding a 2-place amount → bigint cents (x·100 is never a .5 tie)."""
+    return F.rint(_c(x) * 100).cast("bigint")
+
+
+def from_cents(c, scale: int = 2, wide: bool = False) -> Column:
+    """bigint units of 10^-scale → decimal(18, scale).
+
+    The default multiplies by the unit (cheaper than a decimal division) and
+    is meant for row-level amounts below 10^(17-scale) units; ``wide=True``
+    takes any bigint.
+    """
+    if wide:
+        return (_c(c).cast("decimal(20,0)") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
+    unit = F.lit(Decimal(1).scaleb(-scale))
+    return (_c(c).cast(f"decimal({17 - scale},0)") * unit).cast(f"decimal(18,{scale})")
 
 
 def div_round(num, den) -> Column:
@@ -47,7 +62,7 @@ def ratio(num_cents, den_cents, scale: int = 2, times: int = 1) -> Column:
     ``num_cents`` and ``den_cents`` are integers in the same unit.
     """
     factor = times * 10 ** scale
-    return from_cents(div_round(_c(num_cents).cast("bigint") * factor, den_cents), scale)
+    return from_cents(div_round(_c(num_cents).cast("bigint") * factor, den_cents), scale, wide=True)
 
 
 def pct(num_cents, den_cents, scale: int = 2) -> Column:

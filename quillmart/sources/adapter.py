@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.constants import FORMULATIONS, RETURN_REASONS
-from quillmart.functions.exact import cents, div_round, from_cents, idiv
+from quillmart.functions.exact import div_round, double_cents, from_cents, idiv
 from quillmart.operators.mrr import classify_mrr
 from quillmart.plans.joins import lookup_join
 from quillmart.sources.driver import read_table
@@ -90,7 +90,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         product_line_of("p_type").alias("product_line"),
         F.element_at(forms, (band + 1).cast("int")).alias("formulation"),
         F.date_add(_d(LAUNCH_EPOCH), (F.col("p_partkey") % LAUNCH_SPREAD_DAYS).cast("int")).alias("launch_date"),
-        from_cents(div_round(cents("p_retailprice") * STANDARD_COST_PCT, F.lit(100)))
+        from_cents(div_round(double_cents("p_retailprice") * STANDARD_COST_PCT, F.lit(100)))
         .cast("decimal(14,2)").alias("unit_cost_standard"),
     )
 
@@ -119,7 +119,7 @@ def reps(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
     n = _nations(spark, sf_dir).select(F.col("n_nationkey").alias("s_nationkey"), "r_name")
     s = lookup_join(s, n, "s_nationkey")
-    quota_c = F.lit(QUOTA_BASE_CENTS) + F.greatest(cents("s_acctbal"), F.lit(0)) * QUOTA_PER_BALANCE
+    quota_c = F.lit(QUOTA_BASE_CENTS) + F.greatest(double_cents("s_acctbal"), F.lit(0)) * QUOTA_PER_BALANCE
     return s.select(
         F.col("s_suppkey").alias("rep_id"),
         F.col("s_name").alias("rep_name"),
@@ -147,10 +147,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     j = lookup_join(j, sup, "l_suppkey")
-    qty = F.round(F.col("l_quantity"), 0).cast("int")
-    ext_c = cents("l_extendedprice")
-    disc_p = F.round(F.col("l_discount") * 100, 0).cast("int")
-    tax_p = F.round(F.col("l_tax") * 100, 0).cast("int")
+    qty = F.rint(F.col("l_quantity")).cast("int")
+    ext_c = double_cents("l_extendedprice")
+    disc_p = double_cents("l_discount").cast("int")
+    tax_p = double_cents("l_tax").cast("int")
     ship = F.col("l_shipdate").cast("date")
     order_id = F.md5(F.concat_ws(
         "|", *[c.cast("string") for c in (
@@ -212,7 +212,7 @@ def costs(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None,
     pm = pm.join(p.select("product_id", "unit_cost_standard"), "product_id", "inner")
     m = F.year("cost_month") * 12 + F.month("cost_month")
     swing = 100 + (F.col("product_id") * 31 + m) % COST_SWING_MOD - COST_SWING_OFFSET
-    std_c = cents("unit_cost_standard")
+    std_c = F.round(F.col("unit_cost_standard") * 100, 0).cast("bigint")
     return pm.select(
         F.concat(F.lit("C-"), F.col("product_id").cast("string"), F.lit("-"),
                  F.date_format("cost_month", "yyyyMM")).alias("cost_id"),
