@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, pct
-from quillmart.functions.keys import surrogate_key
 from quillmart.plans.joins import lookup_join
 
 
@@ -118,7 +117,3 @@ def mrr_waterfall(fact_mrr: DataFrame, dim_date: DataFrame) -> DataFrame:
         .otherwise(F.lit(0).cast("decimal(18,2)")).alias("churn_rate_pct"),
     )
     return out
-
-
-def mrr_key(df: DataFrame) -> DataFrame:  # pragma: no cover - convenience
-    return df.withColumn("mrr_key", surrogate_key("event_id"))

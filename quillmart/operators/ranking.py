@@ -1,0 +1,39 @@
+"""SQL ``RANK()`` within groups without one task per group.
+
+``rank() OVER (PARTITION BY g ORDER BY v DESC)`` puts a whole group in one
+task. Here the same numbers come from a range-partitioned sort:
+
+1. reduce rows to distinct (g, v) with their counts (partial aggregation);
+2. ``repartitionByRange`` on (g, v desc): each partition holds a contiguous,
+   size-balanced slice of the global order (a group may span partitions);
+3. within each (partition, g) slice, the rows before a value are a running
+   sum of counts; the rows of the same group in earlier partitions come from a
+   small table of per-(partition, g) totals (≤ partitions × groups rows);
+4. rank = 1 + rows strictly before; joined back on (g, v).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def rank_within(df: DataFrame, groups: list[str], order_col: str, *, descending: bool = True,
+                out: str = "rank", partitions: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    vals = df.groupBy(*groups, order_col).agg(F.count(F.lit(1)).alias("_c"))
+    vals = vals.repartitionByRange(n, *[F.col(g).asc_nulls_last() for g in groups], o)
+    vals = vals.withColumn("_pid", F.spark_partition_id())
+    before = Window.partitionBy("_pid", *groups).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    vals = vals.withColumn("_local", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    totals = vals.groupBy("_pid", *groups).agg(F.sum("_c").alias("_t"))
+    earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *groups, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
+    keys = [*groups, order_col]
+    ranked = (vals.join(offsets, ["_pid", *groups], "inner")
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                      (F.col("_off") + F.col("_local") + 1).cast("int").alias(out)))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(ranked, cond, "left").select(*df.columns, out)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, div_round, from_cents, pct
+from quillmart.operators.ranking import rank_within
 from quillmart.plans.joins import lookup_join
 
 
@@ -64,13 +65,14 @@ def rep_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
     reps = dims["rep"].select("rep_key", "rep_id", "rep_name", "region", "annual_quota")
     g = lookup_join(g, reps, "rep_key")
-    w = Window.partitionBy("region", "year").orderBy(F.col("revenue").desc())
     q = F.col("annual_quota")
-    return g.select(
+    g = g.select(
         "rep_id", "rep_name", "region", "year", "revenue", "order_lines", "annual_quota",
         F.when(q > 0, pct(cents("revenue"), cents(q))).alias("quota_attainment_pct"),
-        F.rank().over(w).cast("int").alias("rank_in_region"),
     )
+    # RANK() OVER (PARTITION BY region, year ORDER BY revenue DESC), computed
+    # with a range-partitioned sort so no task holds a whole region-year.
+    return rank_within(g, ["region", "year"], "revenue", out="rank_in_region")
 
 
 # --------------------------------------------------------------------- A3
