@@ -29,6 +29,16 @@ from quillmart.plans.joins import maybe_broadcast
 MIN_SEASONAL_POINTS = 6
 MONEY14 = "decimal(14,2)"
 
+# The per-series fit runs in Python workers: ship this module's functions with
+# the task (by value) so executors need no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: package must be on executors
+    pass
+
 
 def monthly_series(actuals: DataFrame, key: str = "product_line") -> DataFrame:
     """Σ revenue per (month, key) over actual (non-forecast) rows."""
