@@ -13,5 +13,7 @@ def test_rank_within_matches_window_rank(spark):
     got = rank_within(df, ["region", "year"], "revenue", out="r", partitions=7)
     w = Window.partitionBy("region", "year").orderBy(F.col("revenue").desc_nulls_last())
     want = df.withColumn("r", F.rank().over(w).cast("int"))
-    key = lambda d: sorted(tuple(r) for r in d.select("region", "year", "revenue", "r").collect())
+    def key(d):
+        rows = [tuple(r) for r in d.select("region", "year", "revenue", "r").collect()]
+        return sorted(rows, key=lambda t: (t[0], t[1], t[2] is None, t[2] or 0.0, t[3]))
     assert key(got) == key(want)
