@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import byte_bpe, rollup, secrets, wavelet
+from quillmart.llm import byte_bpe, decontaminate, fingerprints, quality, rollup, secrets, toxicity, wavelet
 from quillmart.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -20,6 +20,10 @@ def _json(name: str) -> str:
         return f.read()
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(spark, table(spark, sf_dir, "documents"))
 
@@ -54,17 +58,30 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(spark, table(spark, sf_dir, "documents"), _json(WORD_BPE), END_ID,
                                digest=True, lower=True)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path(MULTI_RANKS))
     return byte_bpe.id_digest(table(spark, sf_dir, "documents"), spark, ranks, public_tokenizers.PATTERN)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_secret_ownership, op3_token_rollup, op5_wavelet_files, op8_byte_bpe,
+    op1_decontamination, op2_secret_ownership, op3_token_rollup, op4_quality_cnn, op5_wavelet_files,
+    op6_toxicity, op8_byte_bpe, op10_fingerprints,
 )}
 ORACLE: dict[str, str] = {}
