@@ -152,8 +152,8 @@ class ByteBPE:
 
 
 def id_digest(df: DataFrame, spark: SparkSession, ranks: dict[bytes, int], pattern: str,
-              text_col: str = "text") -> DataFrame:
-    """Per row: number of ids, digest of the ids, digest of what they decode to.
+              text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per row: number of ids, digest of the ids, digest of what they decode to (and the ids).
 
     Encoding and decoding share a task, so the ids of a text never leave it.
     """
@@ -171,9 +171,13 @@ def id_digest(df: DataFrame, spark: SparkSession, ranks: dict[bytes, int], patte
                 sizes.append(b - a)
                 shown.append(hashlib.sha256(b",".join(map(decimal.__getitem__, own))).hexdigest())
                 back.append(hashlib.sha256(b"".join(map(table.__getitem__, own))).hexdigest())
+            arrays = [rows["doc_id"].combine_chunks(), pa.array(sizes, pa.int64()), pa.array(shown, pa.string()),
+                      pa.array(back, pa.string())]
+            if with_ids:
+                arrays.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"].combine_chunks(), pa.array(sizes, pa.int64()), pa.array(shown), pa.array(back)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(arrays)])
 
     return df.select(F.col("doc_id").cast("long"), F.col(text_col)).mapInArrow(
-        per_partition, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        per_partition, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        + (", ids array<int>" if with_ids else ""))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import byte_bpe, decontaminate, fingerprints, quality, rollup, secrets, toxicity, wavelet
+from quillmart.llm import byte_bpe, decontaminate, fingerprints, jaccard, quality, rollup, secrets, substrings, toxicity, wavelet
 from quillmart.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -71,17 +71,25 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path(MULTI_RANKS))
     return byte_bpe.id_digest(table(spark, sf_dir, "documents"), spark, ranks, public_tokenizers.PATTERN)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secret_ownership, op3_token_rollup, op4_quality_cnn, op5_wavelet_files,
-    op6_toxicity, op8_byte_bpe, op10_fingerprints,
+    op6_toxicity, op7_jaccard_join, op8_byte_bpe, op9_substring_dedup, op10_fingerprints,
 )}
 ORACLE: dict[str, str] = {}
