@@ -112,6 +112,12 @@ def _outcome(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.sum(F.when(F.col("cell") < 0, F.col("cnt")).otherwise(0)).alias("differ"))
 
 
+def _renamed(pairs: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """Keys under names that cannot clash with those of cells, and the way back."""
+    inner = [f"key_{i}" for i in range(len(keys))]
+    return (pairs.select(*(F.col(k).alias(i) for k, i in zip(keys, inner)), "a", "b"), inner, dict(zip(inner, keys)))
+
+
 def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, differ): number of digests on one side only, for each row of ``pairs`` (keys, a, b).
 
@@ -119,6 +125,7 @@ def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataF
     with new hash functions until every pair is recovered. Pairs without
     difference have no row.
     """
+    pairs, keys, names = _renamed(pairs, keys)
     base = _outcome(peel(difference(pairs, keys, F.lit(BASE_CELLS), 0), keys, 0), keys)
     fit = (F.lit(8) + F.ceil(0.75 * (F.size("a") + F.size("b")))).cast("int")
     open_pairs = pairs
@@ -136,7 +143,7 @@ def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataF
         answers.append(done.where("left = 0").select(*keys, "differ"))
         failed = done.where("left = 1").select(*keys)
         if failed.isEmpty():
-            return reduce(DataFrame.unionByName, answers)
+            return reduce(DataFrame.unionByName, answers).withColumnsRenamed(names)
         open_pairs = pairs.join(failed, keys, "left_semi")
     raise RuntimeError(f"sketches of {MOST_RETRIES} sizes failed")
 
@@ -147,11 +154,12 @@ def recovered(pairs: DataFrame, keys: list[str], cells: int, seed: int = 0) -> D
     ``whole`` is false where cells remained: the lists are then incomplete and a
     larger sketch is due.
     """
+    pairs, keys, names = _renamed(pairs, keys)
     rows = peel(difference(pairs, keys, F.lit(cells), seed), keys, seed, keep=True)
     return rows.groupBy(*keys).agg(
         (F.max(F.col("cell")) < 0).alias("whole"),
         F.sort_array(F.collect_list(F.when(F.col("cell") == -1, F.col("found")))).alias("only_a"),
-        F.sort_array(F.collect_list(F.when(F.col("cell") == -2, F.col("found")))).alias("only_b"))
+        F.sort_array(F.collect_list(F.when(F.col("cell") == -2, F.col("found")))).alias("only_b")).withColumnsRenamed(names)
 
 
 def sketch_text(rows: DataFrame, keys: list[str], digests: str, cells: int = BASE_CELLS) -> DataFrame:
@@ -176,7 +184,7 @@ def _part(cuts: list, value: Column) -> Column:
     below = lambda xs: F.size(F.filter(xs, lambda c: c < value))
     group = F.size(F.filter(as_array([g[-1] for g in groups]), lambda c: c < value))
     inner = F.coalesce(F.get(F.array(*[as_array(g) for g in groups]), group), F.array().cast("array<bigint>"))
-    return F.when(value.isNull(), 0).otherwise(group * step + below(inner)).cast("int")
+    return F.when(value.isNull(), 0).otherwise(F.least(group * step + below(inner), F.lit(len(cuts)))).cast("int")
 
 
 def with_next(spark: SparkSession, documents: DataFrame, parts: int) -> DataFrame:

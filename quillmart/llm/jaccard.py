@@ -331,7 +331,7 @@ def _large_edges(spark: SparkSession, members: DataFrame, sizes: DataFrame) -> D
     labelled = stage(spark, labelled, "labelled")
     largest = (labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
                .groupBy("cluster").agg(F.max_by("label", F.struct("size", "label")).alias("main")))
-    cut = sizes.select("cluster", F.ceil(F.col("shingles") / CLUSTER_SHINGLES).cast("int").alias("slices"))
+    cut = sizes.select("cluster", F.ceil(F.col("total") / CLUSTER_SHINGLES).cast("int").alias("slices"))
     held = labelled.join(cut, "cluster").withColumn("slice", F.pmod(F.xxhash64("row"), F.col("slices")).cast("int"))
     apart = (held.join(largest, "cluster").where(F.col("label") != F.col("main")).drop("main", "slice")
              .withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("slices")).cast("int"))
@@ -353,8 +353,8 @@ def _large_edges(spark: SparkSession, members: DataFrame, sizes: DataFrame) -> D
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     cols = [*key, "row", "label", "shingles"]
-    rest = slices.select(*cols).groupBy(*key).cogroup(apart.select(*cols).groupBy(*key)).applyInArrow(
-        compare, "a long, b long")
+    right = apart.select(*(F.col(c).alias(c) for c in cols))  # names of its own: both come from one table
+    rest = slices.select(*cols).groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, "a long, b long")
     return stars.unionByName(stage(spark, rest, "apart"))
 
 
@@ -383,8 +383,8 @@ def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
     members = rows.select("row", "text").join(F.broadcast(keys) if few else keys, "row").mapInArrow(
         as_sets, "cluster long, row long, n int, shingles binary")
-    sizes = wanted.groupBy("cluster").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("members"))
-    large = stage(spark, sizes.where(F.col("shingles") > CLUSTER_SHINGLES), "large")
+    sizes = wanted.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("members"))
+    large = stage(spark, sizes.where(F.col("total") > CLUSTER_SHINGLES), "large")
     if large.isEmpty():
         labels = members.repartition(buckets, "cluster").sortWithinPartitions("cluster").mapInArrow(
             _join_small, "row long, label long")
