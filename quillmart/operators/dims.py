@@ -24,15 +24,30 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
         F.date_add(_lit_date(start), F.col("id").cast("int")).alias("date_day"))
 
 
-def dim_date(spark: SparkSession, start: dt.date, end: dt.date, *, as_of: dt.date,
-             fiscal_start: int = FISCAL_START_MONTH, pad_month_name: bool = True) -> DataFrame:
+def spine_of(dates: DataFrame, column: str, *, as_of: dt.date) -> DataFrame:
+    """One row per day of the whole years from the first date of ``column`` to a month after its
+    last (a churn month may follow the last order), ``as_of`` included.
+
+    The bounds are part of the plan, so no date of the data can miss its key.
+    There are at most as many rows as days in the date type's years 1 to 9999.
+    """
+    d, today = F.col(column).cast("date"), _lit_date(as_of)
+    ends = dates.agg(F.trunc(F.least(F.min(d), today), "year").alias("a"),
+                     F.trunc(F.greatest(F.add_months(F.max(d), 1), today), "year").alias("b"))
+    return ends.select(F.explode(F.sequence(
+        F.col("a"), F.date_sub(F.add_months("b", 12), 1), F.expr("interval 1 day"))).alias("date_day"))
+
+
+def dim_date(spine: DataFrame, *, as_of: dt.date, fiscal_start: int = FISCAL_START_MONTH,
+             pad_month_name: bool = True) -> DataFrame:
+    """Calendar attributes of each ``date_day`` of ``spine``."""
     d = F.col("date_day")
     today = _lit_date(as_of)
     fy = cal.fiscal_year(d, fiscal_start)
     fq = cal.fiscal_quarter(d, fiscal_start)
     dow = cal.iso_dow(d)
     last = F.last_day(d)
-    return date_spine(spark, start, end).select(
+    return spine.select(
         cal.date_key(d).alias("date_key"),
         d,
         F.year(d).cast("int").alias("year"),

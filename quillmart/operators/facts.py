@@ -36,7 +36,7 @@ def fact_sales(orders: DataFrame, returns: DataFrame, dims: dict[str, DataFrame]
     # One rep lookup serves both the key and the daily quota.
     f = lookup_join(f, dims["rep"].select("rep_id", "rep_key", "daily_quota"), "rep_id")
     f = lookup_join(f, dims["territory"].select("territory_id", "territory_key"), "territory_id")
-    f = lookup_join(f, returns_by_order(returns), "order_id")
+    f = f.join(returns_by_order(returns), "order_id", "left")  # an aggregate: sized at run time
     returned = F.coalesce(F.col("total_returned_qty"), F.lit(0).cast("bigint"))
     returned_rev = (returned * F.col("net_price")).cast(MONEY)
     quota = F.col("daily_quota")
@@ -69,7 +69,7 @@ def fact_cogs(costs: DataFrame, orders: DataFrame, dims: dict[str, DataFrame]) -
     f = lookup_join(costs, _date_keys(dims["date"], "cost_month"), "cost_month", bounded=True)
     f = lookup_join(f, dims["product"].select("product_id", "product_key"), "product_id")
     mr = monthly_product_revenue(orders).withColumnRenamed("revenue_month", "cost_month")
-    f = lookup_join(f, mr, ["cost_month", "product_id"])
+    f = f.join(mr, ["cost_month", "product_id"], "left")
     units = F.coalesce(F.col("mr_units_sold"), F.lit(0).cast("bigint"))
     rev = F.coalesce(F.col("mr_net_revenue"), F.lit(0).cast(MONEY))
     cogs = (F.col("actual_cost") * units).cast(MONEY)

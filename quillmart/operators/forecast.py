@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 
 from quillmart.constants import FORECAST_HORIZON, Z_95
 from quillmart.functions.exact import MONEY
-from quillmart.plans.joins import maybe_broadcast
 
 MIN_SEASONAL_POINTS = 6
 MONEY14 = "decimal(14,2)"
@@ -200,11 +199,11 @@ def upsert_forecast(existing: DataFrame, new: DataFrame) -> DataFrame:
     among the new lines (the full cross product, as the original delete does),
     then append the new rows. Actual rows are never touched.
 
-    The month and line sets are distinct projections of the new forecast; they
-    are broadcast only after a size check.
+    The month and line sets are distinct projections of the new forecast; how
+    they are joined is left to their size at run time.
     """
-    months = maybe_broadcast(new.select("revenue_month").distinct().withColumn("_m_hit", F.lit(True)))
-    lines = maybe_broadcast(new.select("product_line").distinct().withColumn("_l_hit", F.lit(True)))
+    months = new.select("revenue_month").distinct().withColumn("_m_hit", F.lit(True))
+    lines = new.select("product_line").distinct().withColumn("_l_hit", F.lit(True))
     e = existing.join(months, "revenue_month", "left").join(lines, "product_line", "left")
     stale = (F.col("is_forecast") & F.coalesce(F.col("_m_hit"), F.lit(False))
              & F.coalesce(F.col("_l_hit"), F.lit(False)))

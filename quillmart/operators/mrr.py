@@ -11,24 +11,26 @@ from quillmart.functions.exact import MONEY, pct
 from quillmart.plans.joins import lookup_join
 
 
-def classify_mrr(monthly: DataFrame, keys: list[str], *, as_of: dt.date,
-                 month_col: str = "month", amount_col: str = "amount") -> DataFrame:
+def classify_mrr(monthly: DataFrame, keys: list[str], *, as_of: dt.date, month_col: str = "month",
+                 amount_col: str = "amount", carry: tuple[str, ...] = ()) -> DataFrame:
     """Turn a (keys, month, amount) table of active months into MRR events.
 
-    Per key, ordered by month (only months up to ``as_of``):
+    Per key, ordered by month (``as_of`` only decides whether the last active
+    month is already known to be followed by churn):
       * first active month                → new, +amount
       * active again after a gap          → reactivation, +amount
       * consecutive month, amount up      → expansion, +delta
       * consecutive month, amount down    → contraction, delta (negative)
       * month after an active month that is not itself active (and is not
         after ``as_of``)                  → churn, −amount of the last month
-    Each input row yields at most two events. The window is per key over its
-    monthly rows, so its size is bounded by the number of months.
+    Each input row yields at most two events, with the row's ``carry`` columns.
+    The window is per key over its monthly rows, so its size is bounded by the
+    number of months.
     """
     as_of_c = F.lit(as_of.isoformat()).cast("date")
     m = F.col(month_col)
     amt = F.col(amount_col).cast(MONEY)
-    src = monthly.where(m.isNotNull() & (m <= as_of_c)).select(*keys, m.alias("_m"), amt.alias("_a"))
+    src = monthly.where(m.isNotNull()).select(*keys, *carry, m.alias("_m"), amt.alias("_a"))
     w = Window.partitionBy(*keys).orderBy("_m")
     src = src.select(
         "*",
@@ -49,12 +51,12 @@ def classify_mrr(monthly: DataFrame, keys: list[str], *, as_of: dt.date,
     churn = F.when((nm.isNull() & (nxt <= as_of_c)) | (nm > nxt),
                    ev(nxt.alias("event_month"), F.lit("churn").alias("event_type"),
                       (-a).cast(MONEY).alias("mrr_amount")))
-    out = src.select(*keys, F.explode(F.array(own, churn)).alias("e")).where(F.col("e").isNotNull())
-    out = out.select(*keys, "e.event_month", "e.event_type", "e.mrr_amount")
+    out = src.select(*keys, *carry, F.explode(F.array(own, churn)).alias("e")).where(F.col("e").isNotNull())
+    out = out.select(*keys, *carry, "e.event_month", "e.event_type", "e.mrr_amount")
     return out.select(
         F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys],
                           F.col("event_month").cast("string"), F.col("event_type"))).alias("event_id"),
-        *keys, "event_month", "event_type", "mrr_amount",
+        *keys, *carry, "event_month", "event_type", "mrr_amount",
     )
 
 

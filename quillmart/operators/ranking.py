@@ -1,14 +1,14 @@
 """SQL ``RANK()`` within groups without one task per group.
 
 ``rank() OVER (PARTITION BY g ORDER BY v DESC)`` puts a whole group in one
-task. Here the same numbers come from a range-partitioned sort:
+task. Here the same numbers come from buckets of values:
 
 1. reduce rows to distinct (g, v) with their counts (partial aggregation);
-2. ``repartitionByRange`` on (g, v desc): each partition holds a contiguous,
-   size-balanced slice of the global order (a group may span partitions);
-3. within each (partition, g) slice, the rows before a value are a running
-   sum of counts; the rows of the same group in earlier partitions come from a
-   small table of per-(partition, g) totals (≤ partitions × groups rows);
+2. a value's bucket is its place between its group's smallest and largest value,
+   in ``buckets`` equal steps: an expression of the value alone, so every read
+   of the plan agrees on it;
+3. the rows in earlier buckets come from a histogram of (g, bucket) counts, those
+   before a value in its own bucket from a window over (g, bucket);
 4. rank = 1 + rows strictly before; joined back on (g, v).
 """
 
@@ -17,23 +17,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 1000
+
 
 def rank_within(df: DataFrame, groups: list[str], order_col: str, *, descending: bool = True,
-                out: str = "rank", partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+                out: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with ``out``: SQL RANK of the numeric ``order_col`` in each group, nulls last."""
+    order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
     vals = df.groupBy(*groups, order_col).agg(F.count(F.lit(1)).alias("_c"))
-    vals = vals.repartitionByRange(n, *[F.col(g).asc_nulls_last() for g in groups], o)
-    vals = vals.withColumn("_pid", F.spark_partition_id())
-    before = Window.partitionBy("_pid", *groups).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
-    vals = vals.withColumn("_local", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    totals = vals.groupBy("_pid", *groups).agg(F.sum("_c").alias("_t"))
-    earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *groups, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
+    ends = vals.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(
+        F.min(order_col).cast("double").alias("_min"), F.max(order_col).cast("double").alias("_max"))
+    same_group = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
+    part = (F.col(order_col).cast("double") - F.col("_min")) / F.nullif(F.col("_max") - F.col("_min"), F.lit(0.0))
+    step = F.least(F.floor(F.coalesce(part, F.lit(0.0)) * buckets), F.lit(buckets - 1))
+    bucket = F.when(F.col(order_col).isNull(), buckets).otherwise((buckets - 1 - step) if descending else step)
+    vals = vals.join(ends, same_group, "left").select(*groups, order_col, "_c", bucket.cast("int").alias("_b"))
+    before = Window.partitionBy(*groups, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = vals.withColumn("_local", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    earlier = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = vals.groupBy(*groups, "_b").agg(F.sum("_c").alias("_t")).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_b").alias("_ob"),
+        F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
     keys = [*groups, order_col]
-    ranked = (vals.join(offsets, ["_pid", *groups], "inner")
-              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                      (F.col("_off") + F.col("_local") + 1).cast("int").alias(out)))
+    ranked = local.join(offsets, [*same_group, F.col("_b") == F.col("_ob")], "inner").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        (F.col("_off") + F.col("_local") + 1).cast("int").alias(out))
     cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     return df.join(ranked, cond, "left").select(*df.columns, out)

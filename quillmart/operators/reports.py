@@ -6,8 +6,6 @@ rows.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,24 +14,19 @@ from quillmart.operators.ranking import rank_within
 from quillmart.plans.joins import lookup_join
 
 
-def _lit_date(d: dt.date):
-    return F.lit(d.isoformat()).cast("date")
-
-
 def _month_index(c: str):
     return F.year(c) * 12 + F.month(c)
 
 
 # --------------------------------------------------------------------- A1
-def sales_summary(fact: DataFrame, dims: dict[str, DataFrame], *, as_of: dt.date) -> DataFrame:
+def sales_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Revenue per (month, product line, territory) with calendar-aware MoM and YoY.
 
     The prior month / prior year values come from range frames over a month
     index (exactly 1 and 12 months back, NULL when that month had no sales):
     one shuffle on the series keys, no self-join.
     """
-    f = fact.where(F.col("order_date") <= _lit_date(as_of)).select(
-        "order_date", "product_key", "territory_key", "final_net_revenue", "net_units")
+    f = fact.select("order_date", "product_key", "territory_key", "final_net_revenue", "net_units")
     f = lookup_join(f, dims["product"].select("product_key", "product_line"), "product_key")
     f = lookup_join(f, dims["territory"].select("territory_key", "territory_name"), "territory_key")
     g = f.groupBy(F.trunc("order_date", "month").alias("revenue_month"), "product_line",
@@ -80,16 +73,21 @@ def territory_health(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Territory scorecard: revenue, customers, reps, average discount, returns."""
     f = fact.select("territory_key", "customer_key", "rep_key", "final_net_revenue",
                     "units_sold", "units_returned", "discount_pct")
-    g = f.groupBy("territory_key").agg(
-        F.sum("final_net_revenue").cast(MONEY).alias("revenue"),
-        F.count_distinct("customer_key").cast("bigint").alias("customers"),
-        F.count_distinct("rep_key").cast("bigint").alias("reps"),
-        F.count("*").cast("bigint").alias("order_lines"),
+    # Two steps instead of two distinct counts: those would multiply the fact's rows (Expand).
+    pairs = f.groupBy("territory_key", "customer_key", "rep_key").agg(
+        F.sum("final_net_revenue").alias("revenue"), F.count("*").alias("order_lines"),
         F.sum(F.round(F.col("discount_pct") * 1_000_000, 0).cast("bigint")).alias("_disc_u"),
-        F.count("discount_pct").cast("bigint").alias("_disc_n"),
-        F.sum("units_sold").cast("bigint").alias("units_sold"),
-        F.sum("units_returned").cast("bigint").alias("units_returned"),
-    )
+        F.count("discount_pct").alias("_disc_n"),
+        F.sum("units_sold").alias("units_sold"), F.sum("units_returned").alias("units_returned"))
+    sums = [F.sum(c).alias(c) for c in ("revenue", "order_lines", "_disc_u", "_disc_n", "units_sold", "units_returned")]
+    first = F.count("customer_key").alias("customers")
+    by_rep = pairs.groupBy("territory_key", "rep_key").agg(F.count(F.lit(1)).alias("_n"))
+    by_customer = pairs.groupBy("territory_key", "customer_key").agg(*sums).groupBy("territory_key").agg(first, *sums)
+    reps = by_rep.groupBy(F.col("territory_key").alias("_t")).agg(F.count("rep_key").alias("reps"))
+    g = by_customer.join(reps, F.col("territory_key").eqNullSafe(F.col("_t")), "left").select(
+        "territory_key", F.col("revenue").cast(MONEY).alias("revenue"),
+        *(F.col(c).cast("bigint").alias(c) for c in ("customers", "reps", "order_lines", "_disc_u", "_disc_n",
+                                                      "units_sold", "units_returned")))
     t = dims["territory"].select("territory_key", "territory_id", "territory_name", "region", "zone")
     g = lookup_join(g, t, "territory_key")
     return g.select(

@@ -2,61 +2,52 @@
 
 ``lookup_join`` is the star-schema join used throughout: the fact (or mart)
 side is preserved, the dimension side is broadcast when it is proven small
-and shuffled otherwise. The check is a bounded ``limit(n + 1).count()`` (it
-stops after n + 1 rows), cached per logical plan so repeated builds of the
-same dimension do not re-run it. Beyond the bound the join is a plain
-shuffle join, which AQE may still turn into a broadcast at run time from
-real shuffle statistics, and whose skewed partitions AQE splits.
+and shuffled otherwise. The check counts a plain dimension scan up to a bound
+that follows from the width of its rows (it stops after one row more); its
+answer is kept for the application, the plan and the size of the files under it,
+so a table that has grown is checked again. Beyond the bound, and for
+aggregates, the join is a plain one, which AQE may still turn into a broadcast
+at run time from real shuffle statistics, and whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows up to which a dimension side is broadcast (a few MB of narrow rows).
-BROADCAST_MAX_ROWS = 200_000
+# Bytes up to which a dimension side is broadcast, and what a value of text is taken to need.
+BROADCAST_MAX_BYTES = 32 << 20
+TEXT_BYTES = 96
 
-_decisions: dict[tuple[int, int], bool] = {}
+_decisions: dict[tuple, bool] = {}
 
 
-_by_object: dict[int, tuple[DataFrame, int, bool]] = {}
+def row_bytes(schema: T.StructType) -> int:
+    """A generous width of one row."""
+    return 16 + sum(TEXT_BYTES if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 16 for f in schema.fields)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (checked, bounded scan)."""
-    hit = _by_object.get(id(df))
-    if hit is not None and hit[0] is df and hit[1] == max_rows:
-        return hit[2]
-    small = _is_small(df, max_rows)
-    _by_object[id(df)] = (df, max_rows, small)
-    return small
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is proven to need at most ``max_bytes`` (a bounded scan)."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), str(plan.stats().sizeInBytes()), max_bytes)
+    if key not in _decisions:
+        most = max_bytes // row_bytes(df.schema)
+        _decisions[key] = df.limit(most + 1).count() <= most
+    return _decisions[key]
 
 
-def _is_small(df: DataFrame, max_rows: int) -> bool:
-    try:
-        key = (df.semanticHash(), max_rows)
-    except Exception:  # pragma: no cover - plans without a semantic hash
-        key = None
-    if key is not None and key in _decisions:
-        return _decisions[key]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _decisions[key] = small
-    return small
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS, bounded: bool = False) -> DataFrame:
-    """Join ``left`` to a lookup ``right``, preserving ``left`` for how='left'.
+                max_bytes: int = BROADCAST_MAX_BYTES, bounded: bool = False) -> DataFrame:
+    """Join ``left`` to a lookup ``right`` (a dimension scan), preserving ``left`` for how='left'.
 
-    ``bounded=True`` states that ``right`` has a size fixed by its parameters
-    (a calendar spine, a 25-row reference list), so it is broadcast without a
-    data check.
+    ``bounded=True`` states that ``right`` has a bounded size (a row per calendar
+    day, a 25-row reference list), so it is broadcast without a data check.
     """
-    r = F.broadcast(right) if bounded else maybe_broadcast(right, max_rows)
+    r = F.broadcast(right) if bounded else maybe_broadcast(right, max_bytes)
     return left.join(r, on=on, how=how)

@@ -6,6 +6,8 @@ returns a lazy DataFrame; every oracle is an independent single SELECT.
 
 from __future__ import annotations
 
+import os
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from quillmart.functions.keys import surrogate_key
 from quillmart.plans import oracle as O
 from quillmart.plans.warehouse import Warehouse
+from quillmart.sources.driver import DRIVER_TABLES, read_table, version
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +33,23 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_warehouses: dict[tuple[int, str], Warehouse] = {}
+_warehouses: weakref.WeakKeyDictionary[SparkSession, dict[tuple, Warehouse]] = weakref.WeakKeyDictionary()
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One lazily built Warehouse (a set of logical plans) per session and input."""
-    key = (id(spark), sf_dir)
-    if key not in _warehouses:
-        _warehouses[key] = Warehouse(spark, sf_dir)
-    return _warehouses[key]
+    """One lazily built Warehouse (a set of logical plans) per session and state of the input."""
+    held = _warehouses.setdefault(spark, {})
+    key = (sf_dir, *(version(spark, os.path.join(sf_dir, f"{t}.parquet")) for t in DRIVER_TABLES))
+    if key not in held:
+        held[key] = Warehouse(spark, sf_dir)
+    return held[key]
+
+
+def use_warehouse(w: Warehouse) -> None:
+    """Let the registered queries of its session and input read ``w`` (for instance a written layer)."""
+    _wh(w.spark, w.sf_dir)
+    held = _warehouses[w.spark]
+    held.update({k: w for k in held if k[0] == w.sf_dir})
 
 
 # ------------------------------------------------------------- staging
@@ -396,21 +407,37 @@ def q_forecast_levels_fit(spark, sf_dir):
 
 
 # ---------------------------------------------------------- data quality
+# Raw columns that may be empty: keys to other tables, and an open contract's end.
+NULLABLE = {
+    "customers": ["territory_id", "contract_end_date"], "reps": ["territory_id"],
+    "orders": ["product_id", "customer_id", "rep_id", "territory_id"], "costs": ["product_id"],
+    "returns": ["order_id"], "mrr_events": ["customer_id", "product_id"],
+}
+
+
 def raw_checks() -> dict[str, list[tuple]]:
-    from quillmart.constants import EVENT_TYPES, SEGMENTS, TIERS
-    u, nn = "unique", "not_null"
+    """Keys are unique, required columns are there, domains and signs hold."""
+    from quillmart.constants import EVENT_TYPES, RAW_COLUMNS, SEGMENTS, TIERS
+    more = {
+        "products": [("product_code", "unique", None)],
+        "customers": [("segment", "accepted_values", SEGMENTS), ("tier", "accepted_values", TIERS)],
+        "costs": [("standard_cost", "greater_than", 0), ("actual_cost", "greater_than", 0)],
+        "mrr_events": [("event_type", "accepted_values", EVENT_TYPES)],
+    }
+    return {t: [(cols[0], "unique", None)]
+            + [(c, "not_null", None) for c in cols if c not in NULLABLE.get(t, [])] + more.get(t, [])
+            for t, cols in RAW_COLUMNS.items()}
+
+
+def gold_checks() -> dict[str, list[tuple]]:
+    """Columns that the marts' readers rely on."""
     return {
-        "territories": [("territory_id", u, None), ("territory_id", nn, None)],
-        "products": [("product_id", u, None), ("product_id", nn, None),
-                     ("product_code", u, None), ("product_code", nn, None)],
-        "customers": [("customer_id", u, None), ("customer_id", nn, None),
-                      ("segment", "accepted_values", SEGMENTS), ("tier", "accepted_values", TIERS)],
-        "reps": [("rep_id", u, None), ("rep_id", nn, None)],
-        "orders": [("order_id", u, None), ("order_id", nn, None), ("order_date", nn, None)],
-        "costs": [("cost_id", u, None), ("cost_id", nn, None)],
-        "returns": [("return_id", u, None), ("return_id", nn, None)],
-        "mrr_events": [("event_id", u, None), ("event_id", nn, None),
-                       ("event_type", "accepted_values", EVENT_TYPES)],
+        "sales_performance": [("order_id", "not_null", None), ("order_date", "not_null", None)],
+        "cogs_margin": [("cost_month", "not_null", None)],
+        "customer_health": [("customer_id", "not_null", None)],
+        "mrr_waterfall": [("event_month", "unique", None), ("event_month", "not_null", None)],
+        "time_intelligence": [("order_date", "not_null", None)],
+        "forecast_actuals": [("revenue_month", "not_null", None)],
     }
 
 
@@ -424,18 +451,21 @@ def silver_checks() -> dict[str, list[tuple]]:
         "dim_customer": key("customer_key", "customer_id"),
         "dim_rep": key("rep_key", "rep_id") + [("annual_quota", "greater_than", 0)],
         "dim_territory": key("territory_key", "territory_id"),
-        "fact_sales": key("sales_key", "order_id") + [("net_revenue", "greater_than", 0),
+        "fact_sales": key("sales_key", "order_id") + [("date_key", "not_null", None), ("net_revenue", "greater_than", 0),
                                                       ("units_sold", "at_least", 1)],
-        "fact_cogs": key("cogs_key"),
-        "fact_mrr": key("mrr_key") + [("event_type", "accepted_values", EVENT_TYPES)],
+        "fact_cogs": key("cogs_key") + [("date_key", "not_null", None)],
+        "fact_mrr": key("mrr_key") + [("date_key", "not_null", None), ("event_type", "accepted_values", EVENT_TYPES)],
     }
 
 
 def _dq_sql() -> str:
-    parts = []
-    specs = {**{f"raw_{t}": c for t, c in raw_checks().items()}, **silver_checks()}
+    parts, marts = [], {}
+    specs = {**{f"raw_{t}": c for t, c in raw_checks().items()}, **silver_checks(),
+             **{f"gold_{t}": c for t, c in gold_checks().items()}}
     for table, checks in specs.items():
-        name = table[4:] if table.startswith("raw_") else table
+        name = table.removeprefix("raw_").removeprefix("gold_")
+        if table.startswith("gold_"):
+            marts[table] = ORACLE[name]
         for col, chk, arg in checks:
             if chk == "unique":
                 v = (f"(SELECT COUNT(*) FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL "
@@ -452,7 +482,8 @@ def _dq_sql() -> str:
             parts.append(f"SELECT '{name}' AS table_name, '{chk}' AS check_name, '{col}' AS column_name, "
                          f"CAST({v} AS BIGINT) AS violations")
     body = "\nUNION ALL\n".join(parts)
-    return O.sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{body}\n) t")
+    return O.sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{body}\n) t",
+                     {t: f"SELECT * FROM ({b}) b" for t, b in marts.items()})
 
 
 @register("dq_report", _dq_sql())
@@ -462,11 +493,16 @@ def q_dq_report(spark, sf_dir):
               "dim_date": w.dims["date"], "dim_product": w.dims["product"],
               "dim_customer": w.dims["customer"], "dim_rep": w.dims["rep"],
               "dim_territory": w.dims["territory"], "fact_sales": w.fact_sales,
-              "fact_cogs": w.fact_cogs, "fact_mrr": w.fact_mrr}
-    return QC.dq_report(tables, {**raw_checks(), **silver_checks()})
+              "fact_cogs": w.fact_cogs, "fact_mrr": w.fact_mrr,
+              **{t: QUERIES[t](spark, sf_dir) for t in gold_checks()}}
+    return QC.dq_report(tables, {**raw_checks(), **silver_checks(), **gold_checks()})
 
 
 @register("dq_unique_violations", O.sql_for("""
+SELECT 'events' AS table_name, 'user_id' AS column_name, CAST(user_id AS VARCHAR) AS value,
+       CAST(COUNT(*) AS BIGINT) AS n_records
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id HAVING COUNT(*) > 1
+UNION ALL
 SELECT 'orders' AS table_name, 'order_id' AS column_name, CAST(order_id AS VARCHAR) AS value,
        CAST(COUNT(*) AS BIGINT) AS n_records
 FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1
@@ -479,7 +515,8 @@ def q_dq_unique_violations(spark, sf_dir):
     pm = w.raw["costs"].select(
         F.concat_ws("@", F.col("product_id").cast("string"), F.col("cost_month").cast("string"))
         .alias("product_month"))
-    return (QC.unique_violations(w.raw["orders"], "orders", "order_id")
+    return (QC.unique_violations(read_table(spark, sf_dir, "events"), "events", "user_id")
+            .unionByName(QC.unique_violations(w.raw["orders"], "orders", "order_id"))
             .unionByName(QC.unique_violations(pm, "costs", "product_month")))
 
 
@@ -502,14 +539,19 @@ _FKS = [
        CAST(COUNT(*) AS BIGINT) AS n_rows
 FROM raw_{c} x WHERE x.{fk} IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM raw_{p} y WHERE y.{pk} = x.{fk})
-GROUP BY x.{fk}""" for c, fk, p, pk in _FKS)))
+GROUP BY x.{fk}""" for c, fk, p, pk in _FKS) + """
+UNION ALL
+SELECT 'events', 'user_id', CAST(x.user_id AS VARCHAR), CAST(COUNT(*) AS BIGINT) FROM events x
+WHERE x.user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customers y WHERE y.customer_id = x.user_id AND y.is_active)
+GROUP BY x.user_id"""))
 def q_dq_orphans(spark, sf_dir):
     w = _wh(spark, sf_dir)
     out = None
     for c, fk, p, pk in _FKS:
         part = QC.orphans(w.raw[c], c, fk, w.raw[p], pk)
         out = part if out is None else out.unionByName(part)
-    return out
+    active = w.stg["customers"].where("is_active")  # visitors who are no active customer
+    return out.unionByName(QC.orphans(read_table(spark, sf_dir, "events"), "events", "user_id", active, "customer_id"))
 
 
 @register("dq_margin_bounds", O.sql_for("""
@@ -521,9 +563,18 @@ def q_dq_margin_bounds(spark, sf_dir):
 
 @register("dq_mrr_non_negative", O.sql_for("""
 SELECT event_id, event_type, mrr_amount FROM fact_mrr
-WHERE event_type NOT IN ('churn', 'contraction') AND mrr_amount <= 0"""))
+WHERE event_type NOT IN ('churn', 'contraction') AND mrr_amount <= 0
+UNION ALL
+SELECT md5(CAST(c_custkey AS VARCHAR)), 'new', CAST(ROUND(c_acctbal * 100) AS DECIMAL(18,0)) * 0.01
+FROM customer WHERE c_acctbal <= 0"""))
 def q_dq_mrr_non_negative(spark, sf_dir):
-    return QC.mrr_non_positive(_wh(spark, sf_dir).fact_mrr)
+    """The MRR fact, and account balances taken as opening amounts (some are negative)."""
+    from quillmart.functions.exact import double_cents, from_cents
+    opening = read_table(spark, sf_dir, "customer").select(
+        F.md5(F.col("c_custkey").cast("string")).alias("event_id"), F.lit("new").alias("event_type"),
+        from_cents(double_cents("c_acctbal")).alias("mrr_amount"))
+    fact = _wh(spark, sf_dir).fact_mrr.select("event_id", "event_type", F.col("mrr_amount").cast("decimal(18,2)"))
+    return QC.mrr_non_positive(fact.unionByName(opening))
 
 
 @register("dq_future_actuals", O.sql_for(f"""
@@ -550,7 +601,7 @@ def q_dq_order_invariants(spark, sf_dir):
 
 # ---------------------------------------------------------------- reports
 _SS = {
-    "ss_g": f"""
+    "ss_g": """
 SELECT CAST(date_trunc('month', fs.order_date) AS DATE) AS revenue_month, dp.product_line,
        dt.territory_name,
        CAST(SUM(fs.final_net_revenue) AS DECIMAL(18,2)) AS revenue,
@@ -558,7 +609,6 @@ SELECT CAST(date_trunc('month', fs.order_date) AS DATE) AS revenue_month, dp.pro
 FROM fact_sales fs
 LEFT JOIN dim_product dp ON fs.product_key = dp.product_key
 LEFT JOIN dim_territory dt ON fs.territory_key = dt.territory_key
-WHERE fs.order_date <= {O.AS_OF_SQL}
 GROUP BY 1, 2, 3""",
 }
 
@@ -584,7 +634,7 @@ LEFT JOIN ss_g py ON {_same_series('py', 'g')}
                  AND py.revenue_month = CAST(g.revenue_month - INTERVAL 12 MONTH AS DATE)""", _SS))
 def q_sales_summary(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return RP.sales_summary(w.fact_sales, w.dims, as_of=w.as_of)
+    return RP.sales_summary(w.fact_sales, w.dims)
 
 
 @register("rep_performance", O.sql_for(f"""
@@ -722,13 +772,9 @@ RUN_TS_LIT = "2001-01-01 01:30:00"
 
 
 # ------------------------------------------------------------ ingest / export
-def _typed_schema(df: DataFrame):
-    return df.schema
-
-
 @register("load_daily_csv", O.sql_for("SELECT * FROM stg_orders"))
 def q_load_daily_csv(spark, sf_dir):
-    """Round trip: raw orders → daily CSV drops (one folder per day) → read all days → stage."""
+    """Round trip: raw orders → CSV drops by month → read all drops → stage."""
     from quillmart.operators.staging import stage_orders
     from quillmart.session import scratch_path
     from quillmart.sources import csv_ingest as CI
@@ -742,7 +788,7 @@ def q_load_daily_csv(spark, sf_dir):
 
 @register("load_idempotent", O.sql_for("SELECT * FROM stg_returns"))
 def q_load_idempotent(spark, sf_dir):
-    """The same daily drops loaded twice give the same rows (partition overwrite)."""
+    """Drops by month loaded twice give the same rows (partition overwrite)."""
     from quillmart.operators.staging import stage_returns
     from quillmart.session import scratch_path
     from quillmart.sources import csv_ingest as CI
@@ -755,44 +801,113 @@ def q_load_idempotent(spark, sf_dir):
     return stage_returns(back, w.loaded_at)
 
 
-def _mart_count_sql() -> str:
-    marts = {
-        "mart_sales_performance": "SELECT COUNT(*) FROM fact_sales",
-        "mart_cogs_margin": "SELECT COUNT(*) FROM fact_cogs",
-        "mart_customer_health": ("SELECT COUNT(*) FROM dim_customer dc "
-                                 "LEFT JOIN ch_monthly_orders mo ON dc.customer_id = mo.customer_id"),
-        "mart_mrr_waterfall": "SELECT COUNT(DISTINCT event_month) + MAX(CASE WHEN event_month IS NULL THEN 1 ELSE 0 END) FROM fact_mrr",
-        "mart_time_intelligence": "SELECT COUNT(*) FROM ti_daily",
-        "mart_forecast": ("SELECT (SELECT COUNT(*) FROM fa_actuals) + 6 * "
-                          "(SELECT COUNT(DISTINCT product_line) FROM fc_series)"),
-    }
-    body = "\nUNION ALL\n".join(f"SELECT '{k}' AS table_name, CAST(({v}) AS BIGINT) AS row_count"
-                                for k, v in marts.items())
-    return O.sql_for(body, {**_CH, **_TI})
+@register("load_static_csv", O.sql_for("""
+SELECT customer_id, '  "' || account_name || '",' || chr(10) || segment || ' ' AS account_name, segment,
+       CAST(NULL AS VARCHAR) AS tier, region, territory_id, contract_start_date, contract_end_date, is_active
+FROM raw_customers"""))
+def q_load_static_csv(spark, sf_dir):
+    """Static layout: quoted values with quotes, commas, line ends and outer blanks, one column
+    missing, one too many; half of the rows come by a second load that appends new keys."""
+    import os
+    from quillmart.session import scratch_path
+    from quillmart.sources import csv_ingest as CI
+    customers = _wh(spark, sf_dir).raw["customers"]
+    shown = customers.withColumn("account_name", F.concat(
+        F.lit('  "'), "account_name", F.lit('",\n'), "segment", F.lit(" ")))
+    raw_dir = scratch_path(spark, "raw")
+    odd = shown.where(F.col("customer_id") % 2 == 1).drop("tier").withColumn("extra", F.lit('a,"b"'))
+    odd.write.options(**CI.CSV_FORM).csv(os.path.join(raw_dir, "static", "customers.csv"))
+    CI.append_static(shown.withColumn("tier", F.lit(None).cast("string")), raw_dir, "customers")
+    back = CI.read_static(spark, raw_dir, {"customers": customers.schema})
+    return back["customers"]
 
 
-@register("export_roundtrip", _mart_count_sql())
+@register("load_dated_csv", O.sql_for("""
+SELECT *, CAST(date_trunc('month', order_date) AS DATE) AS load_date FROM raw_orders WHERE order_date IS NOT NULL"""))
+def q_load_dated_csv(spark, sf_dir):
+    """Dated layout ``<date>/orders.csv``, all dates; a folder that is no date is passed over."""
+    import os
+    from quillmart.session import scratch_path
+    from quillmart.sources import csv_ingest as CI
+    orders = _wh(spark, sf_dir).raw["orders"]
+    raw_dir = scratch_path(spark, "raw")
+    CI.write_dated(orders, raw_dir, "orders", "order_date", grain="month")
+    orders.limit(5).write.options(**CI.CSV_FORM).csv(os.path.join(raw_dir, "not-a-date", "orders.csv"))
+    return CI.read_dated(spark, raw_dir, "orders", schema=orders.schema)
+
+
+@register("load_one_day_csv", O.sql_for("""
+SELECT *, return_date AS load_date FROM raw_returns
+WHERE return_date = (SELECT max(return_date) FROM raw_returns)"""))
+def q_load_one_day_csv(spark, sf_dir):
+    """Dated layout, the last day only, written by day."""
+    from quillmart.session import scratch_path
+    from quillmart.sources import csv_ingest as CI
+    returns = _wh(spark, sf_dir).raw["returns"]
+    raw_dir = scratch_path(spark, "raw")
+    CI.write_dated(returns, raw_dir, "returns", "return_date")
+    last = returns.agg(F.max("return_date")).head()[0]
+    return CI.read_dated(spark, raw_dir, "returns", last, schema=returns.schema)
+
+
+def _column_hash(column: str):
+    """Order-free hash of a column's values as text: the sum of 32 bits of each value's md5."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit("NULL"))
+    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")).cast("bigint").alias(column)
+
+
+_EXPORTED = {
+    "mart_cogs_margin": "cogs_margin", "mart_customer_health": "customer_health", "mart_mrr_waterfall": "mrr_waterfall",
+    "mart_sales_performance": "sales_performance", "mart_time_intelligence": "time_intelligence",
+}
+_HASHED = {  # columns compared, by mart
+    "mart_sales_performance": ["order_id", "order_date", "year_quarter", "product_code", "account_name", "rep_name",
+                               "territory_name", "units_sold", "net_units", "final_net_revenue", "is_actual"],
+    "mart_cogs_margin": ["cost_month", "product_code", "value_tier", "units_sold", "total_cogs", "gross_margin_pct",
+                         "rolling_3m_margin_pct", "prior_month_margin_pct"],
+    "mart_customer_health": ["customer_id", "segment", "tier_rank", "report_month", "order_count", "monthly_revenue",
+                             "mrr_added", "mrr_lost", "is_churned", "lifetime_value"],
+    "mart_mrr_waterfall": ["event_month", "new_mrr", "net_new_mrr", "cumulative_mrr", "total_active_customers",
+                           "churn_rate_pct"],
+    "mart_time_intelligence": ["order_date", "product_line", "daily_revenue", "daily_orders", "ytd_revenue",
+                               "rolling_90d_revenue", "yoy_growth_pct"],
+    "mart_forecast": ["revenue_month", "product_line", "revenue", "is_forecast", "forecast_upper_bound"],
+}
+
+
+def _export_sql() -> str:
+    bodies = {m: ORACLE[q] for m, q in _EXPORTED.items()}
+    bodies["mart_forecast"] = O.sql_for(
+        "SELECT * EXCLUDE (_updated_at) FROM fa_actuals UNION ALL SELECT * FROM up_new", _UP)
+    parts = []
+    for mart in _HASHED:
+        for c in _HASHED[mart]:
+            parts.append(
+                f"SELECT '{mart}' AS table_name, '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
+                f"CAST(SUM(CAST('0x' || substr(md5(COALESCE(CAST({c} AS VARCHAR), 'NULL')), 1, 8) AS BIGINT)) AS BIGINT) "
+                f"AS value_hash FROM e_{mart}")
+    ctes = ",\n".join(f"e_{m} AS ({b})" for m, b in bodies.items())
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("export_roundtrip", _export_sql())
 def q_export_roundtrip(spark, sf_dir):
-    """Export the six marts as dated snappy Parquet, read each back, count rows."""
+    """Export the six marts as dated snappy Parquet, read each back, hash its columns' values."""
     import datetime as dt
     from quillmart.session import scratch_path
     from quillmart.sources.export import export_all
     w = _wh(spark, sf_dir)
-    forecast = FC.upsert_forecast(w.actuals, FC.forecast_holt_winters(w.series))
-    marts = {
-        "mart_sales_performance": w.sales_performance(),
-        "mart_cogs_margin": w.cogs_margin(),
-        "mart_customer_health": w.customer_health(),
-        "mart_mrr_waterfall": w.mrr_waterfall(),
-        "mart_time_intelligence": w.time_intelligence(),
-        "mart_forecast": forecast,
-    }
+    marts = {m: QUERIES[q](spark, sf_dir) for m, q in _EXPORTED.items()}
+    marts["mart_forecast"] = FC.upsert_forecast(w.actuals, FC.forecast_linear(w.series))
     res = export_all(marts, scratch_path(spark, "export"), dt.date(2001, 1, 1))
     if res["failed"]:
         raise RuntimeError(f"export failed: {res['failed']}")
     out = None
     for name, path in res["ok"]:
-        part = spark.read.parquet(path).groupBy().count().select(
-            F.lit(name).alias("table_name"), F.col("count").cast("bigint").alias("row_count"))
+        back = spark.read.parquet(path)
+        one = back.agg(F.count(F.lit(1)).alias("_n"), *[_column_hash(c) for c in _HASHED[name]])
+        part = one.select(F.explode(F.array(*[F.struct(
+            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col("_n").alias("row_count"),
+            F.col(c).alias("value_hash")) for c in _HASHED[name]])).alias("e")).select("e.*")
         out = part if out is None else out.unionByName(part)
     return out

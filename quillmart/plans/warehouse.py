@@ -14,13 +14,14 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmart.constants import AS_OF, SPINE_END, SPINE_START
+from quillmart.constants import AS_OF
 from quillmart.operators import dims as D
 from quillmart.operators import facts as FX
 from quillmart.operators import marts as M
 from quillmart.operators import staging as S
 from quillmart.operators.mrr import mrr_waterfall
 from quillmart.sources import adapter
+from quillmart.sources.driver import read_table
 
 # Load timestamp used for reproducible runs over the driver tables: the
 # nightly load after the as-of date.
@@ -48,7 +49,7 @@ class LazyTables(Mapping):
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, *, as_of: dt.date = AS_OF,
-                 spine: tuple[dt.date, dt.date] = (SPINE_START, SPINE_END),
+                 spine: tuple[dt.date, dt.date] | None = None,
                  loaded_at=RUN_TS, raw: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -94,11 +95,19 @@ class Warehouse:
         })
 
     # --------------------------------------------------------------- dims
+    def _spine(self) -> DataFrame:
+        """Days between fixed bounds where they are given, else those of the order dates."""
+        if self.spine is not None:
+            return D.date_spine(self.spark, *self.spine)
+        if self._raw_override is not None:
+            return D.spine_of(self.raw["orders"], "order_date", as_of=self.as_of)
+        return D.spine_of(read_table(self.spark, self.sf_dir, "orders"), "o_orderdate", as_of=self.as_of)
+
     @cached_property
     def dims(self) -> Mapping[str, DataFrame]:
         s = self.stg
         return LazyTables({
-            "date": lambda: D.dim_date(self.spark, *self.spine, as_of=self.as_of),
+            "date": lambda: D.dim_date(self._spine(), as_of=self.as_of),
             "product": lambda: D.dim_product(s["products"]),
             "customer": lambda: D.dim_customer(s["customers"], as_of=self.as_of),
             "rep": lambda: D.dim_rep(s["reps"], as_of=self.as_of),

@@ -38,7 +38,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and must be a shared file system;
-    only when it is unset (local tests) do we create one of our own.
+    only when it is unset and the master is local (tests) do we create one of our
+    own; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -46,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quillmart-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -23,7 +23,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.constants import FORMULATIONS, RETURN_REASONS
 from quillmart.functions.exact import div_round, double_cents, from_cents, idiv
 from quillmart.operators.mrr import classify_mrr
 from quillmart.plans.joins import lookup_join
@@ -44,7 +43,6 @@ QUOTA_BASE_CENTS = 80_000_000   # 800,000.00
 QUOTA_PER_BALANCE = 200
 COST_SWING_MOD = 17             # actual cost = standard × (92 .. 108) %
 COST_SWING_OFFSET = 8
-FORMULATION_BAND = 7            # p_size 1-7 → first formulation, 8-14 → second, ...
 
 
 def _d(x: dt.date):
@@ -79,16 +77,13 @@ def product_line_of(p_type) -> F.Column:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    band = F.least(F.greatest(idiv(F.col("p_size") - 1, F.lit(FORMULATION_BAND)), F.lit(0)),
-                   F.lit(len(FORMULATIONS) - 1))
-    forms = F.array(*[F.lit(f) for f in FORMULATIONS])
     return p.select(
         F.col("p_partkey").alias("product_id"),
         F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("product_code"),
         F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("therapeutic_area"),
         product_line_of("p_type").alias("product_line"),
-        F.element_at(forms, (band + 1).cast("int")).alias("formulation"),
+        F.substring_index("p_type", " ", -1).alias("formulation"),  # the material
         F.date_add(_d(LAUNCH_EPOCH), (F.col("p_partkey") % LAUNCH_SPREAD_DAYS).cast("int")).alias("launch_date"),
         from_cents(div_round(double_cents("p_retailprice") * STANDARD_COST_PCT, F.lit(100)))
         .cast("decimal(14,2)").alias("unit_cost_standard"),
@@ -143,7 +138,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     # Both sides grow with the data: always a shuffle (sort-merge) join on the
     # order key, never a broadcast of the order headers.
-    j = li.join(oh.hint("merge"), "l_orderkey", "inner")
+    j = li.join(oh.hint("merge"), "l_orderkey", "left")  # a line without header stays visible to the checks
     sup = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     j = lookup_join(j, sup, "l_suppkey")
@@ -168,6 +163,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         disc_p.alias("_disc_p"),
         F.col("l_linenumber"),
         F.col("l_returnflag"),
+        F.col("l_linestatus"),
     )
     list_c = F.when(F.col("quantity") > 0,
                     div_round(F.col("_ext_c"), F.col("quantity"))).otherwise(F.col("_ext_c"))
@@ -191,13 +187,12 @@ def orders(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) ->
 
 def returns(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     j = lines if lines is not None else order_lines(spark, sf_dir)
-    reasons = F.array(*[F.lit(r) for r in RETURN_REASONS])
     return j.where(F.col("l_returnflag") == "R").select(
         F.concat(F.lit("R-"), F.col("order_id")).alias("return_id"),
         "order_id",
         F.date_add("order_date", (F.col("l_linenumber") + 1).cast("int")).alias("return_date"),
         F.greatest(idiv(F.col("quantity"), F.lit(2)), F.lit(1)).cast("int").alias("quantity_returned"),
-        F.element_at(reasons, (F.pmod(F.col("l_linenumber"), F.lit(len(RETURN_REASONS))) + 1).cast("int")).alias("reason"),
+        F.concat(F.lit("line status "), F.col("l_linestatus")).alias("reason"),
     )
 
 
@@ -209,7 +204,7 @@ def costs(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None,
     pm = (o.select("product_id", F.trunc("order_date", "month").alias("cost_month"))
           .where(F.col("product_id").isNotNull() & F.col("cost_month").isNotNull())
           .distinct())
-    pm = pm.join(p.select("product_id", "unit_cost_standard"), "product_id", "inner")
+    pm = pm.join(p.select("product_id", "unit_cost_standard"), "product_id", "left")
     m = F.year("cost_month") * 12 + F.month("cost_month")
     swing = 100 + (F.col("product_id") * 31 + m) % COST_SWING_MOD - COST_SWING_OFFSET
     std_c = F.round(F.col("unit_cost_standard") * 100, 0).cast("bigint")
@@ -225,32 +220,23 @@ def costs(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None,
 
 def mrr_events(spark: SparkSession, sf_dir: str, as_of: dt.date,
                orders_df: DataFrame | None = None) -> DataFrame:
-    """Recurring-revenue events derived from each customer's monthly spend (E2)."""
+    """Recurring-revenue events derived from each customer's monthly spend (E2).
+
+    An event's product is the one the customer spent most on in the month that
+    the event stems from (the smaller id of equal ones).
+    """
     o = orders_df if orders_df is not None else orders(spark, sf_dir)
-    monthly = (o.groupBy("customer_id", F.trunc("order_date", "month").alias("month"))
-               .agg(F.sum("net_amount").cast("decimal(18,2)").alias("amount")))
-    ev = classify_mrr(monthly, keys=["customer_id"], as_of=as_of)
+    by_product = (o.groupBy("customer_id", F.trunc("order_date", "month").alias("month"), "product_id")
+                  .agg(F.sum("net_amount").cast("decimal(18,2)").alias("spend")))
+    monthly = by_product.groupBy("customer_id", "month").agg(
+        F.sum("spend").cast("decimal(18,2)").alias("amount"),
+        F.max_by("product_id", F.struct("spend", -F.col("product_id"))).alias("product_id"))
+    ev = classify_mrr(monthly, keys=["customer_id"], as_of=as_of, carry=("product_id",))
     return ev.select(
         "event_id",
         "customer_id",
-        F.lit(None).cast("bigint").alias("product_id"),
+        "product_id",
         "event_month",
         "event_type",
         F.col("mrr_amount").cast("decimal(14,2)").alias("mrr_amount"),
     )
-
-
-def raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date) -> dict[str, DataFrame]:
-    lines = order_lines(spark, sf_dir)
-    o = orders(spark, sf_dir, lines)
-    p = products(spark, sf_dir)
-    return {
-        "territories": territories(spark, sf_dir),
-        "products": p,
-        "customers": customers(spark, sf_dir),
-        "reps": reps(spark, sf_dir),
-        "orders": o,
-        "returns": returns(spark, sf_dir, lines),
-        "costs": costs(spark, sf_dir, o, p),
-        "mrr_events": mrr_events(spark, sf_dir, as_of, o),
-    }

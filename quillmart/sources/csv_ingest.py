@@ -9,15 +9,19 @@ Layouts read:
     ``write_daily`` (dynamic partition overwrite: re-loading a day replaces
     it, so a load is idempotent).
 
-Columns are matched by name, extras dropped and missing ones NULL; empty text
-is NULL; types come from an explicit schema (all text by default), never
-inference. Row counts are observed on the scan itself, without a second pass.
+Values follow the usual CSV rules: quotes are doubled inside quotes, a quoted
+value may hold commas and line ends, blanks belong to the value. Columns are
+matched by name, extras dropped and missing ones NULL; empty text is NULL; types
+come from an explicit schema (all text by default), never inference. Row counts
+are observed on the scan itself, without a second pass.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +29,9 @@ from pyspark.sql import types as T
 
 from quillmart.constants import DAILY_TABLES, RAW_COLUMNS, STATIC_TABLES
 
-_CSV_OPTS = {"header": "true", "nullValue": "", "emptyValue": "", "mode": "FAILFAST"}
+CSV_FORM = {"header": "true", "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"',
+         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+_CSV_OPTS = {**CSV_FORM, "multiLine": "true", "mode": "FAILFAST"}
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+\.csv(/|$)"
 
 
@@ -33,16 +39,6 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table]])
 
 
-def _fs_exists(spark: SparkSession, pattern: str) -> bool:
-    """Hadoop glob existence test (works on any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
-    found = fs.globStatus(path)
-    return found is not None and len(found) > 0
-
-
 def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files matched by a glob; a matched directory contributes its part files."""
     jvm = spark.sparkContext._jvm
@@ -61,31 +57,38 @@ def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(out)
 
 
-def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """First line of a file (metadata-sized read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine() or ""
-    finally:
-        stream.close()
-    return tuple(c.strip().strip('"') for c in line.split(","))
+def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the columns of their first line.
 
+    One Spark job reads the files' lines and keeps each file's first (a partial
+    minimum, so a file sends one line per task); only distinct headers with their
+    file names come back.
+    """
+    if not files:
+        return {}
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value")
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "id")).alias("head"))
+    found = first.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in found:
+        columns = tuple(next(csv.reader([r["head"].lstrip("\ufeff")]), ()))
+        out.setdefault(columns, []).extend(r["files"])
+    return out
 
-def _scan_by_header(spark: SparkSession, pattern: str) -> list[DataFrame]:
+
+def _scan_by_header(spark: SparkSession, pattern: str, base: str | None = None) -> list[DataFrame]:
     """One CSV scan per distinct header among the matched files.
 
     Spark applies one header to every file of a scan, while drops may order
     or name their columns differently; grouping files by header (usually a
     single group) keeps the by-name column match exact.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in _csv_files(spark, pattern):
-        groups.setdefault(_header(spark, f), []).append(f)
-    return [spark.read.options(**_CSV_OPTS).csv(files) for files in groups.values()]
+    reader = spark.read.options(**_CSV_OPTS)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return [reader.csv(sorted(files)) for files in _by_header(spark, _csv_files(spark, pattern)).values()]
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -115,26 +118,27 @@ def _empty(spark: SparkSession, table: str, schema: T.StructType | None) -> Data
     return spark.createDataFrame([], schema or text_schema(table))
 
 
+def _observed(df: DataFrame, observe: Observation | None) -> DataFrame:
+    return df if observe is None else df.observe(observe, F.count(F.lit(1)).alias("rows"))
+
+
 def read_csv(spark: SparkSession, pattern: str, table: str,
              schema: T.StructType | None = None, observe: Observation | None = None) -> DataFrame:
     """Scan CSV files (header row) as text and project the table's columns."""
-    if not _fs_exists(spark, pattern):
-        return _empty(spark, table, schema)
-    out = _union([_project(df, table, schema) for df in _scan_by_header(spark, pattern)])
-    if observe is not None:
-        out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
-    return out
+    if not _csv_files(spark, pattern):
+        return _observed(_empty(spark, table, schema), observe)
+    return _observed(_union([_project(df, table, schema) for df in _scan_by_header(spark, pattern)]), observe)
 
 
-def read_static(spark: SparkSession, raw_dir: str,
-                schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    schemas = schemas or {}
-    return {t: read_csv(spark, os.path.join(raw_dir, "static", f"{t}.csv"), t, schemas.get(t))
+def read_static(spark: SparkSession, raw_dir: str, schemas: dict[str, T.StructType] | None = None,
+                observe: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    schemas, observe = schemas or {}, observe or {}
+    return {t: read_csv(spark, os.path.join(raw_dir, "static", f"{t}.csv"), t, schemas.get(t), observe.get(t))
             for t in STATIC_TABLES}
 
 
 def read_dated(spark: SparkSession, raw_dir: str, table: str, date: dt.date | None = None,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | None = None, observe: Observation | None = None) -> DataFrame:
     """Dated drops ``<raw>/<date>/<table>.csv``: one day, or every ISO-dated directory.
 
     Adds ``load_date`` taken from the directory name; other directories
@@ -142,24 +146,24 @@ def read_dated(spark: SparkSession, raw_dir: str, table: str, date: dt.date | No
     """
     sub = date.isoformat() if date is not None else "*"
     pattern = os.path.join(raw_dir, sub, f"{table}.csv")
-    if not _fs_exists(spark, pattern):
-        return _empty(spark, table, schema).withColumn("load_date", F.lit(None).cast("date"))
+    if not _csv_files(spark, pattern):
+        return _observed(_empty(spark, table, schema).withColumn("load_date", F.lit(None).cast("date")), observe)
     day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), _DATE_DIR, 1), "yyyy-MM-dd")
     parts = [_project(df.withColumn("load_date", day).where(F.col("load_date").isNotNull()),
                       table, schema, keep=("load_date",))
              for df in _scan_by_header(spark, pattern)]
-    return _union(parts)
+    return _observed(_union(parts), observe)
 
 
 def read_daily(spark: SparkSession, raw_dir: str, table: str, date: dt.date | None = None,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | None = None, observe: Observation | None = None) -> DataFrame:
     """Partitioned drops ``<raw>/<table>/load_date=<date>/`` (one day or all)."""
     base = os.path.join(raw_dir, table)
     pattern = os.path.join(base, f"load_date={date.isoformat()}" if date else "load_date=*")
-    if not _fs_exists(spark, pattern):
-        return _empty(spark, table, schema)
-    df = spark.read.options(**_CSV_OPTS).option("basePath", base).csv(pattern)
-    return _project(df, table, schema)
+    if not _csv_files(spark, pattern):
+        return _observed(_empty(spark, table, schema), observe)
+    parts = [_project(df, table, schema) for df in _scan_by_header(spark, pattern, base)]
+    return _observed(_union(parts), observe)
 
 
 def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: str = "day") -> None:
@@ -177,17 +181,51 @@ def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: s
                     part.alias("load_date"))
     (out.hint("rebalance", "load_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_date")
-     .option("header", "true").option("nullValue", "").option("emptyValue", "")
-     .csv(os.path.join(raw_dir, table)))
+     .options(**CSV_FORM).csv(os.path.join(raw_dir, table)))
+
+
+def write_dated(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: str = "day") -> None:
+    """Write drops ``<raw>/<date>/<table>.csv`` (a folder of part files each); a drop that is written
+    again is replaced.
+
+    One Spark job writes all dates to a folder beside; then each date's folder is
+    moved to its place (a rename, no data). Rows without a date go nowhere.
+    """
+    beside = os.path.join(raw_dir, f"_writing-{uuid.uuid4().hex}")
+    write_daily(df.where(F.col(date_col).isNotNull()), beside, table, date_col, grain)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = path(os.path.join(beside, table, "load_date=*"))
+    fs = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(found) or []:
+        folder = status.getPath()
+        day = path(os.path.join(raw_dir, folder.getName().split("=", 1)[1]))
+        target = path(os.path.join(day.toString(), f"{table}.csv"))
+        fs.mkdirs(day)
+        fs.delete(target, True)
+        if not fs.rename(folder, target):
+            raise OSError(f"cannot move {folder} to {target}")
+    fs.delete(path(beside), True)
+
+
+def append_static(df: DataFrame, raw_dir: str, table: str) -> None:
+    """Add the rows of ``df`` whose key (the first column) the table does not hold yet.
+
+    Of several new rows of one key one is added. The result is staged beside the table and
+    then reloaded, so the table is never read while it is overwritten.
+    """
+    spark, key = df.sparkSession, RAW_COLUMNS[table][0]
+    held = read_csv(spark, os.path.join(raw_dir, "static", f"{table}.csv"), table)
+    new = df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table]]).dropDuplicates([key])
+    staged = os.path.join(raw_dir, f"_appending-{uuid.uuid4().hex}")
+    held.unionByName(new.join(held.select(key), key, "left_anti")).write.parquet(staged)
+    write_static(spark.read.parquet(staged), raw_dir, table)
 
 
 def write_static(df: DataFrame, raw_dir: str, table: str) -> None:
-    """Full reload of a static table (overwrite). An empty input writes nothing."""
-    if df.isEmpty():
-        return
+    """Full reload of a static table (overwrite), also with no rows: the header alone is then left."""
     (df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table] if c in df.columns])
-     .write.mode("overwrite").option("header", "true").option("nullValue", "").option("emptyValue", "")
-     .csv(os.path.join(raw_dir, "static", f"{table}.csv")))
+     .write.mode("overwrite").options(**CSV_FORM).csv(os.path.join(raw_dir, "static", f"{table}.csv")))
 
 
 def load_counts(observations: dict[str, Observation]) -> dict[str, int]:
@@ -196,4 +234,4 @@ def load_counts(observations: dict[str, Observation]) -> dict[str, int]:
 
 
 __all__ = ["read_csv", "read_static", "read_dated", "read_daily", "write_daily", "write_static",
-           "text_schema", "load_counts", "DAILY_TABLES"]
+           "write_dated", "append_static",            "text_schema", "load_counts", "DAILY_TABLES"]

@@ -8,14 +8,14 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows per output file and the Parquet row-group size in bytes (the writer
-# sizes row groups in bytes, not rows).
-MAX_RECORDS_PER_FILE = 100_000
+# The Parquet row-group size in bytes (the writer sizes row groups in bytes, not rows).
 ROW_GROUP_BYTES = 128 * 1024 * 1024
 
 
-def export_table(df: DataFrame, export_dir: str, name: str, stringify: bool = False) -> str:
-    """Write one mart as snappy Parquet under ``export_dir/<name>.parquet``.
+def export_table(df: DataFrame, export_dir: str, name: str, stringify: bool = False,
+                 rows_per_file: int = 0) -> str:
+    """Write one mart as snappy Parquet under ``export_dir/<name>.parquet``, in files of at most
+    ``rows_per_file`` rows (0: one file per task).
 
     Native column types are kept; ``stringify=True`` casts non-numeric
     object-like columns (strings, dates, timestamps) to text instead.
@@ -27,13 +27,14 @@ def export_table(df: DataFrame, export_dir: str, name: str, stringify: bool = Fa
     path = os.path.join(export_dir, f"{name}.parquet")
     (df.write.mode("overwrite")
      .option("compression", "snappy")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .option("maxRecordsPerFile", rows_per_file)
      .option("parquet.block.size", ROW_GROUP_BYTES)
      .parquet(path))
     return path
 
 
-def export_all(marts: dict[str, DataFrame], base_dir: str, export_date: dt.date) -> dict[str, list]:
+def export_all(marts: dict[str, DataFrame], base_dir: str, export_date: dt.date,
+               rows_per_file: int = 0) -> dict[str, list]:
     """Export every mart into ``base_dir/exports/<date>/``; one failure does not stop the rest.
 
     Returns {"ok": [(name, path)], "failed": [(name, error)]}. The loop is over
@@ -43,7 +44,7 @@ def export_all(marts: dict[str, DataFrame], base_dir: str, export_date: dt.date)
     ok, failed = [], []
     for name, df in marts.items():
         try:
-            ok.append((name, export_table(df, export_dir, name)))
+            ok.append((name, export_table(df, export_dir, name, rows_per_file=rows_per_file)))
         except Exception as e:  # noqa: BLE001 - reported, not raised
             failed.append((name, f"{type(e).__name__}: {e}"))
     return {"ok": ok, "failed": failed}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,7 @@ def stream_increment(spark: SparkSession, source_dir: str, sink_dir: str, checkp
     ``readStream`` over the drop folder with ``trigger(availableNow=True)``:
     processes all files not yet recorded in ``checkpoint`` and stops, so a
     re-run picks up only new drops (exactly-once through the file sink log).
-    Returns the number of micro-batches run.
+    Returns the number of micro-batches that the checkpoint has committed so far.
     """
     stream = spark.readStream.schema(schema).parquet(source_dir)
     stream = incremental(stream, watermark, col)
@@ -33,8 +31,5 @@ def stream_increment(spark: SparkSession, source_dir: str, sink_dir: str, checkp
          .trigger(availableNow=True)
          .start(sink_dir))
     q.awaitTermination()
-    return len(q.recentProgress)
-
-
-def drop_path(base: str, batch: str) -> str:
-    return os.path.join(base, f"drop={batch}")
+    last = q.lastProgress
+    return 0 if last is None else int(last["batchId"]) + 1

@@ -65,3 +65,49 @@ def test_export_all_reports_failures(spark):
     res = export_all({"a": good, "b": bad}, base, dt.date(2024, 1, 1))
     assert [n for n, _ in res["ok"]] == ["a"] and [n for n, _ in res["failed"]] == ["b"]
     assert spark.read.parquet(res["ok"][0][1]).count() == 3
+
+
+def test_quotes_line_ends_and_blanks_survive_a_round_trip(spark):
+    raw = tempfile.mkdtemp(prefix="qm-raw-")
+    values = ['say "hi" now', 'say "hi", now', "two\nlines", "  pad ", "plain", "a,b", 'tail"', '""']
+    df = spark.createDataFrame([(f"r{i}", "o", dt.date(2024, 1, 2), 1, v) for i, v in enumerate(values)],
+                               "return_id string, order_id string, return_date date, quantity_returned int, reason string")
+    CI.write_daily(df, raw, "returns", "return_date")
+    assert sorted(r.reason for r in CI.read_daily(spark, raw, "returns").collect()) == sorted(values)
+    CI.write_dated(df, raw, "returns", "return_date")
+    CI.write_dated(df, raw, "returns", "return_date")
+    assert sorted(r.reason for r in CI.read_dated(spark, raw, "returns").collect()) == sorted(values)
+    _write(f"{raw}/2024-05-01/returns.csv", 'reason,"return_id"\n"say ""hi"" now",q1\n"x\ny",q2\n')
+    assert {r.return_id: r.reason for r in CI.read_dated(spark, raw, "returns", dt.date(2024, 5, 1)).collect()} == {
+        "q1": 'say "hi" now', "q2": "x\ny"}
+
+
+def test_daily_drops_with_other_column_orders(spark):
+    raw = tempfile.mkdtemp(prefix="qm-raw-")
+    _write(f"{raw}/reps/load_date=2024-01-01/a.csv", "rep_id,rep_name\n1,A\n")
+    _write(f"{raw}/reps/load_date=2024-01-02/a.csv", "rep_name,rep_id\nB,2\n")
+    assert sorted((r.rep_id, r.rep_name) for r in CI.read_daily(spark, raw, "reps").collect()) == [("1", "A"), ("2", "B")]
+
+
+def test_full_reload_to_empty_and_append_by_key(spark):
+    raw = tempfile.mkdtemp(prefix="qm-raw-")
+    df = spark.createDataFrame([("a", "A"), ("b", "B")], "rep_id string, rep_name string").selectExpr(
+        "rep_id", "rep_name", "null territory_id", "null region", "null manager_name", "null hire_date", "null annual_quota")
+    CI.write_static(df, raw, "reps")
+    CI.append_static(df.unionByName(df.selectExpr("'c' rep_id", *[c for c in df.columns if c != "rep_id"])), raw, "reps")
+    assert sorted(r.rep_id for r in CI.read_static(spark, raw)["reps"].collect()) == ["a", "b", "c"]
+    CI.write_static(df.limit(0), raw, "reps")
+    assert CI.read_static(spark, raw)["reps"].count() == 0
+
+
+def test_counts_of_every_loader(spark):
+    from pyspark.sql import Observation
+    raw = tempfile.mkdtemp(prefix="qm-raw-")
+    _write(f"{raw}/static/reps.csv", "rep_id\na\nb\n")
+    _write(f"{raw}/2024-01-01/returns.csv", "return_id\nr1\n")
+    _write(f"{raw}/returns/load_date=2024-01-01/p.csv", "return_id\nr1\nr2\nr3\n")
+    obs = {n: Observation(n) for n in ("reps", "dated", "daily")}
+    for df in (CI.read_static(spark, raw, observe=obs)["reps"], CI.read_dated(spark, raw, "returns", observe=obs["dated"]),
+               CI.read_daily(spark, raw, "returns", observe=obs["daily"])):
+        df.write.format("noop").mode("overwrite").save()
+    assert CI.load_counts(obs) == {"reps": 2, "dated": 1, "daily": 3}

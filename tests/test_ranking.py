@@ -1,19 +1,36 @@
-"""Distributed RANK() against the window-function rank on a small fixture."""
+"""Distributed RANK() against the window-function rank."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillmart.operators.ranking import rank_within
 
 
-def test_rank_within_matches_window_rank(spark):
-    rows = [("east" if i % 3 else "west", 2000 + i % 2, float((i * 37) % 11) if i % 13 else None)
-            for i in range(400)]
-    df = spark.createDataFrame(rows, "region string, year int, revenue double")
-    got = rank_within(df, ["region", "year"], "revenue", out="r", partitions=7)
-    w = Window.partitionBy("region", "year").orderBy(F.col("revenue").desc_nulls_last())
-    want = df.withColumn("r", F.rank().over(w).cast("int"))
-    def key(d):
-        rows = [tuple(r) for r in d.select("region", "year", "revenue", "r").collect()]
-        return sorted(rows, key=lambda t: (t[0], t[1], t[2] is None, t[2] or 0.0, t[3]))
-    assert key(got) == key(want)
+def wrong(df, descending):
+    order = F.col("revenue").desc_nulls_last() if descending else F.col("revenue").asc_nulls_last()
+    want = F.rank().over(Window.partitionBy("region", "year").orderBy(order)).cast("int")
+    got = rank_within(df, ["region", "year"], "revenue", out="r", descending=descending)
+    assert got.count() == df.count()
+    both = got.groupBy("region", "year", "revenue", "r").count().withColumnRenamed("count", "n")
+    true = df.withColumn("r", want).groupBy("region", "year", "revenue", "r").count().withColumnRenamed("count", "n")
+    return both.exceptAll(true).count() + true.exceptAll(both).count()
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_of_many_rows_with_and_without_exchange_reuse(spark, reuse):
+    held = spark.conf.get("spark.sql.exchange.reuse")
+    df = spark.range(300_000, numPartitions=16).select(
+        F.element_at(F.array(F.lit("east"), F.lit("west"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("region"),
+        (F.lit(2000) + F.col("id") % 2).cast("int").alias("year"),
+        F.when(F.col("id") % 97 != 0, F.pmod(F.xxhash64("id"), F.lit(50_000)) / 7).cast("decimal(18,2)").alias("revenue"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        assert wrong(df, True) == 0 and wrong(df, False) == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", held)
+
+
+def test_rank_of_equal_and_missing_values(spark):
+    rows = [("a", 1, 5.0), ("a", 1, 5.0), ("a", 2, None), ("b", 1, -3.0), ("b", 1, 0.0), ("b", 1, 1e300), (None, None, 2.0)]
+    assert wrong(spark.createDataFrame(rows, "region string, year int, revenue double"), True) == 0

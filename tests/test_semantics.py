@@ -144,8 +144,8 @@ def test_yoy_null_without_prior_year(wh):
 
 
 def test_fiscal_year_rolls_over_on_oct_first(spark):
-    from quillmart.operators.dims import dim_date
-    d = {r.date_day: r for r in dim_date(spark, D(2024, 9, 30), D(2024, 10, 2), as_of=AS_OF).collect()}
+    from quillmart.operators.dims import date_spine, dim_date
+    d = {r.date_day: r for r in dim_date(date_spine(spark, D(2024, 9, 30), D(2024, 10, 2)), as_of=AS_OF).collect()}
     assert (d[D(2024, 9, 30)].fiscal_year, d[D(2024, 9, 30)].fiscal_quarter) == (2024, 4)
     assert (d[D(2024, 10, 1)].fiscal_year, d[D(2024, 10, 1)].fiscal_month) == (2025, 1)
     assert d[D(2024, 10, 1)].fiscal_year_quarter == "FY2025-Q1"
@@ -153,8 +153,8 @@ def test_fiscal_year_rolls_over_on_oct_first(spark):
 
 
 def test_dim_date_spine_is_end_exclusive(spark):
-    from quillmart.operators.dims import dim_date
-    assert dim_date(spark, D(2022, 1, 1), D(2028, 1, 1), as_of=AS_OF).count() == 2191
+    from quillmart.operators.dims import date_spine, dim_date
+    assert dim_date(date_spine(spark, D(2022, 1, 1), D(2028, 1, 1)), as_of=AS_OF).count() == 2191
 
 
 def test_value_tier_null_line_is_generic(wh):
