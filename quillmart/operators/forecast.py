@@ -101,69 +101,62 @@ def forecast_linear(series: DataFrame, key: str = "product_line",
 
 
 # ----------------------------------------------------------- Holt-Winters
-_ALPHAS = np.array([0.1, 0.3, 0.5, 0.7, 0.9])
-_BETAS = np.array([0.01, 0.05, 0.15, 0.3])
-_GAMMAS = np.array([0.05, 0.15, 0.3, 0.5])
-_PHIS = np.array([0.8, 0.9, 0.98])
+# Smoothing parameters tried first (level, trend, season, damping), then steps around the best.
+GRID = ([0.1, 0.3, 0.5, 0.7, 0.9], [0.01, 0.05, 0.15, 0.3], [0.05, 0.15, 0.3, 0.5], [0.8, 0.9, 0.98])
+STEPS = (0.1, 0.02, 0.05, 0.04)
+RANGES = ((0.02, 0.98), (0.005, 0.98), (0.02, 0.98), (0.7, 0.995))
 
 
-def _hw_run(y: np.ndarray, m: int, a, b, g, p):
-    """Vectorised additive damped Holt-Winters over parameter arrays (k,).
+def _smooth(y: np.ndarray, m: int, grid: np.ndarray):
+    """Additive damped smoothing for all parameter rows at once.
 
-    Returns one-step-ahead fitted values (k, n) and final level, trend and
-    the last m seasonal terms.
+    Returns one-step-ahead fitted values (k, n) and the final level, trend and
+    last m seasonal terms. The first season's mean starts the level, the
+    difference to the second's the trend.
     """
-    n = len(y)
-    k = a.shape[0]
-    first = y[:m]
-    second = y[m:2 * m] if n >= 2 * m else y[-m:]
-    lvl = np.full(k, first.mean())
-    trd = np.full(k, (second.mean() - first.mean()) / m)
-    season = np.tile(first - first.mean(), (k, 1))  # (k, m), ring buffer by t % m
-    fitted = np.empty((k, n))
-    for t in range(n):
-        s_prev = season[:, t % m]
-        yhat = lvl + p * trd + s_prev
-        fitted[:, t] = yhat
-        new_lvl = a * (y[t] - s_prev) + (1 - a) * (lvl + p * trd)
-        trd = b * (new_lvl - lvl) + (1 - b) * p * trd
-        season[:, t % m] = g * (y[t] - new_lvl) + (1 - g) * s_prev
-        lvl = new_lvl
-    return fitted, lvl, trd, season
+    level_rate, trend_rate, season_rate, damping = grid
+    start = y[:m].mean()
+    level = np.full(grid.shape[1], start)
+    trend = np.full(grid.shape[1], (y[m:2 * m].mean() - start) / m)
+    season = np.tile(y[:m] - start, (grid.shape[1], 1))
+    fitted = np.empty((grid.shape[1], len(y)))
+    for t, actual in enumerate(y):
+        held = season[:, t % m].copy()
+        expected = level + damping * trend
+        fitted[:, t] = expected + held
+        risen = level_rate * (actual - held) + (1 - level_rate) * expected
+        trend = trend_rate * (risen - level) + (1 - trend_rate) * (damping * trend)
+        season[:, t % m] = season_rate * (actual - risen) + (1 - season_rate) * held
+        level = risen
+    return fitted, level, trend, season
+
+
+def _combinations(axes) -> np.ndarray:
+    return np.array(np.meshgrid(*axes, indexing="ij")).reshape(len(axes), -1)
 
 
 def holt_winters_forecast(y: np.ndarray, horizon: int = FORECAST_HORIZON):
-    """(forecast, lower, upper) arrays for one series, deterministic.
+    """(forecast, lower, upper) arrays for one series of at least 6 points, deterministic.
 
-    Fewer than 6 points: least-squares line (see ``forecast_linear``).
-    Otherwise season length m = min(12, n // 2); parameters (α, β, γ, φ) are
-    chosen on a fixed grid by in-sample squared one-step error; the interval
-    is ±1.96·std of the in-sample residuals.
+    Season length min(12, n // 2); the parameters with the smallest in-sample
+    squared one-step error on ``GRID``, then among the points one step of
+    ``STEPS`` around them; bounds at ±1.96 standard deviations of the residuals.
     """
     y = np.asarray(y, dtype=float)
     n = len(y)
-    if n < MIN_SEASONAL_POINTS:
-        if n == 1:
-            slope, intercept = 0.0, y[0]
-            sd = y.mean() * 0.1
-        else:
-            x = np.arange(n, dtype=float)
-            slope, intercept = np.polyfit(x, y, 1)
-            sd = y.std(ddof=1)
-        f = intercept + slope * np.arange(n, n + horizon)
-        lower = np.maximum(f - Z_95 * sd, 0)
-        return np.maximum(f, 0), lower, np.maximum(f + Z_95 * sd, lower)
     m = min(12, n // 2)
-    grid = np.array(np.meshgrid(_ALPHAS, _BETAS, _GAMMAS, _PHIS, indexing="ij")).reshape(4, -1)
-    fitted, lvl, trd, season = _hw_run(y, m, *grid)
-    sse = ((fitted - y) ** 2).sum(axis=1)
-    i = int(np.argmin(sse))
-    p = grid[3, i]
-    damp = np.cumsum(p ** np.arange(1, horizon + 1))
-    f = lvl[i] + damp * trd[i] + season[i, (n + np.arange(horizon)) % m]
-    sd = (y - fitted[i]).std(ddof=1)
-    f = np.maximum(f, 0)
-    return f, np.maximum(f - Z_95 * sd, 0), f + Z_95 * sd
+    axes = GRID
+    for _ in range(2):
+        grid = _combinations(axes)
+        fitted, level, trend, season = _smooth(y, m, grid)
+        best = int(np.argmin(((fitted - y) ** 2).sum(axis=1)))
+        axes = [sorted({min(max(grid[k, best] + d, low), high) for d in (-step, 0.0, step)})
+                for k, (step, (low, high)) in enumerate(zip(STEPS, RANGES))]
+    ahead = np.arange(1, horizon + 1)
+    f = level[best] + np.cumsum(grid[3, best] ** ahead) * trend[best] + season[best, (n + ahead - 1) % m]
+    spread = Z_95 * (y - fitted[best]).std(ddof=1)
+    point = np.maximum(f, 0)
+    return point, np.maximum(point - spread, 0), point + spread
 
 
 _HW_SCHEMA = T.StructType([
@@ -185,12 +178,28 @@ def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def forecast_holt_winters(series: DataFrame, key: str = "product_line") -> DataFrame:
-    """Per-series Holt-Winters forecast rows, fitted in parallel by ``applyInPandas``."""
-    s = series.where(F.col(key).isNotNull() & F.col("revenue").isNotNull()).select(
-        F.col(key).cast("string").alias("series_key"), "revenue_month",
-        F.col("revenue").cast("double").alias("y"))
-    out = s.groupBy("series_key").applyInPandas(_fit_group, schema=_HW_SCHEMA)
-    return _forecast_rows(out.withColumnRenamed("series_key", key), key)
+    """Per-series Holt-Winters forecast rows, fitted in parallel by ``applyInPandas``; series under
+    6 points get the straight line of ``forecast_linear``."""
+    s = series.where(F.col(key).isNotNull() & F.col("revenue").isNotNull())
+    points = Window.partitionBy(key)  # a series: one row per month
+    s = s.withColumn("_n", F.count(F.lit(1)).over(points))
+    long = s.where(F.col("_n") >= MIN_SEASONAL_POINTS).select(
+        F.col(key).cast("string").alias("series_key"), "revenue_month", F.col("revenue").cast("double").alias("y"))
+    out = long.groupBy("series_key").applyInPandas(_fit_group, schema=_HW_SCHEMA)
+    fitted = _forecast_rows(out.withColumnRenamed("series_key", key), key)
+    return fitted.unionByName(forecast_linear(s.where(F.col("_n") < MIN_SEASONAL_POINTS).drop("_n"), key))
+
+
+def forecast_levels_fit(levels: DataFrame) -> DataFrame:
+    """Forecasts of each series of ``forecast_levels``: level and series in columns of their own.
+    Series without a name are left out."""
+    named = levels.where(F.col("series").isNotNull()).select(
+        "revenue_month", F.concat_ws(":", "level", "series").alias("_key"), "revenue")
+    rows = forecast_holt_winters(named, key="_key")
+    return rows.select(
+        "revenue_month", F.substring_index("product_line", ":", 1).alias("level"),
+        F.expr("substring(product_line, instr(product_line, ':') + 1)").alias("series"),
+        "revenue", "forecast_lower_bound", "forecast_upper_bound")
 
 
 # ----------------------------------------------------------------- upsert

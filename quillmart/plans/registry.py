@@ -346,7 +346,14 @@ def q_forecast_linear(spark, sf_dir):
     return FC.forecast_linear(_wh(spark, sf_dir).series)
 
 
-@register("forecast_holt_winters", None)
+_HW = O.holt_winters_ctes("fc_series", "product_line", "hw", FC.GRID, FC.STEPS, FC.RANGES)
+
+
+@register("forecast_holt_winters", O.sql_for(f"""
+SELECT revenue_month, product_line, CAST(NULL AS VARCHAR) AS therapeutic_area, revenue,
+       CAST(NULL AS BIGINT) AS units_sold, CAST(NULL AS BIGINT) AS order_count, TRUE AS is_forecast,
+       forecast_lower_bound, forecast_upper_bound
+FROM ({O.holt_winters_select("product_line", "hw")}) f""", _HW))
 def q_forecast_holt_winters(spark, sf_dir):
     return FC.forecast_holt_winters(_wh(spark, sf_dir).series)
 
@@ -400,10 +407,26 @@ def q_forecast_levels(spark, sf_dir):
     return FC.forecast_levels(_wh(spark, sf_dir).actuals)
 
 
-@register("forecast_levels_fit", None)
+_LEVELS = {
+    "lv_input": """
+SELECT revenue_month, 'company:ALL' AS k, CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue
+FROM fa_actuals WHERE NOT is_forecast AND revenue_month IS NOT NULL GROUP BY 1
+UNION ALL
+SELECT revenue_month, 'product_line:' || product_line, CAST(SUM(revenue) AS DECIMAL(18,2))
+FROM fa_actuals WHERE NOT is_forecast AND revenue_month IS NOT NULL AND product_line IS NOT NULL GROUP BY 1, 2
+UNION ALL
+SELECT revenue_month, 'therapeutic_area:' || therapeutic_area, CAST(SUM(revenue) AS DECIMAL(18,2))
+FROM fa_actuals WHERE NOT is_forecast AND revenue_month IS NOT NULL AND therapeutic_area IS NOT NULL GROUP BY 1, 2""",
+    **O.holt_winters_ctes("lv_input", "k", "lv", FC.GRID, FC.STEPS, FC.RANGES),
+}
+
+
+@register("forecast_levels_fit", O.sql_for(f"""
+SELECT revenue_month, split_part(k, ':', 1) AS level, substr(k, instr(k, ':') + 1) AS series, revenue,
+       forecast_lower_bound, forecast_upper_bound
+FROM ({O.holt_winters_select("k", "lv")}) f""", _LEVELS))
 def q_forecast_levels_fit(spark, sf_dir):
-    lv = FC.forecast_levels(_wh(spark, sf_dir).actuals)
-    return FC.forecast_holt_winters(lv.select("revenue_month", "series_key", "revenue"), key="series_key")
+    return FC.forecast_levels_fit(FC.forecast_levels(_wh(spark, sf_dir).actuals))
 
 
 # ---------------------------------------------------------- data quality

@@ -193,16 +193,16 @@ def materialize_silver(w: Warehouse, path: str, block_bytes: int | None = None)
     import os
     import time
     spent = {}
-    # Staged orders and returns feed three facts: write them once first.
-    for name in ("orders", "returns"):
-        t0 = time.time()
-        wr = w.stg[name].write.mode("overwrite")
-        if block_bytes:
-            wr = wr.option("parquet.block.size", block_bytes)
-        p = os.path.join(path, "stg_" + name)
-        wr.parquet(p)
-        spent["stg_" + name] = time.time() - t0
-        w.stg._built[name] = w.spark.read.parquet(p)
+    # Order lines joined to their headers feed orders, returns, costs and recurring revenue, and so
+    # all facts: they are written first, and the join never runs again.
+    t0 = time.time()
+    wr = w._lines.write.mode("overwrite")
+    if block_bytes:
+        wr = wr.option("parquet.block.size", block_bytes)
+    p = os.path.join(path, "order_lines")
+    wr.parquet(p)
+    spent["order_lines"] = time.time() - t0
+    w.__dict__["_lines"] = w.spark.read.parquet(p)
     tables = {"dim_" + k: (lambda k=k: w.dims[k]) for k in ("date", "product", "customer", "rep", "territory")}
     tables.update({"fact_sales": lambda: w.fact_sales, "fact_cogs": lambda: w.fact_cogs,
                    "fact_mrr": lambda: w.fact_mrr})

@@ -46,10 +46,12 @@ def test_short_series_uses_line(spark):
     assert len(f) == HORIZON and all(r.revenue >= 0 for r in f)
 
 
-def test_steep_decline_clips_and_orders_bounds():
-    y = np.array([1000.0, 600.0, 200.0, 10.0])
-    f, lo, up = FC.holt_winters_forecast(y, HORIZON)
-    assert (f == 0).all() and (lo == 0).all() and (up >= lo).all()
+def test_steep_decline_clips_and_orders_bounds(spark):
+    s = spark.createDataFrame([(dt.date(2024, m, 1), "X", v) for m, v in enumerate((1000, 600, 200, 10), 1)],
+                              "revenue_month date, product_line string, revenue int")
+    f = FC.forecast_holt_winters(s.selectExpr("revenue_month", "product_line", "CAST(revenue AS DECIMAL(18,2)) AS revenue")).collect()
+    assert len(f) == HORIZON and all(r.revenue == 0 and r.forecast_lower_bound == 0 for r in f)
+    assert all(r.forecast_upper_bound >= r.forecast_lower_bound for r in f)
 
 
 def test_seasonal_series_is_recovered():
