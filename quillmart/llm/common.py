@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillmart.session import scratch_path
 
@@ -190,6 +191,13 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - first, counts)
 
 
+def dealt_anew(key: str) -> Column:
+    """``key`` (text or whole number) as an expression of its own. An aggregate by ``key`` that selects it
+    this way is shuffled for a join like any table; Spark splits the hot keys of a join
+    only between two plain shuffles, not next to an aggregate."""
+    return F.when(F.col(key).isNotNull(), F.col(key)).alias(key)
+
+
 def distinct_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import stage
+from quillmart.llm.common import dealt_anew, stage
 
 MOST_STEPS = 60
 
@@ -13,13 +13,13 @@ MOST_STEPS = 60
 def _large_star(edges: DataFrame) -> DataFrame:
     """Join the larger neighbours of each node to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).select(dealt_anew("a"), "m")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Join each node and its smaller neighbours (a > b in ``edges``) to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(dealt_anew("a"), "m")
     joined = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return joined.where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, mix, ngrams, ranges, shuffle_partitions, stage, text_arrays
+from quillmart.llm.common import U64, Words, dealt_anew, mix, ngrams, ranges, shuffle_partitions, stage, text_arrays
 from quillmart.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -405,7 +405,8 @@ def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
 def jaccard_join(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Per row: doc_id, size of its set, and the smallest id of its component."""
     rows = stage(spark, jaccard_rows(spark, documents), "joined")
-    least = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    least = (rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+             .select(dealt_anew("label"), "least"))
     return rows.join(least, "label", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

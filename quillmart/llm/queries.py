@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.llm import byte_bpe, decontaminate, fingerprints, jaccard, quality, rollup, secrets, substrings, toxicity, wavelet
-from quillmart.llm.common import table
+from quillmart.llm.common import dealt_anew, table
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -42,7 +42,7 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = F.regexp_replace(F.regexp_replace("text", r"[ \t]+(\n|$)", "$1"), r"\n{2,}", "\n")
     revised = documents.where(cleaned != F.col("text")).withColumn("text", cleaned)
     digest = documents.select("doc_id", "source", "lang", F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
-    first = digest.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    first = digest.groupBy("a", "b").agg(F.min("doc_id").alias("first")).select(dealt_anew("a"), "b", "first")
     copies = (digest.join(first, ["a", "b"]).where(F.col("doc_id") > F.col("first"))
               .select("doc_id", "source", "lang", F.lit("byte_bpe_50k").alias("tokenizer_version"),
                       F.lit(0).cast("long").alias("n_tokens"), F.lit("delete").alias("op"), F.lit(2).alias("seq")))

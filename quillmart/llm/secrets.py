@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmart.llm.common import distinct_name, stage, text_arrays
+from quillmart.llm.common import dealt_anew, distinct_name, stage, text_arrays
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -117,7 +117,7 @@ def secret_scan(spark: SparkSession, documents: DataFrame, max_owners: int = 1,
                 **columns) -> DataFrame:
     """Findings of each row and how many of its values look live or are copied examples."""
     found = stage(spark, scan(documents, **columns), "secrets")
-    verdicts = ownership(found, max_owners, max_repos).select("value", "n_owners", "n_repos", "live")
+    verdicts = ownership(found, max_owners, max_repos).select(dealt_anew("value"), "n_owners", "live")
     values = found.where(F.size("found") > 0).select("doc_id", "repo", "owner", "spans",
                                                      F.explode("found").alias("f")).distinct()
     per_row = (values.join(verdicts, F.col("f.value") == verdicts["value"])
@@ -162,7 +162,7 @@ def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = 1, ma
     dirty = marked.where(F.size(mark) > 0)
     owners = dirty.select(F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"),
                           F.col(mark).alias("found"))
-    live = ownership(owners, max_owners, max_repos).where("live").select("value")
+    live = ownership(owners, max_owners, max_repos).where("live").select(dealt_anew("value"))
     own = dirty.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.explode(f"{mark}.value").alias("value"))
     per_row = (own.distinct().join(live, "value").groupBy("id", "hash")
                .agg(F.collect_set("value").alias("values")))  # of one text
