@@ -48,6 +48,7 @@ STRONG = 2              # shingles of a signature that selects
 DEPTHS = 4
 CLUSTER_SHINGLES = 2_000_000   # of a cluster that one task joins, and of a slice of a larger one
 CENTRES = 16            # of a larger cluster
+TEXT_BYTES = 8 << 20     # of text handled at once in a task
 KEYS_SENT = 1_000_000   # row keys (8 bytes each) that are broadcast at most
 
 ENTRY = np.dtype([("low", "<u4"), ("node", "<i8")])
@@ -181,7 +182,7 @@ def sets_and_candidates(rows: DataFrame, buckets: int) -> DataFrame:
     set's 128-bit hash in two halves), and of kind 1, candidate edges (node, other)."""
 
     def emit(batches):
-        for table, texts in text_arrays(batches):
+        for table, texts in text_arrays(batches, limit=TEXT_BYTES):
             shingles, first = shingle_sets(texts)
             node = _sums(mix(shingles), first).view(np.int64)
             check = _sums(mix(shingles ^ U64(0xA5A5A5A5A5A5A5A5)), first).view(np.int64)
@@ -373,7 +374,7 @@ def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
     few = keys.limit(KEYS_SENT + 1).count() <= KEYS_SENT
 
     def as_sets(batches):
-        for table, texts in text_arrays(batches):
+        for table, texts in text_arrays(batches, limit=TEXT_BYTES):
             shingles, first = shingle_sets(texts)
             blobs = [shingles[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(

@@ -42,6 +42,7 @@ WINDOW = 35
 PERIOD = 21
 COVER = np.array([3, 6, 7, 12, 14])  # every difference modulo 21 is one of two of these
 ANCHOR = WINDOW - PERIOD + 1
+TEXT_BYTES = 10 << 20  # of text handled at once in a task
 KEYS_SENT = 1_000_000  # row keys (8 bytes each) that are broadcast at most
 
 PACKED = "chunk long, bucket int, payload binary"
@@ -74,7 +75,7 @@ def repeated_places(rows: DataFrame, hashed: Hasher, buckets: int, exact: bool)
     kind = ENTRY if exact else LIGHT
 
     def combine(batches):
-        for table, texts in text_arrays(batches):
+        for table, texts in text_arrays(batches, limit=TEXT_BYTES):
             doc, at, high, low = hashed(table, texts)
             keys = table["row"].to_numpy()
             chunk = int(keys[0])
