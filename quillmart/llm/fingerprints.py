@@ -33,7 +33,8 @@ from quillmart.session import scratch_path
 
 BASE_CELLS = 4  # in each of the three tables of a fingerprint
 LONG_LINE = 256
-ROUNDS = 4
+ROUNDS = 2          # of the three tables, for a sketch sized to the sets
+PARTS = 3           # ranges of documents for each shuffle partition
 MOST_RETRIES = 24
 ROW = ["part", "rn"]
 
@@ -126,8 +127,8 @@ def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataF
     difference have no row.
     """
     pairs, keys, names = _renamed(pairs, keys)
-    base = _outcome(peel(difference(pairs, keys, F.lit(BASE_CELLS), 0), keys, 0), keys)
-    fit = (F.lit(8) + F.ceil(0.75 * (F.size("a") + F.size("b")))).cast("int")
+    base = _outcome(peel(difference(pairs, keys, F.lit(BASE_CELLS), 0), keys, 0, rounds=1), keys)
+    fit = (F.lit(8) + F.size("a") + F.size("b")).cast("int")
     open_pairs = pairs
     answers = []
     for retry in range(1, MOST_RETRIES):
@@ -216,7 +217,7 @@ def with_next(spark: SparkSession, documents: DataFrame, parts: int) -> DataFram
 def fingerprint_edits(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Each document, its edited text (the last half replaced by the start of the next document)
     and its next document: fingerprints and likenesses (shared paragraphs / all paragraphs)."""
-    parts = shuffle_partitions(spark)
+    parts = PARTS * shuffle_partitions(spark)
     rows = with_next(spark, documents.select(F.col("doc_id").cast("long"), "text"), parts)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
