@@ -16,6 +16,9 @@ month, Spark shuffles series to tasks by key and fits them in parallel.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -39,11 +42,29 @@ except Exception:  # pragma: no cover - older cloudpickle: package must be on ex
     pass
 
 
-def monthly_series(actuals: DataFrame, key: str = "product_line") -> DataFrame:
-    """Σ revenue per (month, key) over actual (non-forecast) rows."""
-    return (actuals.where(~F.col("is_forecast") & F.col("revenue_month").isNotNull())
-            .groupBy("revenue_month", key)
-            .agg(F.sum("revenue").cast(MONEY).alias("revenue")))
+def monthly_series(actuals: DataFrame, key: str = "product_line", *, densify: str | None = None,
+                   before: dt.date | None = None) -> DataFrame:
+    """Σ revenue per (month, key) over actual (non-forecast) rows.
+
+    ``densify="zero"`` gives every month between a series' first and last a row, 0 where it
+    had none; ``before`` leaves out the month of that date and later ones (a
+    current month that is not over yet).
+    """
+    rows = actuals.where(~F.col("is_forecast") & F.col("revenue_month").isNotNull())
+    if before is not None:
+        rows = rows.where(F.col("revenue_month") < F.trunc(F.lit(before.isoformat()).cast("date"), "month"))
+    sums = rows.groupBy("revenue_month", key).agg(F.sum("revenue").cast(MONEY).alias("revenue"))
+    if densify is None:
+        return sums
+    if densify != "zero":
+        raise ValueError(f"densify must be None or 'zero', not {densify!r}")
+    w = Window.partitionBy(key).orderBy("revenue_month")  # a row per month
+    following = F.coalesce(F.lead("revenue_month").over(w), F.add_months("revenue_month", 1))
+    gaps = sums.withColumn("_next", following)
+    month = F.explode(F.sequence("revenue_month", F.add_months("_next", -1), F.expr("interval 1 month")))
+    return gaps.select(key, "revenue", F.col("revenue_month").alias("_first"), month.alias("revenue_month")).select(
+        "revenue_month", key, F.when(F.col("revenue_month") == F.col("_first"), F.col("revenue"))
+        .otherwise(F.lit(0).cast(MONEY)).alias("revenue"))
 
 
 def _forecast_rows(df: DataFrame, key: str) -> DataFrame:
@@ -220,6 +241,31 @@ def upsert_forecast(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def write_forecast(spark, path: str, forecast: DataFrame) -> int:
+    """Upsert ``forecast`` into the mart table at ``path`` (actual rows and earlier forecasts).
+
+    The new state is staged beside the table and then takes its place by a
+    rename, so readers see the old or the new one. Without forecast rows (no
+    actuals to learn from) nothing is written. Returns the rows of the forecast.
+    """
+    staged = f"{path}-staged-{uuid.uuid4().hex}"
+    forecast.write.parquet(f"{staged}/new")
+    new = spark.read.schema(forecast.schema).parquet(f"{staged}/new")
+    rows = new.count()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target, beside, root = hadoop(path), hadoop(f"{staged}/table"), hadoop(staged)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if rows:
+        held = spark.read.parquet(path) if fs.exists(target) else new.limit(0)
+        upsert_forecast(held, new).write.parquet(f"{staged}/table")
+        if fs.exists(target) and not fs.rename(target, hadoop(f"{staged}/old")):
+            raise OSError(f"cannot move {path}")
+        if not fs.rename(beside, target):
+            raise OSError(f"cannot move the new table to {path}")
+    fs.delete(root, True)
+    return rows
+
+
 # ----------------------------------------------------------------- levels
 def forecast_levels(actuals: DataFrame) -> DataFrame:
     """Series at company, product-line and therapeutic-area level (grouping sets)."""

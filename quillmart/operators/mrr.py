@@ -118,4 +118,4 @@ def mrr_waterfall(fact_mrr: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.when(prior > 0, pct(F.col("churned_customers"), prior))
         .otherwise(F.lit(0).cast("decimal(18,2)")).alias("churn_rate_pct"),
     )
-    return out
+    return out.orderBy(F.col("event_month").asc_nulls_last())  # read in order of months

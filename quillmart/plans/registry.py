@@ -383,6 +383,31 @@ def q_forecast_upsert(spark, sf_dir):
     return FC.upsert_forecast(existing, FC.forecast_linear(w.series))
 
 
+@register("forecast_table", ORACLE["forecast_upsert"])
+def q_forecast_table(spark, sf_dir):
+    """The forecast job on a written table: an earlier run, then the present one twice."""
+    from quillmart.session import scratch_path
+    w = _wh(spark, sf_dir)
+    path = scratch_path(spark, "forecast-table")
+    w.actuals.write.parquet(path)
+    old = FC.forecast_linear(w.series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
+    for forecast in (old, FC.forecast_linear(w.series), FC.forecast_linear(w.series), old.limit(0)):
+        FC.write_forecast(spark, path, forecast)
+    return spark.read.schema(w.actuals.schema).parquet(path)
+
+
+@register("monthly_series_dense", O.sql_for(f"""
+SELECT CAST(g.month AS DATE) AS revenue_month, s.product_line, CAST(COALESCE(f.revenue, 0) AS DECIMAL(18,2)) AS revenue
+FROM (SELECT product_line, min(revenue_month) AS a, max(revenue_month) AS b FROM fc_series
+      WHERE revenue_month < date_trunc('month', {O.AS_OF_SQL}) GROUP BY 1) s
+CROSS JOIN LATERAL (SELECT unnest(generate_series(CAST(s.a AS TIMESTAMP), CAST(s.b AS TIMESTAMP), INTERVAL 1 MONTH)) AS month) g
+LEFT JOIN fc_series f ON f.product_line IS NOT DISTINCT FROM s.product_line AND f.revenue_month = CAST(g.month AS DATE)"""))
+def q_monthly_series_dense(spark, sf_dir):
+    """Every month of a series, 0 where it had no revenue; the as-of month itself is not over yet."""
+    w = _wh(spark, sf_dir)
+    return FC.monthly_series(w.actuals, densify="zero", before=w.as_of)
+
+
 @register("forecast_levels", O.sql_for("""
 SELECT revenue_month,
        CASE WHEN GROUPING(product_line, therapeutic_area) = 3 THEN 'company'
@@ -791,6 +816,22 @@ def q_incremental_load(spark, sf_dir):
     return spark.read.schema(w.order_deliveries.schema).parquet(sink)
 
 
+@register("incremental_twice", O.sql_for("SELECT * FROM deliveries", _DELIV))
+def q_incremental_twice(spark, sf_dir):
+    """Two increments into one target: the second takes what was loaded after the target's latest row."""
+    import os
+    from quillmart.session import scratch_path
+    from quillmart.streaming.incremental import stream_increment, watermark_of
+    rows = _wh(spark, sf_dir).order_deliveries
+    base = scratch_path(spark, "increments")
+    sink, first = os.path.join(base, "sink"), F.col("_loaded_at") <= F.lit(RUN_TS_LIT).cast("timestamp_ntz")
+    for part in (rows.where(first), rows):  # the second drop holds the first once more
+        part.write.mode("append").parquet(os.path.join(base, "drops"))
+        stream_increment(spark, os.path.join(base, "drops"), sink, os.path.join(base, "checkpoint"),
+                         schema=rows.schema, watermark=watermark_of(spark, sink, rows.schema))
+    return spark.read.schema(rows.schema).parquet(sink)
+
+
 RUN_TS_LIT = "2001-01-01 01:30:00"
 
 

@@ -20,6 +20,7 @@ from quillmart.operators import facts as FX
 from quillmart.operators import marts as M
 from quillmart.operators import staging as S
 from quillmart.operators.mrr import mrr_waterfall
+from quillmart.plans.layers import layer_path
 from quillmart.sources import adapter
 from quillmart.sources.driver import read_table
 
@@ -190,7 +191,6 @@ def materialize_silver(w: Warehouse, path: str, block_bytes: int | None = None)
     tables, not the raw → staging → join chain) — the persistent equivalent
     of a checkpoint, in the shared folder. Returns seconds per table.
     """
-    import os
     import time
     spent = {}
     # Order lines joined to their headers feed orders, returns, costs and recurring revenue, and so
@@ -199,7 +199,7 @@ def materialize_silver(w: Warehouse, path: str, block_bytes: int | None = None)
     wr = w._lines.write.mode("overwrite")
     if block_bytes:
         wr = wr.option("parquet.block.size", block_bytes)
-    p = os.path.join(path, "order_lines")
+    p = layer_path(path, "order_lines")
     wr.parquet(p)
     spent["order_lines"] = time.time() - t0
     w.__dict__["_lines"] = w.spark.read.parquet(p)
@@ -212,7 +212,7 @@ def materialize_silver(w: Warehouse, path: str, block_bytes: int | None = None)
         wr = get().write.mode("overwrite")
         if block_bytes:
             wr = wr.option("parquet.block.size", block_bytes)
-        p = os.path.join(path, name)
+        p = layer_path(path, name)
         wr.parquet(p)
         spent[name] = time.time() - t0
         read_back[name] = w.spark.read.parquet(p)

@@ -13,6 +13,14 @@ def incremental(df: DataFrame, watermark, col: str = "_loaded_at") -> DataFrame:
     return df.where(F.col(col) > F.lit(str(watermark)).cast(df.schema[col].dataType))
 
 
+def watermark_of(spark: SparkSession, sink_dir: str, schema, col: str = "_loaded_at"):
+    """The latest load time that the target holds, None before the first increment."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sink_dir)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(schema).parquet(sink_dir).agg(F.max(col)).head()[0]
+
+
 def stream_increment(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                      schema, transform=None, watermark=None, col: str = "_loaded_at") -> int:
     """Apply the batch transform to every new Parquet drop under ``source_dir``.

@@ -8,7 +8,7 @@ from quillmart.plans.warehouse import Warehouse, materialize_silver
 SF = "/root/testdata/sf0.001"
 # These write files to read them back: that is what they are about.
 WRITERS = {"incremental_load", "load_daily_csv", "load_idempotent", "load_static_csv", "load_dated_csv",
-           "load_one_day_csv", "export_roundtrip"}
+           "load_one_day_csv", "export_roundtrip", "incremental_twice", "forecast_table"}
 
 
 def jobs(spark, group):
