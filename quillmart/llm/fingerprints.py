@@ -36,6 +36,7 @@ LONG_LINE = 256
 ROUNDS = 2          # of the three tables, for a sketch sized to the sets
 PARTS = 3           # ranges of documents for each shuffle partition
 MOST_RETRIES = 24
+PAIRS_SENT = 1_000_000  # keys of failed pairs (some 16 bytes each) that are broadcast at most
 ROW = ["part", "rn"]
 
 
@@ -143,9 +144,11 @@ def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataF
         done = spark.read.schema(sized.schema).parquet(path)
         answers.append(done.where("left = 0").select(*keys, "differ"))
         failed = done.where("left = 1").select(*keys)
-        if failed.isEmpty():
+        count = failed.limit(PAIRS_SENT + 1).count()
+        if not count:
             return reduce(DataFrame.unionByName, answers).withColumnsRenamed(names)
-        open_pairs = pairs.join(failed, keys, "left_semi")
+        # few pairs (checked) go to where the digests lie; else both sides are shuffled
+        open_pairs = pairs.join(F.broadcast(failed) if count <= PAIRS_SENT else failed, keys, "left_semi")
     raise RuntimeError(f"sketches of {MOST_RETRIES} sizes failed")
 
 
