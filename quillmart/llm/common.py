@@ -51,6 +51,18 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_number(spark: SparkSession) -> Column:
+    """A number for each row of a table read from files, the same for every read of it.
+
+    It follows from a row's file split. Spark sizes splits by the cores it has just
+    then unless a least number of splits is set; that is done here (where it is
+    unset), so executors that come or go between two reads change nothing.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")  # splits of maxPartitionBytes
+    return F.monotonically_increasing_id()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

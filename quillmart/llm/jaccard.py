@@ -36,7 +36,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, dealt_anew, mix, ngrams, ranges, shuffle_partitions, stage, text_arrays
+from quillmart.llm.common import (
+    U64, Words, dealt_anew, mix, ngrams, ranges, row_number, shuffle_partitions, stage, text_arrays)
 from quillmart.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -362,7 +363,7 @@ def _large_edges(spark: SparkSession, members: DataFrame, sizes: DataFrame) -> D
 def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(row, doc_id, n, label): the component of each row, null where the text has no words."""
     buckets = shuffle_partitions(spark)
-    rows = documents.select(F.monotonically_increasing_id().alias("row"),
+    rows = documents.select(row_number(spark).alias("row"),
                             F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stage(spark, sets_and_candidates(rows, buckets), "sets")
     docs = found.where("kind = 0 and n > 0").select("row", "doc_id", "n", "node", "check")
@@ -423,5 +424,5 @@ def keep_one(spark: SparkSession, documents: DataFrame) -> DataFrame:
     few = gone.limit(KEYS_SENT + 1).count() <= KEYS_SENT
     name = "row" if "row" not in documents.columns else "row_number_of_join"
     gone = gone.withColumnRenamed("row", name)
-    return documents.withColumn(name, F.monotonically_increasing_id()).join(
+    return documents.withColumn(name, row_number(spark)).join(
         F.broadcast(gone) if few else gone, name, "left_anti").select(*documents.columns)

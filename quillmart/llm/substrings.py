@@ -33,7 +33,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, long_ngrams, mix, ngrams, ranges, shuffle_partitions, stage, text_arrays
+from quillmart.llm.common import (
+    U64, Words, long_ngrams, mix, ngrams, row_number, shuffle_partitions, stage, text_arrays)
 from quillmart.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -247,7 +248,7 @@ def _rest_text(batches):
 
 def numbered(documents: DataFrame) -> DataFrame:
     """(row, doc_id, text): the same number for a row whenever the table is read."""
-    return documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+    return documents.select(row_number(documents.sparkSession).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                             "text")
 
 
