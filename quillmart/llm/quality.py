@@ -40,7 +40,7 @@ CHUNK, HOP = 256, 240      # bytes of a chunk, and between the starts of two
 WIDTH, STRIDE = 8, 2       # bytes under a filter, and between its places
 DIM, FILTERS = 6, 16
 EPOCHS, BATCH, RATE = 6, 32, 0.01
-BLOCK = 1024               # chunks computed at once
+BLOCK = 512                # chunks computed at once
 
 
 def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,14 +76,15 @@ class Network:
         at = np.empty((len(chunks), FILTERS), np.int32) if where else None
         for a in range(0, len(chunks), BLOCK):
             part = chunks[a: a + BLOCK]
+            n = len(part)
             x = self.p["byte"][part].reshape(len(part), CHUNK * DIM)
             seen = np.lib.stride_tricks.as_strided(
                 x, (len(part), places, WIDTH * DIM), (x.strides[0], STRIDE * DIM * 4, 4))
-            y = seen.reshape(-1, WIDTH * DIM) @ self.p["filter"]
-            y = y.reshape(len(part), places, FILTERS)
+            # one product for each chunk: rounding depends on a product's shape, and so equal chunks agree
+            y = np.matmul(np.ascontiguousarray(seen), self.p["filter"])
             if where:
-                at[a: a + BLOCK] = y.argmax(axis=1)
-            best[a: a + BLOCK] = y.max(axis=1)
+                at[a: a + n] = y.argmax(axis=1)[:n]
+            best[a: a + n] = y.max(axis=1)[:n]
         best += self.p["shift"]
         return (best, at) if where else best
 
@@ -101,14 +102,17 @@ class Network:
             return np.zeros(0)
         chunks, first = cut(data, offsets)
         h, _, _ = self.combine(self.pooled(chunks), first)
-        return 1 / (1 + np.exp(-np.clip(h @ self.p["out"] + self.p["bias"][0], -35, 35).astype(np.float64)))
+        return 1 / (1 + np.exp(-np.clip(self.logit(h), -35, 35).astype(np.float64)))
+
+    def logit(self, h: np.ndarray) -> np.ndarray:
+        return (h * self.p["out"]).sum(axis=1) + self.p["bias"][0]  # by row: equal rows, equal sums
 
     def gradients(self, data: np.ndarray, offsets: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean log loss; only the places that won a maximum carry any."""
         chunks, first = cut(data, offsets)
         best, at = self.pooled(chunks, where=True)
         h, r, top = self.combine(best, first)
-        p = 1 / (1 + np.exp(-np.clip(h @ self.p["out"] + self.p["bias"][0], -35, 35)))
+        p = 1 / (1 + np.exp(-np.clip(self.logit(h), -35, 35)))
         e = ((p - y) / len(y)).astype(np.float32)
         counts = np.diff(first)
         doc = np.repeat(np.arange(len(y)), counts)

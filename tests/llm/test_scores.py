@@ -111,3 +111,15 @@ def test_gradients():
         down = loss()
         net.p[key][at] = held
         assert grads[key][at] == pytest.approx((up - down) / (2 * step), abs=2e-3)
+
+
+def test_equal_texts_get_equal_scores_wherever_they_stand():
+    r = np.random.default_rng(3)
+    net = quality.Network(4)
+    texts = [bytes(r.integers(32, 126, int(n)).astype(np.uint8)) for n in r.integers(0, 1500, 300)]
+    texts += texts[::-1] + [texts[5]] * 7
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    scores = net.scores(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert (scores[:300] == scores[300:600][::-1]).all() and (scores[600:] == scores[5]).all()
+    for t, s in zip(texts[:40], scores):
+        assert net.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] == s
