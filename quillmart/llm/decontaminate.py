@@ -1,14 +1,15 @@
 """Benchmark decontamination with SimHash windows.
 
-Every window of a document as long as a benchmark item's probe gets a SimHash of
-its 5-word shingles. Probes are the first and last words of an item (and every
-window between in a long one), as many as the largest window size that fits; a
-few sizes serve all items. A multi-index finds the windows within the radius: a
-fingerprint of 64 bits has four blocks, and two within distance 7 agree in one
-block up to a single bit, so each probe's blocks and their one-bit neighbours
-find every such window. Candidates are then compared exactly: the item-sized span
-of the document against the item, by the weighted Jaccard similarity of their
-shingles (rare shingles of the benchmark weigh more).
+A document holds an item when some span of it, as many words as the item (the whole
+document when that is shorter), has a weighted Jaccard similarity of 5-word shingles of
+``SIMILAR`` or more; rare shingles of the benchmark weigh more, and a shingle that the
+item lacks weighs as one of no item. Such a span lacks at most a share 1 - ``SIMILAR``
+of the item's weight, so of any windows of the item that weigh more together at least
+one is in it unchanged. Probes are that many windows, one shingle each (of which the
+SimHash is the shingle's hash), the rarest first. A multi-index finds them: a
+fingerprint of 64 bits has four blocks, and two within distance 7 agree in one block up
+to a single bit, so each probe's blocks and their one-bit neighbours find every such
+window. All item-sized spans over a window found are then compared exactly.
 
 The benchmark goes to the tasks in blocks of ``ITEM_BLOCK`` items, so what is
 broadcast is bounded whatever its size; documents are read once for each block and
@@ -16,7 +17,8 @@ never shuffled.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` in lower case; an item
 with fewer than five words is one shingle and must be found word for word; an
-item or document without words matches nothing; null texts are empty; equal
+item or document without words matches nothing; null texts are empty; of equally
+similar spans the first is given, with the distance of its SimHash to the item's; equal
 items are answered each under their own id; equal documents get equal rows; an
 empty table on either side gives no rows. Extra columns are ignored.
 """
@@ -35,15 +37,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, ngrams, text_arrays
+from quillmart.llm.common import U64, Words, ngrams, ranges, text_arrays
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 5
 SIMILAR = 0.8
+SLACK = 1e-6        # above rounding, as a share of an item's weight
 RADIUS = 7          # of four 16-bit blocks one differs in at most 7 // 4 = 1 bit
-RATIO = 1.35        # between window sizes
-MOST_WORDS = 255    # of a window: its lanes count up to 255 shingles
 ITEM_BLOCK = 2000
 TEXT_BYTES = 4 << 20
 
@@ -77,13 +78,32 @@ def simhashes(shingles: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
     return out
 
 
+def simhash(shingles: np.ndarray) -> int:
+    """SimHash of any number of shingles."""
+    bits = np.unpackbits(np.ascontiguousarray(shingles).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return int(np.packbits(bits.sum(0) > len(shingles) // 2, bitorder="little").view(U64)[0])
+
+
 class Item:
-    """A benchmark item: its words' hashes, shingles and probes."""
+    """A benchmark item: its SimHash, its distinct shingles and how often it has each."""
 
     def __init__(self, item_id: int, hashes: np.ndarray):
         self.id, self.words = item_id, len(hashes)
         self.unit = min(SHINGLE, self.words)
-        self.shingles = ngrams(hashes, self.unit)
+        shingles = ngrams(hashes, self.unit)
+        self.print = simhash(shingles)
+        self.distinct, self.uses = np.unique(shingles, return_counts=True)
+
+    def weigh(self, weights: np.ndarray) -> None:
+        self.weights = weights
+        self.total = float((weights * self.uses).sum())
+
+    def probes(self) -> np.ndarray:
+        """Shingles that together weigh more than a similar span may lack."""
+        order = np.lexsort((self.distinct, -self.weights))
+        weight = np.cumsum((self.weights * self.uses)[order])
+        least = int(np.searchsorted(weight, (1 - SIMILAR + SLACK) * self.total, "right"))
+        return self.distinct[order[: least + 1]]
 
 
 class ItemIndex:
@@ -93,31 +113,19 @@ class ItemIndex:
         words = Words(pc.utf8_lower(pa.array([t or "" for _, t in items], pa.string())))
         hashes = words.hashes()[0] if len(words) else np.zeros(0, U64)
         self.items = [Item(i, hashes[a:b]) for (i, _), a, b in zip(items, words.docs[:-1], words.docs[1:]) if b > a]
-        in_items = Counter(int(s) for item in self.items for s in set(item.shingles.tolist()))
+        in_items = Counter(s for item in self.items for s in item.distinct.tolist())
         n = max(len(self.items), 1)
-        self.weights = {s: math.log(1 + n / c) for s, c in in_items.items()}
         self.other = math.log(1 + n)
-        lengths = sorted({min(i.words, MOST_WORDS) for i in self.items})
-        self.sizes: list[int] = []
-        for k in lengths:
-            if not self.sizes or (k >= SHINGLE > self.sizes[-1]) or k < SHINGLE or k >= RATIO * self.sizes[-1]:
-                self.sizes.append(k)
         self.probes: dict[int, dict] = {}
-        for size in self.sizes:
-            upper = next((s for s in self.sizes if s > size), None)
-            own = [(k, i) for k, i in enumerate(self.items) if i.words >= size and (upper is None or i.words < upper)]
-            places = [(k, at) for k, i in own for at in sorted({*range(0, i.words - size + 1, size), i.words - size})]
-            prints = [self._print(self.items[k].shingles, at, size) for k, at in places]
-            if places:
-                self.probes[size] = self._blocks(np.array(prints, U64), places)
-
-    @staticmethod
-    def _print(shingles: np.ndarray, at: int, size: int) -> int:
-        m = size - min(SHINGLE, size) + 1
-        return int(simhashes(shingles[at: at + m], [m])[m].copy().view(U64)[0, 0])
+        for item in self.items:
+            item.weigh(np.array([math.log(1 + n / in_items[s]) for s in item.distinct.tolist()]))
+        for size in sorted({item.unit for item in self.items}):
+            prints = {k: item.probes() for k, item in enumerate(self.items) if item.unit == size}
+            self.probes[size] = self._blocks(np.concatenate([*prints.values()]),
+                                             np.repeat([*prints], [len(p) for p in prints.values()]))
 
     @staticmethod
-    def _blocks(prints: np.ndarray, places: list[tuple[int, int]]) -> dict:
+    def _blocks(prints: np.ndarray, places: np.ndarray) -> dict:
         """For each block: value -> probes whose block is that value or one bit from it."""
         near = np.concatenate([[0], 1 << np.arange(16)]).astype(np.uint16)
         tables = []
@@ -131,67 +139,82 @@ class ItemIndex:
             tables.append((first, probe[order]))
         return {"prints": prints, "places": places, "tables": tables}
 
-    def similarity(self, item: Item, window: np.ndarray) -> float:
-        """Weighted Jaccard of two bags of shingles."""
-        a, b = Counter(item.shingles.tolist()), Counter(window.tolist())
-        both = either = 0.0
-        for s in a.keys() | b.keys():
-            w = self.weights.get(s, self.other)
-            both += w * min(a[s], b[s])
-            either += w * max(a[s], b[s])
-        return both / either if either else 0.0
+    def similarities(self, item: Item, shingles: np.ndarray, size: int) -> np.ndarray:
+        """Weighted Jaccard of the item's bag of shingles and that of ``size`` shingles from each position."""
+        n = len(shingles) - size + 1
+        index = np.minimum(np.searchsorted(item.distinct, shingles), len(item.distinct) - 1)
+        own = np.flatnonzero(item.distinct[index] == shingles)
+        weights = np.full(len(shingles), self.other)
+        weights[own] = item.weights[index[own]]
+        # A use counts from the position after the one that many uses before, as the item has.
+        order = own[np.argsort(index[own], kind="stable")]
+        back = np.arange(len(order)) - item.uses[index[order]]
+        same = (back >= 0) & (index[order[back]] == index[order])
+        start = np.maximum(np.where(same, order[back] + 1, 0), order - size + 1)
+        change = np.zeros(len(shingles) + 1)
+        np.add.at(change, start, weights[order])
+        np.subtract.at(change, order + 1, weights[order])
+        both = np.cumsum(change)[:n]
+        total = np.concatenate([[0], np.cumsum(weights)])
+        return both / (item.total + total[size:] - total[:-size] - both)
 
     def search(self, hashes: np.ndarray, docs: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(text, item, similarity, distance, first word) of the best match for each text and item.
 
         ``hashes``: word hashes of all texts, ``docs``: the first word of each.
         """
-        best: dict[tuple[int, int], tuple] = {}
-        by_unit: dict[int, list[int]] = {}
-        for size in self.probes:
-            by_unit.setdefault(min(SHINGLE, size), []).append(size)
-        for unit, sizes in by_unit.items():
+        out = []
+        for unit in self.probes:
             shingles = ngrams(hashes, unit)
-            prints = simhashes(shingles, [s - unit + 1 for s in sizes])
-            for size in sizes:
-                self._search_size(prints[size - unit + 1], size, shingles, unit, docs, best)
-        return [(d, self.items[k].id, *m[:1], -m[1], m[2]) for (d, k), m in sorted(best.items())]
-
-    def _search_size(self, prints, size, shingles, unit, docs, best) -> None:
-        probes = self.probes[size]
-        value, halves = prints.view(U64).ravel(), prints.view(np.uint16)
+            windows, k = self._windows(shingles, unit)
+            d = np.searchsorted(docs, windows, "right") - 1
+            words = np.array([item.words for item in self.items])[k]
+            # first words of the spans that hold the window inside its own document
+            low = np.maximum(windows + unit - words, docs[d])
+            high = np.maximum(np.minimum(windows, docs[d + 1] - words), docs[d])
+            whole = windows + unit <= docs[d + 1]
+            order = np.lexsort((low, k, d))
+            order = order[whole[order]]
+            held: list = [None, 0, 0]
+            for pair, a, b in [*zip(zip(d[order].tolist(), k[order].tolist()), low[order].tolist(), high[order].tolist()),
+                               (None, 0, 0)]:
+                if pair == held[0] and a <= held[2] + 1:
+                    held[2] = max(held[2], b)
+                    continue
+                if held[0]:
+                    out += self._best(*held, shingles, docs)
+                held = [pair, a, b]
+        best: dict[tuple[int, int], tuple] = {}
+        for pair, *match in out:
+            if match[0] > best.get(pair, (0,))[0]:
+                best[pair] = match
+        return [(d, self.items[k].id, *m) for (d, k), m in sorted(best.items())]
+
+    def _best(self, pair, low, high, shingles, docs) -> list[tuple]:
+        """The most similar of the spans that start from ``low`` to ``high``, if similar enough."""
+        d, item = pair[0], self.items[pair[1]]
+        size = min(item.words, int(docs[d + 1] - docs[d])) - item.unit + 1
+        found = np.round(self.similarities(item, shingles[low: high + size], size), 9)
+        at = int(found.argmax())
+        if found[at] < SIMILAR:
+            return []
+        distance = (simhash(shingles[low + at: low + at + size]) ^ item.print).bit_count()
+        return [(pair, float(found[at]), distance, low + at - int(docs[d]))]
+
+    def _windows(self, prints: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and the items of which they are within the radius of a probe."""
+        probes = self.probes[unit]
+        halves = prints.view(np.uint16).reshape(-1, 4)
         pairs = []
         for b, (first, listed) in enumerate(probes["tables"]):
             key = halves[:, b]
             counts = np.diff(first)[key]
             at = np.flatnonzero(counts)
-            start, counts = first[key[at]], counts[at]
-            window = np.repeat(at, counts)
-            lead = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else counts
-            probe = listed[np.arange(len(window)) + np.repeat(start - lead, counts)]
-            distance = np.bitwise_count(value[window] ^ probes["prints"][probe])
-            near = distance <= RADIUS
-            pairs.append(np.stack([window[near], probe[near], distance[near]]))
-        if not pairs:
-            return
-        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        doc = np.searchsorted(docs, found[0], "right") - 1
-        seen = set()
-        for (at, p, distance), d in zip(found.T.tolist(), doc.tolist()):
-            k, offset = probes["places"][p]
-            item = self.items[k]
-            # the item-sized span around the window, inside its own document
-            start = max(at - offset, int(docs[d]))
-            stop = min(start + item.words, int(docs[d + 1]))
-            start = max(min(start, stop - item.words), int(docs[d]))
-            if at + size > docs[d + 1] or stop - start < unit or (start, stop, k) in seen:
-                continue
-            seen.add((start, stop, k))
-            similarity = self.similarity(item, shingles[start: stop - item.unit + 1])
-            if similarity >= SIMILAR:
-                match = (similarity, -distance, start - int(docs[d]))
-                if match > best.get((d, k), (-1,)):
-                    best[d, k] = match
+            window = np.repeat(at, counts[at])
+            probe = listed[ranges(first[key[at]], counts[at])]
+            near = np.bitwise_count(prints[window] ^ probes["prints"][probe]) <= RADIUS
+            pairs.append(window[near] * len(self.items) + probes["places"][probe[near]])
+        return np.divmod(np.unique(np.concatenate(pairs)), len(self.items))
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
