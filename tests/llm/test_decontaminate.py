@@ -87,3 +87,12 @@ def test_a_replaced_word_in_the_middle_of_long_items():
         words[len(words) // 2] = "other"
         docs.append("before it " + " ".join(words) + " and after")
     assert {(i, i) for i in range(300)} == search(docs, items).keys()
+
+
+def test_documents_shorter_than_their_item():
+    r = random.Random(3)
+    items = [(i, " ".join(f"q{r.randrange(10 ** 5)}" for _ in range(n))) for i, n in enumerate([15, 17, 27, 38, 40, 48, 56, 59, 300])]
+    docs = [" ".join(t.split()[a: len(t.split()) - b]) for _, t in items for a, b in ((0, 1), (1, 0), (2, 2), (0, 5), (3, 6))]
+    want = brute(docs, items)
+    assert {(5 * i + k, i) for i in range(9) for k in (0, 1)} <= want.keys()
+    assert search(docs, items) == want
