@@ -11,7 +11,8 @@ fingerprint of 64 bits has four blocks, and two within distance 7 agree in one b
 to a single bit, so each probe's blocks and their one-bit neighbours find every such
 window. All item-sized spans over a window found are then compared exactly.
 
-The benchmark goes to the tasks in blocks of ``ITEM_BLOCK`` items, so what is
+Shingles are counted once over the whole benchmark, so that no result depends on which
+items share a block. The benchmark goes to the tasks in blocks of ``ITEM_BLOCK`` items, so what is
 broadcast is bounded whatever its size; documents are read once for each block and
 never shuffled.
 
@@ -27,8 +28,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, ngrams, ranges, text_arrays
+from quillmart.llm.common import U64, Words, ngrams, ranges, stage, text_arrays
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -107,18 +107,25 @@ class Item:
 
 
 class ItemIndex:
-    """Multi-index over the probes of one block of items."""
+    """Multi-index over the probes of one block of items.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``uses``: the number of items in the whole benchmark and a function from shingles to
+    the number of items that have each; without it, the block is the benchmark.
+    """
+
+    def __init__(self, items: list[tuple[int, str]],
+                 uses: tuple[int, Callable[[np.ndarray], np.ndarray]] | None = None):
         words = Words(pc.utf8_lower(pa.array([t or "" for _, t in items], pa.string())))
         hashes = words.hashes()[0] if len(words) else np.zeros(0, U64)
         self.items = [Item(i, hashes[a:b]) for (i, _), a, b in zip(items, words.docs[:-1], words.docs[1:]) if b > a]
-        in_items = Counter(s for item in self.items for s in item.distinct.tolist())
-        n = max(len(self.items), 1)
+        own = np.concatenate([np.zeros(0, U64), *(item.distinct for item in self.items)])
+        shingles, counts = np.unique(own, return_counts=True)
+        n, in_items = (len(self.items), counts) if uses is None else (uses[0], uses[1](shingles))
+        weights = np.log(1 + n / in_items)
         self.other = math.log(1 + n)
         self.probes: dict[int, dict] = {}
         for item in self.items:
-            item.weigh(np.array([math.log(1 + n / in_items[s]) for s in item.distinct.tolist()]))
+            item.weigh(weights[np.searchsorted(shingles, item.distinct)])
         for size in sorted({item.unit for item in self.items}):
             prints = {k: item.probes() for k, item in enumerate(self.items) if item.unit == size}
             self.probes[size] = self._blocks(np.concatenate([*prints.values()]),
@@ -229,13 +236,51 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
+def item_uses(spark: SparkSession, benchmark: DataFrame) -> tuple[int, Callable[[np.ndarray], np.ndarray]]:
+    """The number of items with words, and a function from shingles to the number of items with each.
+
+    Counted over the whole benchmark in one aggregation; only shingles of several items are kept.
+    """
+
+    def per_partition(batches):
+        for _, texts in text_arrays(batches, limit=TEXT_BYTES):
+            words = Words(pc.utf8_lower(texts))
+            if not len(words):
+                continue
+            hashes = words.hashes()[0]
+            found = [Item(0, hashes[a:b]).distinct for a, b in zip(words.docs[:-1], words.docs[1:]) if b > a]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64())], names=["shingle"])  # one an item
+
+    counts = stage(spark, benchmark.select("text").mapInArrow(per_partition, "shingle long").groupBy("shingle")
+                   .agg(F.count(F.lit(1)).alias("n")).where("shingle IS NULL OR n > 1"), "item-shingles")
+    items = counts.where("shingle IS NULL").head()
+
+    def uses(shingles: np.ndarray) -> np.ndarray:
+        out = np.ones(len(shingles), np.int64)
+        if len(shingles):
+            asked = spark.createDataFrame(pa.table({"shingle": shingles.view(np.int64), "at": np.arange(len(shingles))}))
+            got = asked.join(counts, "shingle").select("at", "n").toArrow()
+            out[got["at"].to_numpy()] = got["n"].to_numpy()
+        return out
+
+    return (items["n"] if items else 0), uses
+
+
+def indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator[ItemIndex]:
+    """The multi-index of each block of items. What an item weighs doesn't depend on its block."""
+    uses = item_uses(spark, benchmark)
+    for block in item_blocks(benchmark):
+        yield ItemIndex(block, uses)
+
+
 def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item whose similarity is ``SIMILAR`` or more, with the best span."""
     schema = "doc_id long, item_id long, similarity double, distance int, start_word int"
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     out = spark.createDataFrame([], schema)
-    for block in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(ItemIndex(block))
+    for index in indexes(spark, benchmark):
+        shared = spark.sparkContext.broadcast(index)
 
         def per_partition(batches, shared=shared):
             index = shared.value
@@ -256,8 +301,8 @@ def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFram
 
 def drop_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those that hold a benchmark item; all columns stay."""
-    for block in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(ItemIndex(block))
+    for index in indexes(spark, benchmark):
+        shared = spark.sparkContext.broadcast(index)
 
         def per_partition(batches, shared=shared):
             index = shared.value

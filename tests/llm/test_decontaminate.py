@@ -96,3 +96,20 @@ def test_documents_shorter_than_their_item():
     want = brute(docs, items)
     assert {(5 * i + k, i) for i in range(9) for k in (0, 1)} <= want.keys()
     assert search(docs, items) == want
+
+
+def test_blocks_of_items_change_nothing(spark, monkeypatch):
+    r = random.Random(11)
+    common = [f"q{r.randrange(400)}" for _ in range(30)]
+    items = [(i, " ".join([*common[: 10 + i % 20], *(f"q{r.randrange(400)}" for _ in range(8 + i % 25))])) for i in range(40)]
+    items += [(90, None), (91, items[5][1]), (92, "two words")]
+    docs = [" ".join(edited(r, t.split(), i % 3)[i % 4:]) for i, (_, t) in enumerate(items[:40])] + ["two words", None]
+    want = brute(docs, items)
+    table = data.documents(spark, [*enumerate(docs)]).repartition(2)
+    for block, order in ((2000, 1), (15, 1), (15, -1)):
+        monkeypatch.setattr(decontaminate, "ITEM_BLOCK", block)
+        benchmark = spark.createDataFrame(items[::order], "item_id long, text string").coalesce(1)
+        got = decontaminate.contamination(spark, table, benchmark).collect()
+        assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in got} == want and len(got) == len(want)
+        left = decontaminate.drop_contaminated(spark, table, benchmark)
+        assert {r["doc_id"] for r in left.collect()} == set(range(len(docs))) - {d for d, _ in want}
