@@ -2,9 +2,9 @@
 
 Base rules find candidate credentials in every whole text. Each candidate's
 value is hashed, and the hashes are aggregated over the corpus: how many
-distinct repositories and owners carry the same value. A value that several
-owners carry, or one owner in many repositories, is a copied example; the
-others look live. The verdicts go back to each document.
+distinct repositories and owners carry the same value. A value that more than
+``MAX_OWNERS`` owners carry is a copied example. The others look live, in however
+many repositories of an owner they stand. The verdicts go back to each document.
 
 Defined cases: a null or empty text has no findings; equal rows count once per
 (repository, owner) and each get the same result; a null owner or repository is
@@ -34,6 +34,9 @@ ASSIGN = rb"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][
 ACCESS = rb"AKIA[A-Z0-9]+"
 HEX = rb"[0-9a-f]{16,}"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
+# A real key gets around by a copied passage or a shared project; only what more
+# distinct owners than this carry counts as an example.
+MAX_OWNERS = 5
 KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 SCHEMA = ("doc_id long, repo string, owner string, n_assign long, n_access long, n_hex long, "
@@ -99,7 +102,7 @@ def scan(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     ).mapInArrow(per_partition, SCHEMA)
 
 
-def ownership(found: DataFrame, max_owners: int = 1, max_repos: int = 3) -> DataFrame:
+def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     """Per hashed value: distinct repositories, distinct owners and the verdict.
 
     Counted in three partial aggregations, so a value that a third of all rows
@@ -110,14 +113,13 @@ def ownership(found: DataFrame, max_owners: int = 1, max_repos: int = 3) -> Data
     per_owner = per_repo.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
     total = per_owner.groupBy("value").agg(
         F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_uses"))
-    return total.withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
+    return total.withColumn("live", F.col("n_owners") <= max_owners)
 
 
-def secret_scan(spark: SparkSession, documents: DataFrame, max_owners: int = 1, max_repos: int = 3,
-                **columns) -> DataFrame:
+def secret_scan(spark: SparkSession, documents: DataFrame, max_owners: int = MAX_OWNERS, **columns) -> DataFrame:
     """Findings of each row and how many of its values look live or are copied examples."""
     found = stage(spark, scan(documents, **columns), "secrets")
-    verdicts = ownership(found, max_owners, max_repos).select(dealt_anew("value"), "n_owners", "live")
+    verdicts = ownership(found, max_owners).select(dealt_anew("value"), "n_owners", "live")
     values = found.where(F.size("found") > 0).select("doc_id", "repo", "owner", "spans",
                                                      F.explode("found").alias("f")).distinct()
     per_row = (values.join(verdicts, F.col("f.value") == verdicts["value"])
@@ -138,7 +140,7 @@ def secret_scan(spark: SparkSession, documents: DataFrame, max_owners: int = 1,
         F.coalesce("b.live_spans", F.lit("")).alias("live_spans"))
 
 
-def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = 1, max_repos: int = 3,
+def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = MAX_OWNERS,
               text_col: str = "text", id_col: str = "doc_id", repo_col: str = "doc_id",
               owner_col: str = "source", mask: str = "[secret]") -> DataFrame:
     """``documents`` with the live-looking findings of ``text_col`` replaced by ``mask``.
@@ -162,7 +164,7 @@ def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = 1, ma
     dirty = marked.where(F.size(mark) > 0)
     owners = dirty.select(F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"),
                           F.col(mark).alias("found"))
-    live = ownership(owners, max_owners, max_repos).where("live").select(dealt_anew("value"))
+    live = ownership(owners, max_owners).where("live").select(dealt_anew("value"))
     own = dirty.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.explode(f"{mark}.value").alias("value"))
     per_row = (own.distinct().join(live, "value").groupBy("id", "hash")
                .agg(F.collect_set("value").alias("values")))  # of one text

@@ -69,3 +69,19 @@ def test_masking_live_values(spark):
     assert got.columns == df.columns and got.count() == df.count()
     by = {r["doc_id"]: r["text"] for r in got.collect()}
     assert by[200] == "[secret]'" and by[100] == "é key deadbeefdeadbeef0123 end" and by[1] is None
+
+
+def test_keys_of_few_owners_are_live_however_often_they_stand(spark, tmp_path):
+    one, two, five, six = (f"{k}123456789abcdef0123" for k in "abcd")
+    out = [(i, f"token: {one} end", "en", "hot") for i in range(40)]
+    out += [(100 + i, f"key {two} end", "en", f"src{i}") for i in range(2)]
+    out += [(200 + i, f"key {five} end", "en", f"src{i % 5}") for i in range(15)]
+    out += [(300 + i, f"key {six} end", "en", f"src{i}") for i in range(6)]
+    df = data.documents(spark, out)
+    sf = data.write_tables(spark, tmp_path, documents=df)
+    got = queries.op2_secret_ownership(spark, sf).collect()
+    assert all((r["n_live"] > 0, r["n_shared"] > 0) == (r["doc_id"] < 300, r["doc_id"] >= 300) for r in got)
+    assert all(r["live_spans"] == (r["spans"] if r["doc_id"] < 300 else "") for r in got)
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_live(spark, df).collect()}
+    assert all(("[secret]" in t and "123456789abcdef" not in t) == (d < 300) for d, t in masked.items())
+    assert masked[300] == f"key {six} end" and len(masked) == len(out)
