@@ -12,9 +12,10 @@ to a single bit, so each probe's blocks and their one-bit neighbours find every
 window. All item-sized spans over a window found are then compared exactly.
 
 Shingles are counted once over the whole benchmark, so that no result depends on which
-items share a block. The benchmark goes to the tasks in blocks of ``ITEM_BLOCK`` items, so what is
-broadcast is bounded whatever its size; documents are read once for each block and
-never shuffled.
+items share a block. The benchmark goes to the tasks in blocks of at most ``ITEM_BLOCK``
+items and ``BLOCK_CHARS`` characters, one after the other: a block's matches are written
+and its broadcast released before the next is made. Documents are read once for each
+block.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` in lower case; an item
 with fewer than five words is one shingle and must be found word for word; an
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import U64, Words, ngrams, ranges, stage, text_arrays
+from quillmart.llm.common import U64, Words, dealt_anew, ngrams, ranges, stage, text_arrays
+from quillmart.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,6 +49,7 @@ SIMILAR = 0.8
 SLACK = 1e-6        # above rounding, as a share of an item's weight
 RADIUS = 7          # of four 16-bit blocks one differs in at most 7 // 4 = 1 bit
 ITEM_BLOCK = 2000
+BLOCK_CHARS = 2 << 20  # of the items of a block, but for a single longer one
 TEXT_BYTES = 4 << 20
 
 # Byte -> its eight bits in the eight bytes of a 64-bit value.
@@ -225,13 +229,15 @@ class ItemIndex:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of ``ITEM_BLOCK`` items, each bounded on the driver."""
-    held = []
+    """The benchmark in blocks bounded in items and characters, one at a time on the driver."""
+    held, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
-        held.append((r["item_id"], r["text"]))
-        if len(held) == ITEM_BLOCK:
+        more = len(r["text"] or "")
+        if held and (len(held) == ITEM_BLOCK or size + more > BLOCK_CHARS):
             yield held
-            held = []
+            held, size = [], 0
+        held.append((r["item_id"], r["text"]))
+        size += more
     if held:
         yield held
 
@@ -274,15 +280,23 @@ def indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator[ItemIndex]:
         yield ItemIndex(block, uses)
 
 
+def _matches(spark: SparkSession, documents: DataFrame, found: Iterator[ItemIndex], per_index: Callable,
+             schema: str) -> DataFrame:
+    """The rows that ``per_index`` makes of the documents with each index, written block by block."""
+    path = scratch_path(spark, "contamination")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for index in found:
+        shared = spark.sparkContext.broadcast(index)
+        documents.mapInArrow(per_index(shared), schema).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(schema).parquet(path)
+
+
 def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item whose similarity is ``SIMILAR`` or more, with the best span."""
-    schema = "doc_id long, item_id long, similarity double, distance int, start_word int"
-    texts = documents.select(F.col("doc_id").cast("long"), "text")
-    out = spark.createDataFrame([], schema)
-    for index in indexes(spark, benchmark):
-        shared = spark.sparkContext.broadcast(index)
 
-        def per_partition(batches, shared=shared):
+    def per_index(shared):
+        def per_partition(batches):
             index = shared.value
             for rows, texts in text_arrays(batches, limit=TEXT_BYTES):
                 words = Words(pc.utf8_lower(texts))
@@ -294,24 +308,51 @@ def contamination(spark: SparkSession, documents: DataFrame, benchmark: DataFram
                     rows["doc_id"].combine_chunks().take(pa.array(d, pa.int64())), pa.array(i, pa.int64()),
                     pa.array(s, pa.float64()), pa.array(r, pa.int32()), pa.array(w, pa.int32())],
                     names=["doc_id", "item_id", "similarity", "distance", "start_word"])
+        return per_partition
 
-        out = out.unionByName(texts.mapInArrow(per_partition, schema))
-    return out
+    return _matches(spark, documents.select(F.col("doc_id").cast("long"), "text"), indexes(spark, benchmark), per_index,
+                    "doc_id long, item_id long, similarity double, distance int, start_word int")
 
 
 def drop_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` without those that hold a benchmark item; all columns stay."""
-    for index in indexes(spark, benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    """``documents`` without those that hold a benchmark item; all columns stay.
 
-        def per_partition(batches, shared=shared):
+    One block filters the documents as they are read. With more, the 128-bit hashes of the
+    texts to drop are written block by block, as equal texts hold equal items.
+    """
+    found = indexes(spark, benchmark)
+    first = [*islice(found, 2)]
+    if len(first) < 2:
+        for index in first:
+            documents = documents.mapInArrow(_clean(spark.sparkContext.broadcast(index)), documents.schema)
+        return documents
+
+    def per_index(shared):
+        def per_partition(batches):
             index = shared.value
             for rows, texts in text_arrays(batches, limit=TEXT_BYTES):
-                words = Words(pc.utf8_lower(texts))
-                keep = np.ones(rows.num_rows, bool)
-                if len(words):
-                    keep[[d for d, *_ in index.search(words.hashes()[0], words.docs)]] = False
-                yield from rows.filter(pa.array(keep)).to_batches()
+                held = ~_kept(index, texts)
+                yield from rows.filter(pa.array(held)).select(["a", "b"]).to_batches()
+        return per_partition
+
+    a, b = F.xxhash64("text"), F.xxhash64(F.lit("b"), "text")
+    drop = _matches(spark, documents.select(a.alias("a"), b.alias("b"), "text"), chain(first, found), per_index,
+                    "a long, b long").groupBy("a", "b").count().select(dealt_anew("a"), dealt_anew("b"))
+    return documents.join(drop, (a == drop["a"]) & (b == drop["b"]), "left_anti")
+
 
-        documents = documents.mapInArrow(per_partition, documents.schema)
-    return documents
+def _kept(index: ItemIndex, texts: pa.Array) -> np.ndarray:
+    """Which texts hold no item."""
+    words = Words(pc.utf8_lower(texts))
+    keep = np.ones(len(texts), bool)
+    if len(words):
+        keep[[d for d, *_ in index.search(words.hashes()[0], words.docs)]] = False
+    return keep
+
+
+def _clean(shared):
+    def per_partition(batches):
+        index = shared.value
+        for rows, texts in text_arrays(batches, limit=TEXT_BYTES):
+            yield from rows.filter(pa.array(_kept(index, texts))).to_batches()
+    return per_partition

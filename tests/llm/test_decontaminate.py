@@ -113,3 +113,9 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
         assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in got} == want and len(got) == len(want)
         left = decontaminate.drop_contaminated(spark, table, benchmark)
         assert {r["doc_id"] for r in left.collect()} == set(range(len(docs))) - {d for d, _ in want}
+
+
+def test_blocks_are_bounded_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    items = spark.createDataFrame([(i, "x" * n) for i, n in enumerate([40, 60, 1, 500, 99])] + [(5, None)], "item_id long, text string")
+    assert [[i for i, _ in b] for b in decontaminate.item_blocks(items.coalesce(1))] == [[0, 1], [2], [3], [4, 5]]
