@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import byte_bpe, decontaminate, fingerprints, jaccard, quality, rollup, secrets, substrings, toxicity, wavelet
+from quillmart.llm import (
+    byte_bpe, decontaminate, fingerprints, jaccard, lines, pivots, quality, rollup, secrets, substrings, toxicity, walsh,
+    wavelet)
 from quillmart.llm.common import dealt_anew, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -88,8 +90,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight centroids over all vectors of 64 components."""
+    return walsh.cluster(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that several documents share stay in the document of the smallest id."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four code bytes for every vector."""
+    return pivots.part_codes(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secret_ownership, op3_token_rollup, op4_quality_cnn, op5_wavelet_files,
     op6_toxicity, op7_jaccard_join, op8_byte_bpe, op9_substring_dedup, op10_fingerprints,
+    op11_walsh_clusters, op12_line_dedup, op13_pivot_codes,
 )}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_walsh_clusters": walsh.ORACLE, "op12_line_dedup": lines.ORACLE, "op13_pivot_codes": pivots.ORACLE,
+}
