@@ -27,8 +27,9 @@ def main() -> None:
                "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{ev_dir}"})
     from quillmart.operators import forecast as FC
     from quillmart.operators import reports as RP
-    from quillmart.plans.registry import QUERIES, use_warehouse
-    from quillmart.plans.warehouse import Warehouse, materialize_silver
+    from quillmart.plans.registry import QUERIES, silver_checks, use_warehouse
+    from quillmart.plans.catalog import materialize_silver
+    from quillmart.plans.warehouse import Warehouse
 
     def run(build) -> float:
         t0 = time.time()  # building a query counts: size checks and staged writes happen there
@@ -38,7 +39,7 @@ def main() -> None:
     w = Warehouse(spark, sf_dir)
     use_warehouse(w)  # registered queries read the written layers too
     t0 = time.time()
-    silver = materialize_silver(w, scratch_path(spark, "silver"), block_bytes=8 * 1024 * 1024)
+    _, silver = materialize_silver(w, scratch_path(spark, "layers"), row_group_bytes=8 * 1024 * 1024, checks=silver_checks())
     times = {"silver_build": time.time() - t0}
     heads = {
         "sales_performance": lambda: w.sales_performance(),

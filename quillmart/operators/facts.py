@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, pct
 from quillmart.functions.keys import surrogate_key
-from quillmart.plans.joins import lookup_join
+from quillmart.plans.joins import calendar_join, lookup_join
 
 
 def _date_keys(dim_date: DataFrame, on: str) -> DataFrame:
@@ -30,7 +30,7 @@ def returns_by_order(stg_returns: DataFrame) -> DataFrame:
 def fact_sales(orders: DataFrame, returns: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Order-line fact; a return counts against the order whatever its date."""
     f = orders
-    f = lookup_join(f, _date_keys(dims["date"], "order_date"), "order_date", bounded=True)
+    f = calendar_join(f, dims["date"], _date_keys(dims["date"], "order_date"), "order_date")
     f = lookup_join(f, dims["product"].select("product_id", "product_key"), "product_id")
     f = lookup_join(f, dims["customer"].select("customer_id", "customer_key"), "customer_id")
     # One rep lookup serves both the key and the daily quota.
@@ -64,11 +64,16 @@ def monthly_product_revenue(orders: DataFrame) -> DataFrame:
                  F.sum("quantity").cast("bigint").alias("mr_units_sold")))
 
 
-def fact_cogs(costs: DataFrame, orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Product × cost month; cost rows are preserved, months without cost vanish."""
-    f = lookup_join(costs, _date_keys(dims["date"], "cost_month"), "cost_month", bounded=True)
+def fact_cogs(costs: DataFrame, orders: DataFrame, dims: dict[str, DataFrame],
+              product_months: DataFrame | None = None) -> DataFrame:
+    """Product × cost month; cost rows are preserved, months without cost vanish.
+
+    ``product_months``: ``monthly_product_revenue`` of ``orders`` where it is already written.
+    """
+    f = calendar_join(costs, dims["date"], _date_keys(dims["date"], "cost_month"), "cost_month")
     f = lookup_join(f, dims["product"].select("product_id", "product_key"), "product_id")
-    mr = monthly_product_revenue(orders).withColumnRenamed("revenue_month", "cost_month")
+    mr = product_months if product_months is not None else monthly_product_revenue(orders)
+    mr = mr.withColumnRenamed("revenue_month", "cost_month")
     f = f.join(mr, ["cost_month", "product_id"], "left")
     units = F.coalesce(F.col("mr_units_sold"), F.lit(0).cast("bigint"))
     rev = F.coalesce(F.col("mr_net_revenue"), F.lit(0).cast(MONEY))
@@ -89,7 +94,7 @@ def fact_cogs(costs: DataFrame, orders: DataFrame, dims: dict[str, DataFrame]) -
 
 def fact_mrr(events: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Event-grain MRR fact with type flags; contraction is neither added nor lost."""
-    f = lookup_join(events, _date_keys(dims["date"], "event_month"), "event_month", bounded=True)
+    f = calendar_join(events, dims["date"], _date_keys(dims["date"], "event_month"), "event_month")
     f = lookup_join(f, dims["customer"].select("customer_id", "customer_key"), "customer_id")
     f = lookup_join(f, dims["product"].select("product_id", "product_key"), "product_id")
     t = F.col("event_type")

@@ -17,7 +17,6 @@ month, Spark shuffles series to tasks by key and fits them in parallel.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmart.constants import FORECAST_HORIZON, Z_95
+from quillmart.sources.versions import VersionedTable
 from quillmart.functions.exact import MONEY
 
 MIN_SEASONAL_POINTS = 6
@@ -242,30 +242,30 @@ def upsert_forecast(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def write_forecast(spark, path: str, forecast: DataFrame) -> int:
-    """Upsert ``forecast`` into the mart table at ``path`` (actual rows and earlier forecasts).
+    """Upsert ``forecast`` into the versioned mart table at ``path`` (actual rows and earlier forecasts).
 
-    The new state is staged beside the table and then takes its place by a
-    rename, so readers see the old or the new one. Without forecast rows (no
-    actuals to learn from) nothing is written. Returns the rows of the forecast.
+    The new state is written beside the old one and put in place by one commit, so
+    readers (``read_forecast``) see the old or the new table whenever the job dies. Without
+    forecast rows (no actuals to learn from) nothing is written. Returns the rows of the forecast.
     """
-    staged = f"{path}-staged-{uuid.uuid4().hex}"
-    forecast.write.parquet(f"{staged}/new")
-    new = spark.read.schema(forecast.schema).parquet(f"{staged}/new")
+    table = VersionedTable(spark, path)
+    held = table.current()
+    fresh = VersionedTable(spark, f"{path}/incoming")  # the forecast is fitted once
+    new = fresh.read(fresh.replace(forecast))
     rows = new.count()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    target, beside, root = hadoop(path), hadoop(f"{staged}/table"), hadoop(staged)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if rows:
-        held = spark.read.parquet(path) if fs.exists(target) else new.limit(0)
-        upsert_forecast(held, new).write.parquet(f"{staged}/table")
-        if fs.exists(target) and not fs.rename(target, hadoop(f"{staged}/old")):
-            raise OSError(f"cannot move {path}")
-        if not fs.rename(beside, target):
-            raise OSError(f"cannot move the new table to {path}")
-    fs.delete(root, True)
+        before = table.read(held)
+        table.replace(upsert_forecast(before if before is not None else new.limit(0), new), after=held, rows=rows)
+        table.vacuum(keep=2)
+    fresh.fs.delete(fresh._new(fresh.path), True)
     return rows
 
 
+def read_forecast(spark, path: str) -> DataFrame | None:
+    """The mart table in its latest state."""
+    return VersionedTable(spark, path).read()
+
+
 # ----------------------------------------------------------------- levels
 def forecast_levels(actuals: DataFrame) -> DataFrame:
     """Series at company, product-line and therapeutic-area level (grouping sets)."""

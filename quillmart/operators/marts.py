@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, div_round, from_cents, pct
-from quillmart.plans.joins import lookup_join
+from quillmart.plans.joins import calendar_join, lookup_join
 
 
 def _lit_date(d: dt.date):
@@ -36,7 +36,7 @@ def sales_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     dr = dims["rep"].select("rep_key", "rep_name", "manager_name", "annual_quota", "monthly_quota")
     dt_ = dims["territory"].select("territory_key", "territory_name",
                                    F.col("region").alias("territory_region"), "zone")
-    f = lookup_join(fact, dd, "date_key", bounded=True)
+    f = calendar_join(fact, dims["date"], dd, "date_key")
     f = lookup_join(f, dp, "product_key")
     f = lookup_join(f, dc, "customer_key")
     f = lookup_join(f, dr, "rep_key")
@@ -65,7 +65,7 @@ def cogs_margin(fact_cogs: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
                              "year_quarter", "fiscal_year", "fiscal_quarter", "is_current_month")
     dp = dims["product"].select("product_key", "product_code", "product_name", "therapeutic_area",
                                 "product_line", "value_tier")
-    f = lookup_join(fact_cogs, dd, "date_key", bounded=True)
+    f = calendar_join(fact_cogs, dims["date"], dd, "date_key")
     f = lookup_join(f, dp, "product_key")
     w = Window.partitionBy("product_id").orderBy(F.col("cost_month").asc_nulls_last())
     frame = w.rowsBetween(-2, 0)
@@ -164,7 +164,7 @@ def time_intelligence(fact: DataFrame, dims: dict[str, DataFrame], *, as_of: dt.
     dd = dims["date"].select(F.col("date_day").alias("order_date"), "year", "quarter", "month_num",
                              "month_name", "year_month", "year_quarter", "fiscal_year",
                              "fiscal_quarter", "is_current_month")
-    f = lookup_join(dr, dd, "order_date", bounded=True)
+    f = calendar_join(dr, dims["date"], dd, "order_date")
     grp = ["product_line", "therapeutic_area"]
     upto = (Window.unboundedPreceding, 0)
     rev = F.col("daily_revenue")

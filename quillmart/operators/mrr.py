@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, pct
-from quillmart.plans.joins import lookup_join
+from quillmart.plans.joins import calendar_join
 
 
 def classify_mrr(monthly: DataFrame, keys: list[str], *, as_of: dt.date, month_col: str = "month",
@@ -102,7 +102,7 @@ def mrr_waterfall(fact_mrr: DataFrame, dim_date: DataFrame) -> DataFrame:
     dd = dim_date.select(
         F.col("date_day").alias("event_month"), "year", "quarter", "month_num", "month_name",
         "year_month", "fiscal_year", "fiscal_quarter", "is_current_month")
-    mm = lookup_join(mm, dd, "event_month", bounded=True)
+    mm = calendar_join(mm, dim_date, dd, "event_month")
     net = (F.col("new_mrr") + F.col("expansion_mrr") + F.col("reactivation_mrr")
            - F.col("contraction_mrr") - F.col("churned_mrr")).cast(MONEY)
     w = Window.orderBy(F.col("event_month").asc_nulls_last())

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, div_round, from_cents, pct
-from quillmart.operators.ranking import rank_within
 from quillmart.plans.joins import lookup_join
 
 
@@ -63,9 +62,9 @@ def rep_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         "rep_id", "rep_name", "region", "year", "revenue", "order_lines", "annual_quota",
         F.when(q > 0, pct(cents("revenue"), cents(q))).alias("quota_attainment_pct"),
     )
-    # RANK() OVER (PARTITION BY region, year ORDER BY revenue DESC), computed
-    # with a range-partitioned sort so no task holds a whole region-year.
-    return rank_within(g, ["region", "year"], "revenue", out="rank_in_region")
+    # One row per rep and year: a window holds the reps of one region.
+    best = Window.partitionBy("region", "year").orderBy(F.col("revenue").desc_nulls_last())
+    return g.withColumn("rank_in_region", F.rank().over(best))
 
 
 # --------------------------------------------------------------------- A3

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 # Bytes up to which a dimension side is broadcast, and what a value of text is taken to need.
 BROADCAST_MAX_BYTES = 32 << 20
 TEXT_BYTES = 96
+CALENDAR_ROW = 1024
 
 _decisions: dict[tuple, bool] = {}
 
@@ -43,11 +44,19 @@ def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                max_bytes: int = BROADCAST_MAX_BYTES, bounded: bool = False) -> DataFrame:
-    """Join ``left`` to a lookup ``right`` (a dimension scan), preserving ``left`` for how='left'.
+                max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join ``left`` to a lookup ``right`` (a dimension scan), preserving ``left`` for how='left'."""
+    return left.join(maybe_broadcast(right, max_bytes), on=on, how=how)
 
-    ``bounded=True`` states that ``right`` has a bounded size (a row per calendar
-    day, a 25-row reference list), so it is broadcast without a data check.
+
+def calendar_join(left: DataFrame, dim_date: DataFrame, right: DataFrame, on: str,
+                  max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Left join to ``right``, some columns of the calendar ``dim_date``, by ``on``.
+
+    The calendar's days are counted once, whatever columns are taken (a row is held to need at
+    most ``CALENDAR_ROW`` bytes): one wrong date far off makes a long calendar, which is
+    then shuffled instead of broadcast.
     """
-    r = F.broadcast(right) if bounded else maybe_broadcast(right, max_bytes)
-    return left.join(r, on=on, how=how)
+    days = dim_date.select("date_day")
+    small = is_small(days, max_bytes // CALENDAR_ROW * row_bytes(days.schema))
+    return left.join(F.broadcast(right) if small else right, on=on, how="left")

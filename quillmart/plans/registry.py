@@ -387,13 +387,14 @@ def q_forecast_upsert(spark, sf_dir):
 def q_forecast_table(spark, sf_dir):
     """The forecast job on a written table: an earlier run, then the present one twice."""
     from quillmart.session import scratch_path
+    from quillmart.sources.versions import VersionedTable
     w = _wh(spark, sf_dir)
     path = scratch_path(spark, "forecast-table")
-    w.actuals.write.parquet(path)
+    VersionedTable(spark, path).replace(w.actuals)
     old = FC.forecast_linear(w.series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
     for forecast in (old, FC.forecast_linear(w.series), FC.forecast_linear(w.series), old.limit(0)):
         FC.write_forecast(spark, path, forecast)
-    return spark.read.schema(w.actuals.schema).parquet(path)
+    return FC.read_forecast(spark, path)
 
 
 @register("monthly_series_dense", O.sql_for(f"""
@@ -543,7 +544,7 @@ def q_dq_report(spark, sf_dir):
               "dim_territory": w.dims["territory"], "fact_sales": w.fact_sales,
               "fact_cogs": w.fact_cogs, "fact_mrr": w.fact_mrr,
               **{t: QUERIES[t](spark, sf_dir) for t in gold_checks()}}
-    return QC.dq_report(tables, {**raw_checks(), **silver_checks(), **gold_checks()})
+    return QC.dq_report(tables, {**raw_checks(), **silver_checks(), **gold_checks()}, w.checks_seen)
 
 
 @register("dq_unique_violations", O.sql_for("""
@@ -901,17 +902,20 @@ def q_load_dated_csv(spark, sf_dir):
 
 
 @register("load_one_day_csv", O.sql_for("""
-SELECT *, return_date AS load_date FROM raw_returns
-WHERE return_date = (SELECT max(return_date) FROM raw_returns)"""))
+SELECT *, CAST(date_trunc('month', return_date) AS DATE) AS load_date FROM raw_returns
+WHERE date_trunc('month', return_date) = (
+  SELECT date_trunc('month', return_date) FROM raw_returns WHERE return_date IS NOT NULL
+  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""))
 def q_load_one_day_csv(spark, sf_dir):
-    """Dated layout, the last day only, written by day."""
+    """Dated layout, one date only: the drop with the most rows."""
     from quillmart.session import scratch_path
     from quillmart.sources import csv_ingest as CI
     returns = _wh(spark, sf_dir).raw["returns"]
     raw_dir = scratch_path(spark, "raw")
-    CI.write_dated(returns, raw_dir, "returns", "return_date")
-    last = returns.agg(F.max("return_date")).head()[0]
-    return CI.read_dated(spark, raw_dir, "returns", last, schema=returns.schema)
+    CI.write_dated(returns, raw_dir, "returns", "return_date", grain="month")
+    month = F.trunc("return_date", "month").alias("month")
+    most = returns.where("return_date IS NOT NULL").groupBy(month).count().orderBy(F.desc("count"), "month").head()["month"]
+    return CI.read_dated(spark, raw_dir, "returns", most, schema=returns.schema)
 
 
 def _column_hash(column: str):
@@ -939,22 +943,36 @@ _HASHED = {  # columns compared, by mart
 }
 
 
-def _export_sql() -> str:
-    bodies = {m: ORACLE[q] for m, q in _EXPORTED.items()}
-    bodies["mart_forecast"] = O.sql_for(
-        "SELECT * EXCLUDE (_updated_at) FROM fa_actuals UNION ALL SELECT * FROM up_new", _UP)
+def _hash_sql(bodies: dict[str, str], columns: dict[str, list[str]]) -> str:
+    """Row count and value hash of the columns of each table, given the SQL of its rows."""
     parts = []
-    for mart in _HASHED:
-        for c in _HASHED[mart]:
+    for table in columns:
+        for c in columns[table]:
             parts.append(
-                f"SELECT '{mart}' AS table_name, '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
                 f"CAST(SUM(CAST('0x' || substr(md5(COALESCE(CAST({c} AS VARCHAR), 'NULL')), 1, 8) AS BIGINT)) AS BIGINT) "
-                f"AS value_hash FROM e_{mart}")
+                f"AS value_hash FROM e_{table}")
     ctes = ",\n".join(f"e_{m} AS ({b})" for m, b in bodies.items())
     return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
 
 
-@register("export_roundtrip", _export_sql())
+def _hashes(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    """The same of DataFrames, one pass over each."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[_column_hash(c) for c in columns[name]])
+        part = one.select(F.explode(F.array(*[F.struct(
+            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col("_n").alias("row_count"),
+            F.col(c).alias("value_hash")) for c in columns[name]])).alias("e")).select("e.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_EXPORT_BODIES = {m: ORACLE[q] for m, q in _EXPORTED.items()} | {"mart_forecast": O.sql_for(
+    "SELECT * EXCLUDE (_updated_at) FROM fa_actuals UNION ALL SELECT * FROM up_new", _UP)}
+
+
+@register("export_roundtrip", _hash_sql(_EXPORT_BODIES, _HASHED))
 def q_export_roundtrip(spark, sf_dir):
     """Export the six marts as dated snappy Parquet, read each back, hash its columns' values."""
     import datetime as dt
@@ -966,12 +984,7 @@ def q_export_roundtrip(spark, sf_dir):
     res = export_all(marts, scratch_path(spark, "export"), dt.date(2001, 1, 1))
     if res["failed"]:
         raise RuntimeError(f"export failed: {res['failed']}")
-    out = None
-    for name, path in res["ok"]:
-        back = spark.read.parquet(path)
-        one = back.agg(F.count(F.lit(1)).alias("_n"), *[_column_hash(c) for c in _HASHED[name]])
-        part = one.select(F.explode(F.array(*[F.struct(
-            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col("_n").alias("row_count"),
-            F.col(c).alias("value_hash")) for c in _HASHED[name]])).alias("e")).select("e.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _hashes({name: spark.read.parquet(path) for name, path in res["ok"]}, _HASHED)
+
+
+from quillmart.plans import registry_tables  # noqa: E402,F401 - registers its queries

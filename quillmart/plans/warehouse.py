@@ -2,8 +2,8 @@
 
 ``Warehouse`` memoises each layer's DataFrame (a logical plan, not data), so a
 mart built from several facts reuses the same plans and Spark can reuse the
-identical exchanges inside one query. ``materialize`` writes a layer to the
-shared checkpoint folder when several actions will read it.
+identical exchanges inside one query. ``plans.catalog`` writes the layers as tables when
+several actions will read them.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from quillmart.operators import facts as FX
 from quillmart.operators import marts as M
 from quillmart.operators import staging as S
 from quillmart.operators.mrr import mrr_waterfall
-from quillmart.plans.layers import layer_path
 from quillmart.sources import adapter
 from quillmart.sources.driver import read_table
 
@@ -58,6 +57,7 @@ class Warehouse:
         self.spine = spine
         self.loaded_at = loaded_at
         self._raw_override = raw
+        self.checks_seen: dict[str, dict[str, int]] = {}  # row checks counted when a table was written
 
     # ---------------------------------------------------------------- raw
     @cached_property
@@ -182,42 +182,3 @@ class Warehouse:
 
 
 RESTATE_TS = "2001-01-02 01:30:00"
-
-
-def materialize_silver(w: Warehouse, path: str, block_bytes: int | None = None) -> dict[str, float]:
-    """Write dimensions and facts as Parquet under ``path`` and point ``w`` at them.
-
-    Cuts the lineage of every mart built afterwards (they read the written
-    tables, not the raw → staging → join chain) — the persistent equivalent
-    of a checkpoint, in the shared folder. Returns seconds per table.
-    """
-    import time
-    spent = {}
-    # Order lines joined to their headers feed orders, returns, costs and recurring revenue, and so
-    # all facts: they are written first, and the join never runs again.
-    t0 = time.time()
-    wr = w._lines.write.mode("overwrite")
-    if block_bytes:
-        wr = wr.option("parquet.block.size", block_bytes)
-    p = layer_path(path, "order_lines")
-    wr.parquet(p)
-    spent["order_lines"] = time.time() - t0
-    w.__dict__["_lines"] = w.spark.read.parquet(p)
-    tables = {"dim_" + k: (lambda k=k: w.dims[k]) for k in ("date", "product", "customer", "rep", "territory")}
-    tables.update({"fact_sales": lambda: w.fact_sales, "fact_cogs": lambda: w.fact_cogs,
-                   "fact_mrr": lambda: w.fact_mrr})
-    read_back = {}
-    for name, get in tables.items():  # loop over table names; each write is a Spark job
-        t0 = time.time()
-        wr = get().write.mode("overwrite")
-        if block_bytes:
-            wr = wr.option("parquet.block.size", block_bytes)
-        p = layer_path(path, name)
-        wr.parquet(p)
-        spent[name] = time.time() - t0
-        read_back[name] = w.spark.read.parquet(p)
-    w.__dict__["dims"] = LazyTables({k: (lambda k=k: read_back["dim_" + k])
-                                     for k in ("date", "product", "customer", "rep", "territory")})
-    for f in ("fact_sales", "fact_cogs", "fact_mrr"):
-        w.__dict__[f] = read_back[f]
-    return spent

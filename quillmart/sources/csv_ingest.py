@@ -2,9 +2,9 @@
 
 Layouts read:
   * dated drops ``<raw>/<YYYY-MM-DD>/<table>.csv`` plus ``<raw>/static/<table>.csv``:
-    one glob scan per table over all dates; the date comes from the path
-    (``_metadata.file_path``); directories whose name is not an ISO date are
-    skipped; ``<table>.csv`` may be a file or a directory of part files.
+    one scan per table over all dates, in byte ranges (``csv_splits``); the date comes
+    from the path; directories whose name is not an ISO date are skipped;
+    ``<table>.csv`` may be a file or a directory of part files.
   * our own partitioned drops ``<raw>/<table>/load_date=<date>/`` written by
     ``write_daily`` (dynamic partition overwrite: re-loading a day replaces
     it, so a load is idempotent).
@@ -12,13 +12,13 @@ Layouts read:
 Values follow the usual CSV rules: quotes are doubled inside quotes, a quoted
 value may hold commas and line ends, blanks belong to the value. Columns are
 matched by name, extras dropped and missing ones NULL; empty text is NULL; types
-come from an explicit schema (all text by default), never inference. Row counts
-are observed on the scan itself, without a second pass.
+come from an explicit schema (all text by default), never inference. A bad record ends
+the read with its reason; ``load_checked`` returns bad records and values as a table
+instead. Row counts are observed on the scan itself, without a second pass.
 """
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 import os
 import uuid
@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmart.constants import DAILY_TABLES, RAW_COLUMNS, STATIC_TABLES
+from quillmart.session import scratch_path
+from quillmart.sources import dirty
+from quillmart.sources.csv_splits import list_files, scan
+from quillmart.sources.versions import Versions
 
 CSV_FORM = {"header": "true", "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"',
          "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-_CSV_OPTS = {**CSV_FORM, "multiLine": "true", "mode": "FAILFAST"}
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+\.csv(/|$)"
 
 
@@ -39,63 +42,21 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table]])
 
 
-def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matched by a glob; a matched directory contributes its part files."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
-    out = []
-    for st in fs.globStatus(path) or []:
-        if st.isDirectory():
-            for child in fs.listStatus(st.getPath()):
-                name = child.getPath().getName()
-                if child.isFile() and not name.startswith(("_", ".")):
-                    out.append(child.getPath().toString())
-        else:
-            out.append(st.getPath().toString())
-    return sorted(out)
+def scan_table(spark: SparkSession, pattern: str, table: str) -> DataFrame:
+    """The table's columns as text from all matched files, ``_file``, ``_text`` and ``_reason``
+    (see ``csv_splits``); a folder whose state is committed is read in its latest state."""
+    return scan(spark, list_files(spark, _resolved(spark, pattern)), RAW_COLUMNS[table])
 
 
-def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by the columns of their first line.
+def _resolved(spark: SparkSession, pattern: str) -> str:
+    state = None if "*" in pattern else Versions(spark, pattern).current()
+    return f"{pattern}/{state.folders['all']}" if state is not None and state.folders else pattern
 
-    One Spark job reads the files' lines and keeps each file's first (a partial
-    minimum, so a file sends one line per task); only distinct headers with their
-    file names come back.
-    """
-    if not files:
-        return {}
-    lines = spark.read.text(files).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"), "value")
-    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "id")).alias("head"))
-    found = first.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in found:
-        columns = tuple(next(csv.reader([r["head"].lstrip("\ufeff")]), ()))
-        out.setdefault(columns, []).extend(r["files"])
-    return out
-
-
-def _scan_by_header(spark: SparkSession, pattern: str, base: str | None = None) -> list[DataFrame]:
-    """One CSV scan per distinct header among the matched files.
-
-    Spark applies one header to every file of a scan, while drops may order
-    or name their columns differently; grouping files by header (usually a
-    single group) keeps the by-name column match exact.
-    """
-    reader = spark.read.options(**_CSV_OPTS)
-    if base is not None:
-        reader = reader.option("basePath", base)
-    return [reader.csv(sorted(files)) for files in _by_header(spark, _csv_files(spark, pattern)).values()]
 
-
-def _union(dfs: list[DataFrame]) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
+def whole(rows: DataFrame) -> DataFrame:
+    """The records; a bad one ends the read with its reason."""
+    why = F.concat_ws(": ", F.col("_file"), F.col("_reason"), F.col("_text"))
+    return rows.where(F.when(F.col("_reason").isNull(), True).otherwise(F.raise_error(why).isNotNull()))
 
 
 def _project(df: DataFrame, table: str, schema: T.StructType | None,
@@ -114,20 +75,23 @@ def _project(df: DataFrame, table: str, schema: T.StructType | None,
     return df.select(*cols, *keep)
 
 
-def _empty(spark: SparkSession, table: str, schema: T.StructType | None) -> DataFrame:
-    return spark.createDataFrame([], schema or text_schema(table))
-
-
 def _observed(df: DataFrame, observe: Observation | None) -> DataFrame:
     return df if observe is None else df.observe(observe, F.count(F.lit(1)).alias("rows"))
 
 
 def read_csv(spark: SparkSession, pattern: str, table: str,
              schema: T.StructType | None = None, observe: Observation | None = None) -> DataFrame:
-    """Scan CSV files (header row) as text and project the table's columns."""
-    if not _csv_files(spark, pattern):
-        return _observed(_empty(spark, table, schema), observe)
-    return _observed(_union([_project(df, table, schema) for df in _scan_by_header(spark, pattern)]), observe)
+    """Scan CSV files (header row) as text and project the table's columns; no files give no rows."""
+    return _observed(_project(whole(scan_table(spark, pattern, table)), table, schema), observe)
+
+
+def load_checked(spark: SparkSession, pattern: str, table: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rejects) of dirty files: one scan writes both, see ``sources.dirty``."""
+    path = scratch_path(spark, f"checked-{table}")
+    rows = dirty.checked(scan_table(spark, pattern, table), schema)
+    rows.write.parquet(path)
+    held = spark.read.schema(rows.schema).parquet(path)
+    return dirty.clean(held).drop("_file"), dirty.rejects(held)
 
 
 def read_static(spark: SparkSession, raw_dir: str, schemas: dict[str, T.StructType] | None = None,
@@ -145,25 +109,17 @@ def read_dated(spark: SparkSession, raw_dir: str, table: str, date: dt.date | No
     (``static``, ``not-a-date``) are skipped.
     """
     sub = date.isoformat() if date is not None else "*"
-    pattern = os.path.join(raw_dir, sub, f"{table}.csv")
-    if not _csv_files(spark, pattern):
-        return _observed(_empty(spark, table, schema).withColumn("load_date", F.lit(None).cast("date")), observe)
-    day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), _DATE_DIR, 1), "yyyy-MM-dd")
-    parts = [_project(df.withColumn("load_date", day).where(F.col("load_date").isNotNull()),
-                      table, schema, keep=("load_date",))
-             for df in _scan_by_header(spark, pattern)]
-    return _observed(_union(parts), observe)
+    rows = whole(scan_table(spark, os.path.join(raw_dir, sub, f"{table}.csv"), table))
+    day = F.try_to_date(F.regexp_extract(F.col("_file"), _DATE_DIR, 1), "yyyy-MM-dd")
+    dated = rows.withColumn("load_date", day).where(F.col("load_date").isNotNull())
+    return _observed(_project(dated, table, schema, keep=("load_date",)), observe)
 
 
 def read_daily(spark: SparkSession, raw_dir: str, table: str, date: dt.date | None = None,
                schema: T.StructType | None = None, observe: Observation | None = None) -> DataFrame:
     """Partitioned drops ``<raw>/<table>/load_date=<date>/`` (one day or all)."""
-    base = os.path.join(raw_dir, table)
-    pattern = os.path.join(base, f"load_date={date.isoformat()}" if date else "load_date=*")
-    if not _csv_files(spark, pattern):
-        return _observed(_empty(spark, table, schema), observe)
-    parts = [_project(df, table, schema) for df in _scan_by_header(spark, pattern, base)]
-    return _observed(_union(parts), observe)
+    sub = f"load_date={date.isoformat()}" if date else "load_date=*"
+    return read_csv(spark, os.path.join(raw_dir, table, sub), table, schema, observe)
 
 
 def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: str = "day") -> None:
@@ -211,21 +167,27 @@ def write_dated(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: s
 def append_static(df: DataFrame, raw_dir: str, table: str) -> None:
     """Add the rows of ``df`` whose key (the first column) the table does not hold yet.
 
-    Of several new rows of one key one is added. The result is staged beside the table and
-    then reloaded, so the table is never read while it is overwritten.
+    Of several new rows of one key one is added. The result is a new state of the table,
+    so what is read is never overwritten.
     """
     spark, key = df.sparkSession, RAW_COLUMNS[table][0]
     held = read_csv(spark, os.path.join(raw_dir, "static", f"{table}.csv"), table)
     new = df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table]]).dropDuplicates([key])
-    staged = os.path.join(raw_dir, f"_appending-{uuid.uuid4().hex}")
-    held.unionByName(new.join(held.select(key), key, "left_anti")).write.parquet(staged)
-    write_static(spark.read.parquet(staged), raw_dir, table)
+    write_static(held.unionByName(new.join(held.select(key), key, "left_anti")), raw_dir, table)
 
 
 def write_static(df: DataFrame, raw_dir: str, table: str) -> None:
-    """Full reload of a static table (overwrite), also with no rows: the header alone is then left."""
+    """Full reload of a static table, also with no rows: the header alone is then left.
+
+    The files go to a new folder inside ``static/<table>.csv``, which one commit puts in
+    place; a reader sees the old or the new table, also when the writer dies.
+    """
+    states = Versions(df.sparkSession, os.path.join(raw_dir, "static", f"{table}.csv"))
+    now, folder = states.current(), states.new_folder()
     (df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table] if c in df.columns])
-     .write.mode("overwrite").options(**CSV_FORM).csv(os.path.join(raw_dir, "static", f"{table}.csv")))
+     .write.options(**CSV_FORM).csv(f"{states.path}/{folder}"))
+    states.commit(now, {"all": folder})
+    states.vacuum(keep=2)  # readers of the state before may still be at work
 
 
 def load_counts(observations: dict[str, Observation]) -> dict[str, int]:
@@ -234,4 +196,4 @@ def load_counts(observations: dict[str, Observation]) -> dict[str, int]:
 
 
 __all__ = ["read_csv", "read_static", "read_dated", "read_daily", "write_daily", "write_static",
-           "write_dated", "append_static",            "text_schema", "load_counts", "DAILY_TABLES"]
+           "write_dated", "append_static", "load_checked", "scan_table", "text_schema", "load_counts", "DAILY_TABLES"]
