@@ -139,6 +139,58 @@ def customer_health(fact: DataFrame, fact_mrr: DataFrame, dim_customer: DataFram
     )
 
 
+def customer_months(fact: DataFrame, fact_mrr: DataFrame, dim_customer: DataFrame, *,
+                    as_of: dt.date) -> DataFrame:
+    """Customer health with every month of a customer, its latest order and its value to date.
+
+    Unlike ``customer_health``: a month with recurring-revenue events and no orders has its
+    row; recency is that of the customer's last order up to ``as_of``, the same on all
+    its rows; ``value_to_date`` runs up to the row's month (null months first).
+    Customers without any month keep one row.
+    """
+    ids = dim_customer.select("customer_key", "customer_id")
+    fs = lookup_join(fact.select("customer_key", "order_id", "order_date", "final_net_revenue", "net_units"),
+                     ids, "customer_key")
+    orders = fs.groupBy("customer_id", F.trunc("order_date", "month").alias("report_month")).agg(
+        F.count_distinct("order_id").cast("bigint").alias("order_count"),
+        F.sum("final_net_revenue").cast(MONEY).alias("monthly_revenue"),
+        F.sum("net_units").cast("bigint").alias("monthly_units"),
+        F.max("order_date").alias("last_order_date"),
+        F.max(F.when(F.col("order_date") <= _lit_date(as_of), F.col("order_date"))).alias("_upto"))
+    flags = ("is_churned", "is_new", "is_reactivated", "is_expansion")
+    mrr = fact_mrr.groupBy("customer_id", F.col("event_month").alias("report_month")).agg(
+        F.sum("mrr_added").cast(MONEY).alias("mrr_added"), F.sum("mrr_lost").cast(MONEY).alias("mrr_lost"),
+        *[F.bool_or(f).alias(f) for f in flags])
+    o, m = orders.alias("o"), mrr.alias("m")
+    same = F.col("o.customer_id").eqNullSafe(F.col("m.customer_id")) & F.col("o.report_month").eqNullSafe(F.col("m.report_month"))
+    months = o.join(m, same, "full").select(
+        F.coalesce("o.customer_id", "m.customer_id").alias("customer_id"),
+        F.coalesce("o.report_month", "m.report_month").alias("report_month"),
+        "order_count", "monthly_revenue", "monthly_units", "last_order_date", "_upto", "mrr_added", "mrr_lost", *flags)
+    own = Window.partitionBy("customer_id")  # a row per month of the customer
+    upto = own.orderBy(F.col("report_month").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0).cast(MONEY)
+    revenue = F.coalesce("monthly_revenue", zero)
+    months = months.select(
+        "customer_id", "report_month", F.coalesce("order_count", F.lit(0)).alias("order_count"),
+        revenue.alias("monthly_revenue"), F.coalesce("monthly_units", F.lit(0)).alias("monthly_units"),
+        "last_order_date", F.max("_upto").over(own).alias("latest_order_date"),
+        F.coalesce("mrr_added", zero).alias("mrr_added"), F.coalesce("mrr_lost", zero).alias("mrr_lost"),
+        *[F.coalesce(f, F.lit(False)).alias(f) for f in flags],
+        F.sum(revenue).over(upto).cast(MONEY).alias("value_to_date"),
+        F.sum(revenue).over(own).cast(MONEY).alias("lifetime_value"))
+    dc = dim_customer.select("customer_id", "account_name", "segment", "tier", "region", "is_active")
+    return dc.join(months, "customer_id", "left").select(
+        *dc.columns, "report_month", F.coalesce("order_count", F.lit(0)).cast("bigint").alias("order_count"),
+        F.coalesce("monthly_revenue", zero).alias("monthly_revenue"),
+        F.coalesce("monthly_units", F.lit(0)).cast("bigint").alias("monthly_units"),
+        "last_order_date", "latest_order_date",
+        F.datediff(_lit_date(as_of), "latest_order_date").cast("int").alias("days_since_latest_order"),
+        F.coalesce("mrr_added", zero).alias("mrr_added"), F.coalesce("mrr_lost", zero).alias("mrr_lost"),
+        *[F.coalesce(f, F.lit(False)).alias(f) for f in flags],
+        F.coalesce("value_to_date", zero).alias("value_to_date"), F.coalesce("lifetime_value", zero).alias("lifetime_value"))
+
+
 # --------------------------------------------------------------------- R5
 def daily_revenue(fact: DataFrame, dim_product: DataFrame, *, as_of: dt.date) -> DataFrame:
     fs = fact.where(F.col("order_date") <= _lit_date(as_of)).select(

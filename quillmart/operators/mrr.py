@@ -119,3 +119,41 @@ def mrr_waterfall(fact_mrr: DataFrame, dim_date: DataFrame) -> DataFrame:
         .otherwise(F.lit(0).cast("decimal(18,2)")).alias("churn_rate_pct"),
     )
     return out.orderBy(F.col("event_month").asc_nulls_last())  # read in order of months
+
+
+def customer_base(fact_mrr: DataFrame) -> DataFrame:
+    """Monthly bridge of customers with recurring revenue, and churn against that base.
+
+    Unlike ``mrr_waterfall``, which counts customers with an event: a customer belongs to the
+    base from a new or reactivation event until its churn event, every calendar month between the
+    first and last event has a row, and the rate divides churned customers by those
+    at the month's start. A customer with both kinds of event in a month (one product
+    starts, another ends) counts by its balance of events so far.
+    """
+    steps = (F.when(F.col("is_new") | F.col("is_reactivated"), 1).when(F.col("is_churned"), -1).otherwise(0))
+    amount = F.when(F.col("event_type").isin("new", "reactivation", "expansion", "contraction", "churn"), F.col("mrr_amount"))
+    per = fact_mrr.where(F.col("customer_id").isNotNull() & F.col("event_month").isNotNull()).groupBy(
+        "customer_id", "event_month").agg(F.sum(steps).alias("step"), F.sum(amount).cast(MONEY).alias("net"))
+    own = Window.partitionBy("customer_id").orderBy("event_month")  # a row per month of the customer
+    held = F.sum("step").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    flow = per.select("event_month", "net", (held > 0).cast("int").alias("now"), ((held - F.col("step")) > 0).cast("int").alias("was"))
+    months = flow.groupBy("event_month").agg(
+        F.sum("net").cast(MONEY).alias("net_new_mrr"),
+        F.count_if((F.col("now") == 1) & (F.col("was") == 0)).alias("joined_customers"),
+        F.count_if((F.col("now") == 0) & (F.col("was") == 1)).alias("lost_customers"))
+    w = Window.orderBy("event_month")  # a row per month
+    gaps = months.withColumn("_next", F.coalesce(F.lead("event_month").over(w), F.add_months("event_month", 1)))
+    month = F.explode(F.sequence("event_month", F.add_months("_next", -1), F.expr("interval 1 month")))
+    dense = gaps.select("*", month.alias("month")).select(
+        "month", *[F.when(F.col("month") == F.col("event_month"), F.col(c)).otherwise(F.lit(0)).alias(c)
+                   for c in ("net_new_mrr", "joined_customers", "lost_customers")])
+    run = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    closing = F.sum(F.col("joined_customers") - F.col("lost_customers")).over(run)
+    out = dense.select(
+        "month", F.col("net_new_mrr").cast(MONEY).alias("net_new_mrr"), F.sum("net_new_mrr").over(run).cast(MONEY).alias("mrr"),
+        F.col("joined_customers").cast("bigint").alias("joined_customers"),
+        F.col("lost_customers").cast("bigint").alias("lost_customers"),
+        (closing - F.col("joined_customers") + F.col("lost_customers")).cast("bigint").alias("opening_customers"),
+        closing.cast("bigint").alias("closing_customers"))
+    opening = F.col("opening_customers")
+    return out.withColumn("churn_rate_pct", F.when(opening > 0, pct(F.col("lost_customers"), opening)))

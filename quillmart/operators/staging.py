@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmart.constants import TRUE_TEXTS
+from quillmart.constants import DEFAULT_COUNTRY, TRUE_TEXTS
 from quillmart.functions.exact import MONEY, cents, ratio
 
 MONEY14 = "decimal(14,2)"
@@ -118,8 +118,9 @@ def stage_returns(raw: DataFrame, loaded_at=None) -> DataFrame:
 
 
 def stage_territories(raw: DataFrame) -> DataFrame:
-    """Territories are read as they are: no trim, no NULL filter."""
-    return raw.select("territory_id", "territory_name", "region", "country", "zone")
+    """Territories are read as they are: no trim, no NULL filter; a missing country gets the default."""
+    return raw.select("territory_id", "territory_name", "region",
+                      F.coalesce("country", F.lit(DEFAULT_COUNTRY)).alias("country"), "zone")
 
 
 def stage_mrr_events(raw: DataFrame) -> DataFrame:

@@ -987,4 +987,4 @@ def q_export_roundtrip(spark, sf_dir):
     return _hashes({name: spark.read.parquet(path) for name, path in res["ok"]}, _HASHED)
 
 
-from quillmart.plans import registry_tables  # noqa: E402,F401 - registers its queries
+from quillmart.plans import registry_tables, registry_variants  # noqa: E402,F401 - they register their queries

@@ -108,3 +108,62 @@ def q_incremental_merge(spark, sf_dir):
         part.write.mode("append").parquet(os.path.join(base, "drops"))
         merge_stream(table, os.path.join(base, "drops"), os.path.join(base, "checkpoint"), rows.schema)
     return table.read()
+
+
+# ------------------------------------------------------------------ exports
+EXPORT_FROM = "1997-01-01"
+
+
+@register("export_ordered", f"SELECT * FROM ({ORACLE['time_intelligence']}) t WHERE order_date >= DATE '{EXPORT_FROM}'")
+def q_export_ordered(spark, sf_dir):
+    """A mart exported in order of its days, then read from a day on: the footers let earlier files be skipped."""
+    from quillmart.sources.export import export_table
+    mart = _wh(spark, sf_dir).time_intelligence("rows")
+    path = export_table(mart, scratch_path(spark, "export"), "mart_time_intelligence",
+                        order_by=("order_date", "product_line", "therapeutic_area"), row_group_rows=10_000)
+    return spark.read.schema(mart.schema).parquet(path).where(F.col("order_date") >= F.lit(EXPORT_FROM).cast("date"))
+
+
+@register("series_in_order", O.sql_for("""
+SELECT *, CAST(row_number() OVER (ORDER BY product_line NULLS FIRST, revenue_month) - 1 AS BIGINT) AS position
+FROM fc_series"""))
+def q_series_in_order(spark, sf_dir):
+    """The forecast's series written by line and month; ``position`` is each row's place as read."""
+    from quillmart.sources.export import export_table, read_in_order
+    path = export_table(_wh(spark, sf_dir).series, scratch_path(spark, "export"), "series", order_by=("product_line", "revenue_month"))
+    return read_in_order(spark, path)
+
+
+@register("waterfall_in_order", f"""
+SELECT *, CAST(row_number() OVER (ORDER BY event_month) - 1 AS BIGINT) AS position FROM ({ORACLE['mrr_waterfall']}) t""")
+def q_waterfall_in_order(spark, sf_dir):
+    """The waterfall written by month; ``position`` is each row's place as read."""
+    from quillmart.sources.export import export_table, read_in_order
+    path = export_table(_wh(spark, sf_dir).mrr_waterfall(), scratch_path(spark, "export"), "waterfall", order_by=("event_month",))
+    return read_in_order(spark, path)
+
+
+@register("export_text", f"""
+SELECT * REPLACE (CAST(contract_start_date AS VARCHAR) AS contract_start_date,
+                  CAST(contract_end_date AS VARCHAR) AS contract_end_date, CAST(report_month AS VARCHAR) AS report_month,
+                  CAST(last_order_date AS VARCHAR) AS last_order_date) FROM ({ORACLE['customer_health']}) t""")
+def q_export_text(spark, sf_dir):
+    """Customer health exported with dates as text."""
+    import datetime as dt
+    from quillmart.sources.export import export_all
+    done = export_all({"mart_customer_health": _wh(spark, sf_dir).customer_health()}, scratch_path(spark, "export"),
+                      dt.date(2001, 1, 1), stringify=True)
+    if done["failed"]:
+        raise RuntimeError(f"export failed: {done['failed']}")
+    return spark.read.parquet(done["ok"][0][1])
+
+
+@register("load_defaults", O.sql_for("SELECT * FROM raw_territories"))
+def q_load_defaults(spark, sf_dir):
+    """Territories from a file without the country column: staging fills in the default."""
+    from quillmart.operators.staging import stage_territories
+    from quillmart.sources import csv_ingest as CI
+    territories = _wh(spark, sf_dir).raw["territories"]
+    raw = scratch_path(spark, "raw")
+    CI.write_static(territories.drop("country"), raw, "territories")
+    return stage_territories(CI.read_static(spark, raw, {"territories": territories.schema})["territories"])

@@ -240,3 +240,11 @@ def mrr_events(spark: SparkSession, sf_dir: str, as_of: dt.date,
         "event_type",
         F.col("mrr_amount").cast("decimal(14,2)").alias("mrr_amount"),
     )
+
+
+def product_mrr_events(orders_df: DataFrame, as_of: dt.date) -> DataFrame:
+    """Recurring-revenue events of each customer and product (E2's own grain)."""
+    monthly = (orders_df.where(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
+               .groupBy("customer_id", "product_id", F.trunc("order_date", "month").alias("month"))
+               .agg(F.sum("net_amount").cast("decimal(18,2)").alias("amount")))
+    return classify_mrr(monthly, keys=["customer_id", "product_id"], as_of=as_of)
