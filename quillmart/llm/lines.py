@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import dealt_anew, text_arrays
+from quillmart.llm.common import text_arrays
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -59,7 +59,10 @@ def shared_keys(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(h1, h2, keeper): hashes in at least ``min_docs`` documents and the smallest id among these."""
     pairs = lines.select("h1", "h2", "doc_id").distinct()
     counted = pairs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("keeper"))
-    return counted.where(F.col("n_docs") >= min_docs).select(dealt_anew("h1"), dealt_anew("h2"), "keeper")
+    # the hashes as expressions of their own (as in common.dealt_anew; these are never null): the join
+    # then stands between two plain shuffles, whose hot keys Spark splits
+    again = [F.col(h).bitwiseXOR(F.lit(0).cast("long")).alias(h) for h in ("h1", "h2")]
+    return counted.where(F.col("n_docs") >= min_docs).select(*again, "keeper")
 
 
 def dropped_positions(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
