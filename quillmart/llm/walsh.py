@@ -16,7 +16,7 @@ transform is linear, sums of coefficients give the sums of components.
 Defined cases: null vectors, vectors of another length and vectors with null or
 non-finite components are left out; null ids are kept but start no centroid unless
 there are too few other vectors; repeated rows are vectors of their own (equal ids
-start as many centroids as rows, in the order of their components); fewer vectors
+start as many centroids as rows, in an order fixed by their transforms); fewer vectors
 than centroids make fewer centroids; an empty table gives an empty result. A
 component of 16,384 or more in size is an error: its distances would not fit 64 bits.
 Other columns are ignored.
@@ -96,6 +96,7 @@ def nearest(coefs: np.ndarray, centres: np.ndarray, blocks=BLOCKS) -> tuple[np.n
     lead = sums.argmin(axis=1)
     rows = np.arange(n)
     bar = sums[rows, lead] + add(rows, centres[lead], first, coefs.shape[1])
+    alive[rows, lead] = False  # it is finished
     taken += n * k * first + n * (coefs.shape[1] - first)
     for a, b in zip(blocks[:-1], blocks[1:]):
         alive &= sums <= bar[:, None]
@@ -105,6 +106,7 @@ def nearest(coefs: np.ndarray, centres: np.ndarray, blocks=BLOCKS) -> tuple[np.n
                 sums[left, c] += add(left, centres[c], a, b)
                 taken += len(left) * (b - a)
     sums[~alive] = np.iinfo(np.int64).max
+    sums[rows, lead] = bar
     best = sums.argmin(axis=1)
     return best, sums[rows, best], taken
 
