@@ -7,7 +7,9 @@ vectors. In each round the distances from the codebook's entries to the same piv
 are computed anew; by the triangle inequality |d(part, pivot) - d(entry, pivot)| bounds
 the distance from part to entry from below. Entries are tried in the order of that
 bound: the first gives a distance, the next few lower it, and of the rest only those
-whose bound does not exceed it are evaluated. Bounds and distances are integers, so
+whose bound does not exceed it are evaluated. Where the first distance leaves more than an
+eighth of a block's entries (parts without much structure), those left are evaluated in one
+matrix product instead of one by one. Bounds and distances are integers, so
 nothing that could tie or win is passed over.
 
 Each round reads the written table; a task adds up counts and components per entry, Spark
@@ -43,8 +45,9 @@ cloudpickle.register_pickle_by_value(sys.modules["quillmart.llm.walsh"])
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
-PIVOTS = 6
+PIVOTS = 4
 TRIED = 8  # entries evaluated to lower the bar before the rest is pruned
+DENSE = 1 / 8  # share of entries that the first bar leaves from which on a block is evaluated together
 ROWS_AT_ONCE = 2048
 
 
@@ -65,6 +68,15 @@ def distances(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
     return whole_root(out)
 
 
+def squares(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances from each row to each point; by a floating-point product where that is exact."""
+    most = max(int(np.abs(rows).max(initial=0)), int(np.abs(points).max(initial=0)))
+    kind = np.float64 if 4 * rows.shape[1] * most * most < 1 << 53 else np.int64
+    a, b = rows.astype(kind), points.astype(kind)
+    out = np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b) - 2 * (a @ b.T)
+    return out.astype(np.int64)
+
+
 def choose_pivots(entries: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
     """Entries far from each other: the first, then always the one farthest from those chosen."""
     chosen = [0]
@@ -90,10 +102,18 @@ def nearest(rows: np.ndarray, to_pivots: np.ndarray, entries: np.ndarray,
     bound -= 1
     np.maximum(bound, 0, out=bound)
     every = np.arange(n)
+    lead = bound.argmin(axis=1)
+    first = rows - entries[lead]
+    left = bound <= whole_root(np.einsum("ij,ij->i", first, first))[:, None]  # bound**2 <= distance, in whole numbers
+    if left.mean() > DENSE:  # most entries stand: all distances of the block at once
+        far = squares(rows, entries)
+        far[~left] = np.iinfo(np.int64).max
+        best = far.argmin(axis=1)
+        return best, far[every, best], n + int(left.sum())
     some = min(TRIED, k)
     trial = np.argpartition(bound, some - 1, axis=1)[:, :some] if some < k else np.tile(np.arange(k), (n, 1))
     trial = np.take_along_axis(trial, np.argsort(np.take_along_axis(bound, trial, 1), axis=1, kind="stable"), 1)
-    best, bar, spent = np.full(n, k, np.int64), np.full(n, np.iinfo(np.int64).max, np.int64), 0
+    best, bar, spent = np.full(n, k, np.int64), np.full(n, np.iinfo(np.int64).max, np.int64), n
 
     def evaluate(at, entry):
         diff = rows[at] - entries[entry]
