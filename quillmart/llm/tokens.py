@@ -3,12 +3,19 @@
 A text is cut where the tokenizer's own split pattern is sure to end a piece
 (white space, or a change between ASCII letters and ASCII punctuation), every
 distinct chunk of a batch is encoded once by the library, and the ids are put
-together again with numpy. A bounded table of chunks is kept by each worker.
+together again with numpy. A bounded table of chunks is kept by each worker. The ids
+are those of the library for the whole text with add_special_tokens=False: the strings of
+added tokens are chunks of their own, which the library finds by itself.
+
+Defined cases: a null text is an empty one, an empty text has no ids (but the
+end id, where one is given); a text of any length is encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 
 import numpy as np
@@ -22,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Chunks that a worker remembers between batches, and chunks given to the library at once.
 REMEMBERED = 300_000
 LIBRARY_BATCH = 20_000
+WORDS_TOGETHER = 500
 
 # Classes of bytes: 0 other, 1 ASCII white space, 2 ASCII letter, 3 ASCII punctuation but the apostrophe.
 KIND = np.zeros(256, np.uint8)
@@ -31,12 +39,16 @@ KIND[[c for c in range(33, 127) if chr(c).isalpha()]] = 2
 
 
 def library(json_text: str):
-    """A tokenizer of the library from its JSON; special strings in a text are ordinary text."""
+    """A tokenizer of the library from its JSON, one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_str(json_text)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_str(json_text)
+
+
+def largest_id(json_text: str) -> int:
+    """The largest id that a tokenizer may give, added tokens included."""
+    tokenizer = json.loads(json_text)
+    return max([*tokenizer["model"]["vocab"].values(), *(t["id"] for t in tokenizer["added_tokens"])])
 
 
 class ChunkEncoder:
@@ -51,17 +63,27 @@ class ChunkEncoder:
     def __init__(self, json_text: str, keeps_space: bool, lower: bool = False):
         self.tokenizer = library(json_text)
         self.keeps_space, self.lower = keeps_space, lower
-        self.known: dict[bytes, tuple] = {}
+        self.known: dict[bytes, bytes] = {}
         self.word_like = np.zeros(256, bool)
         self.word_like[33:127] = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile(b"|".join(re.escape(a.encode()) for a in added)) if added else None
+        suffix = json.loads(json_text)["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:  # which ids end a word
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
 
     def chunks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
         """(chunks, first chunk of each text, byte position of each chunk)."""
         n = len(data)
         if not n:
             return pieces(data, np.zeros(1, np.int64)), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
-        if self.lower:
-            data = LOWER[data]
+        raw = data
+        if self.lower:  # but not where a mark may follow, which the library composes before it folds
+            plain = np.ones(n, bool)
+            plain[:-1] = data[1:] < 128
+            data = np.where(plain, LOWER[data], data)
         kind = KIND[data]
         start = np.zeros(n, bool)
         before, here = kind[:-1], kind[1:]
@@ -75,6 +97,11 @@ class ChunkEncoder:
             start[1:] |= (before == 1) & keep[1:]
         start[0] = True
         start[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        for a, z in self.literals(raw, offsets):
+            data = data.copy() if data is raw else data
+            start[a:z], data[a:z] = False, raw[a:z]
+            start[a] = True
+            start[z:z + 1] = True
         if keep is None:
             at = np.flatnonzero(start)
             return pieces(data, np.append(at, n)), np.searchsorted(at, offsets), at
@@ -83,6 +110,31 @@ class ChunkEncoder:
         cut = np.append(np.flatnonzero(start[keep]), int(keep.sum()))
         return pieces(data[keep], cut), np.searchsorted(at, offsets), at
 
+    def literals(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Byte ranges of added tokens' strings, each inside one text."""
+        if self.added is None:
+            return []
+        found = [m.span() for m in self.added.finditer(memoryview(data))]
+        if not found:
+            return found
+        inside = lambda a, z: np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, z, "left")
+        if all(inside(a, z) for a, z in found):
+            return found
+        return [(int(o) + a, int(o) + z) for o, e in zip(offsets[:-1], offsets[1:])  # one crosses two texts
+                for a, z in (m.span() for m in self.added.finditer(memoryview(data)[o:e]))]
+
+    def words(self, chunks: list[bytes]) -> list[bytes] | None:
+        """Ids of chunks that are one word each, encoded as one text; None if one isn't.
+
+        Every word gives one id that ends a word, so as many of these as chunks prove it.
+        """
+        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(chunks).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(chunks):
+            return None
+        flat, at = ids.tobytes(), (stops * 4).tolist()
+        return [flat[a:z] for a, z in zip([0, *at[:-1]], at)]
+
     def table(self, vocabulary: list[bytes], extra: bool = False) -> list:
         """For each distinct chunk its ids (with ``extra``: and the offsets, in code points)."""
         out: list = [None] * len(vocabulary)
@@ -93,6 +145,21 @@ class ChunkEncoder:
                 missing.append(i)
             else:
                 out[i] = hit
+        if self.ends is not None and not extra:  # chunks of letters go together
+            alone, together = [], []
+            for i in missing:
+                (together if vocabulary[i].decode().isalpha() else alone).append(i)
+            for at in range(0, len(together), WORDS_TOGETHER):
+                part = together[at: at + WORDS_TOGETHER]
+                found = self.words([vocabulary[i] for i in part])
+                if found is None:
+                    alone += part
+                    continue
+                for i, ids in zip(part, found):
+                    out[i] = ids
+                if len(self.known) < REMEMBERED:
+                    self.known.update((vocabulary[i], out[i]) for i in part)
+            missing = alone
         encode = self.tokenizer.encode_batch if extra else self.tokenizer.encode_batch_fast
         for at in range(0, len(missing), LIBRARY_BATCH):
             part = missing[at: at + LIBRARY_BATCH]

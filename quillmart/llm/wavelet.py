@@ -10,7 +10,8 @@ Shards are ranges of ascending document id. A shard's file (Parquet, zstd) has
 one row per segment with its planes and document table; a segment ends after
 ``SEGMENT_IDS`` ids, so a task never holds more than that plus one document.
 
-Defined cases: a null text is an empty one (only the end id); equal document
+Defined cases: a null text is an empty one (only the end id); a text of any length is one
+document of one segment; equal document
 ids keep one entry per row, in any order among themselves; null document ids
 come first; an empty table writes no segment and reads back as no rows.
 """
@@ -26,8 +27,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import shuffle_partitions, text_arrays
-from quillmart.llm.tokens import ChunkEncoder
+from quillmart.llm.common import byte_view, shuffle_partitions, text_arrays
+from quillmart.llm.tokens import ChunkEncoder, largest_id
 from quillmart.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -155,13 +156,15 @@ class WaveletMatrix:
         return np.array([self.select(value, k) for k in range(self.count(value))], np.int64)
 
 
-def _segment_row(shard: int, segment: int, ids: np.ndarray, doc_ids: list, sizes: list, levels: int) -> pa.RecordBatch:
+def _segment_row(shard: int, segment: int, ids: np.ndarray, doc_ids: pa.Array, sizes: np.ndarray,
+                 levels: int) -> pa.RecordBatch:
     m = WaveletMatrix.build(ids, levels)
+    one = np.array([0, len(sizes)], np.int32)
     longs, blobs = pa.list_(pa.int64()), pa.list_(pa.binary())
     return pa.RecordBatch.from_arrays([
         pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([m.n], pa.int64()),
         pa.array([m.zeros], longs), pa.array([[b.tobytes() for b in m.bits]], blobs),
-        pa.array([[r.tobytes() for r in m.sums]], blobs), pa.array([doc_ids], longs), pa.array([sizes], longs),
+        pa.array([[r.tobytes() for r in m.sums]], blobs), pa.ListArray.from_arrays(one, doc_ids), pa.ListArray.from_arrays(one, pa.array(sizes, pa.int64())),
     ], names=["shard", "segment", "n", "zeros", "bits", "ranks", "doc_ids", "doc_sizes"])
 
 
@@ -172,8 +175,9 @@ def read_matrix(row: dict) -> WaveletMatrix:
 
 
 def write_token_files(spark: SparkSession, documents: DataFrame, json_text: str, end_id: int, path: str,
-                      shards: int | None = None, levels: int = 16, lower: bool = False) -> None:
-    """Encode whole texts and write one wavelet-matrix file per shard under ``path``.
+                      shards: int | None = None, lower: bool = False) -> None:
+    """Encode whole texts and write one wavelet-matrix file per shard under ``path``; as many
+    planes as the vocabulary's largest id (or ``end_id``) has bits.
 
     Shards are equal parts of the documents by id (from the id column alone);
     only ids are shuffled, two or four bytes each.
@@ -182,6 +186,7 @@ def write_token_files(spark: SparkSession, documents: DataFrame, json_text: str,
     cuts = documents.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)] or [0.5],
                                              100 * shards).alias("c")).head()["c"] or []
     cuts = sorted(set(cuts)) if shards > 1 else []
+    levels = max(end_id, largest_id(json_text)).bit_length()
     width = np.uint16 if levels <= 16 else np.uint32
     shared = spark.sparkContext.broadcast((json_text, cuts))  # one vocabulary and a cut per shard
 
@@ -198,22 +203,33 @@ def write_token_files(spark: SparkSession, documents: DataFrame, json_text: str,
             yield pa.RecordBatch.from_arrays([own, pa.array(shard, pa.int32()), blobs], names=["doc_id", "shard", "ids"])
 
     def build(batches):
-        shard, segment, held, doc_ids, sizes, total = None, 0, [], [], [], 0
+        shard, segment, total = None, 0, 0
+        ids, docs, sizes = [], [], []  # slices of batches, until a segment is full
+
+        def row():
+            return _segment_row(shard, segment, np.concatenate(ids), pa.concat_arrays(docs), np.concatenate(sizes), levels)
+
         for batch in batches:
-            for d, s, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "ids"))):
-                if doc_ids and (s != shard or total >= SEGMENT_IDS):
-                    yield _segment_row(shard, segment, np.concatenate(held), doc_ids, sizes, levels)
-                    segment = segment + 1 if s == shard else 0
-                    held, doc_ids, sizes, total = [], [], [], 0
-                elif s != shard:
-                    segment = 0
-                shard = s
-                held.append(np.frombuffer(blob, width))
-                doc_ids.append(d)
-                sizes.append(len(held[-1]))
-                total += sizes[-1]
-        if doc_ids:
-            yield _segment_row(shard, segment, np.concatenate(held), doc_ids, sizes, levels)
+            raw, first = byte_view(batch.column("ids"))
+            data, first = np.frombuffer(raw.tobytes(), width), first // width().itemsize
+            shards = batch.column("shard").to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                if shards[at] != shard or total >= SEGMENT_IDS:
+                    if docs:
+                        yield row()
+                    segment = segment + 1 if shards[at] == shard else 0
+                    shard, total, ids, docs, sizes = int(shards[at]), 0, [], [], []
+                # up to the shard's last row here, and no further than the document that fills the segment
+                stop = int(np.searchsorted(shards, shard, "right"))
+                stop = min(stop, int(np.searchsorted(first, first[at] + SEGMENT_IDS - total, "left")))
+                ids.append(data[first[at]: first[stop]])
+                docs.append(batch.column("doc_id").slice(at, stop - at))
+                sizes.append(np.diff(first[at: stop + 1]))
+                total += len(ids[-1])
+                at = stop
+        if docs:
+            yield row()
 
     encoded = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         encode, "doc_id long, shard int, ids binary")
@@ -233,14 +249,14 @@ def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> Da
     def decode(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                sizes = np.array(row["doc_sizes"], np.int64)
+                row = batch.slice(k, 1).select(["shard", "segment", "n", "zeros", "bits", "ranks"]).to_pylist()[0]
+                sizes = batch.column("doc_sizes")[k].values.to_numpy()
                 data = memoryview(read_matrix(row).all().astype("<u4").view(np.uint8))
                 ends = np.cumsum(sizes)
                 n, blobs = len(sizes), [data[4 * (b - s): 4 * b] for s, b in zip(sizes.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["shard"]] * n, pa.int32()), pa.array([row["segment"]] * n, pa.int32()),
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes), pa.array(sizes),
+                    batch.column("doc_ids")[k].values, pa.array(ends - sizes), pa.array(sizes),
                     pa.array([zlib.crc32(b) for b in blobs], pa.int64()) if digest
                     else pa.array([b.tobytes() for b in blobs], pa.binary()),
                 ], names=["shard", "segment", "doc_id", "local", "n_tokens", value])

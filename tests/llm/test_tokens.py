@@ -19,8 +19,9 @@ from tests.llm import data
 RANKS = byte_bpe.read_ranks(public_tokenizers.path(queries.MULTI_RANKS))
 TRUE = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 WORD = Tokenizer.from_file(public_tokenizers.path(queries.WORD_BPE))
-WORD.encode_special_tokens = True
-ALPHABET = "abcXYZ  \n\t'.,!-=_#09éßñÀ  　ΣςΩжあ😀́‍\x1c\x85<|>"
+BYTE = Tokenizer.from_file(public_tokenizers.path(queries.BYTE_BPE))
+ALPHABET = ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "J", "H", "\u030c", "\u0331", "İ", *"abcXYZ  \n\t'.,!-=_#09éßñÀ  　ΣςΩжあ😀́‍\x1c\x85<|>"]
+TEXTS = st.lists(st.lists(st.sampled_from(ALPHABET), max_size=40).map("".join), max_size=5)
 
 
 def arrow(texts):
@@ -43,7 +44,7 @@ def split(flat, first):
     return [flat[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
 
 
-@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), max_size=5))
+@given(TEXTS)
 @settings(max_examples=300, deadline=None)
 def test_byte_bpe_equals_tiktoken(texts):
     enc = ChunkEncoder.__new__(ChunkEncoder)
@@ -56,12 +57,29 @@ with open(public_tokenizers.path(queries.WORD_BPE), encoding="utf-8") as _f:
     _WORD = ChunkEncoder(_f.read(), keeps_space=False, lower=True)
 
 
-@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), max_size=5))
+@given(TEXTS)
 @settings(max_examples=300, deadline=None)
 def test_word_bpe_equals_library(texts):
     assert split(*_WORD.encode(arrow(texts))) == [WORD.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+_GPT = ChunkEncoder(open(public_tokenizers.path(queries.BYTE_BPE), encoding="utf-8").read(), keeps_space=True)
+
+
+@given(TEXTS)
+@settings(max_examples=300, deadline=None)
+def test_byte_bpe_with_added_tokens_equals_library(texts):
+    assert split(*_GPT.encode(arrow(texts))) == [BYTE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_of_the_unmodified_library():
+    for text, ids in (("x <|endoftext|> y", [343, 49407, 344]), ("J\u030cx", [329, 136, 490, 343])):
+        assert split(*_WORD.encode(arrow([text, None]))) == [ids, []] == [WORD.encode(text, add_special_tokens=False).ids, []]
+    two = ["a <|endof", "text|> b", "<|endoftext|><|endoftext|>", "x<|ENDOFTEXT|>y", "<|endoftext|>\u0301"]
+    assert split(*_WORD.encode(arrow(two))) == [WORD.encode(t, add_special_tokens=False).ids for t in two]
+    assert split(*_GPT.encode(arrow(two))) == [BYTE.encode(t, add_special_tokens=False).ids for t in two]
+
+
 @given(st.text(alphabet="-=a. ", max_size=30))
 @settings(max_examples=200, deadline=None)
 def test_runs_merge_like_tiktoken(text):
