@@ -3,13 +3,16 @@
 A document holds an item when some span of it, as many words as the item (the whole
 document when that is shorter), has a weighted Jaccard similarity of 5-word shingles of
 ``SIMILAR`` or more; rare shingles of the benchmark weigh more, and a shingle that the
-item lacks weighs as one of no item. Such a span lacks at most a share 1 - ``SIMILAR``
-of the item's weight, so of any windows of the item that weigh more together at least
-one is in it unchanged. Probes are that many windows, one shingle each (of which the
-SimHash is the shingle's hash), the rarest first. A multi-index finds them: a
+item lacks weighs as one of no item. Such a span replaces at most a ninth of the item's
+weight, and a changed word inside takes five shingles in a row: that bounds the changed
+words. An item is cut into one window more than these (three at least, as a short
+document may lack both ends), side by side and as long as possible; a window's fingerprint
+is the SimHash of all its shingles. So one window is left as it is or has only lost a few
+shingles at an end, to a changed word that two windows share. A multi-index finds it: a
 fingerprint of 64 bits has four blocks, and two within distance 7 agree in one block up
-to a single bit, so each probe's blocks and their one-bit neighbours find every such
-window. All item-sized spans over a window found are then compared exactly.
+to a single bit, so each window's blocks and their one-bit neighbours find every
+fingerprint within that radius among those of all the document's windows of that size. All
+item-sized spans over a window found are then compared exactly. (README: recall by length.)
 
 Shingles are counted once over the whole benchmark, so that no result depends on which
 items share a block. The benchmark goes to the tasks in blocks of at most ``ITEM_BLOCK``
@@ -17,7 +20,7 @@ items and ``BLOCK_CHARS`` characters, one after the other: a block's matches are
 and its broadcast released before the next is made. Documents are read once for each
 block.
 
-Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` in lower case; an item
+Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` in lower case, of whole texts of any length; an item
 with fewer than five words is one shingle and must be found word for word; an
 item or document without words matches nothing; null texts are empty; of equally
 similar spans the first is given, with the distance of its SimHash to the item's; equal
@@ -46,7 +49,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 5
 SIMILAR = 0.8
-SLACK = 1e-6        # above rounding, as a share of an item's weight
+REPLACED = (1 - SIMILAR) / (1 + SIMILAR)  # of an item's weight, at most, in a similar span of its size
+LEAST_WINDOWS = 3
+# Shingles in a window: odd, so that no vote is a tie.
+WINDOW_SIZES = np.array([1, 3, 5, 7, 9, 11, 13, 15, 17, 21, 25, 29, 33, 37, 43])
 RADIUS = 7          # of four 16-bit blocks one differs in at most 7 // 4 = 1 bit
 ITEM_BLOCK = 2000
 BLOCK_CHARS = 2 << 20  # of the items of a block, but for a single longer one
@@ -94,20 +100,24 @@ class Item:
     def __init__(self, item_id: int, hashes: np.ndarray):
         self.id, self.words = item_id, len(hashes)
         self.unit = min(SHINGLE, self.words)
-        shingles = ngrams(hashes, self.unit)
-        self.print = simhash(shingles)
-        self.distinct, self.uses = np.unique(shingles, return_counts=True)
+        self.shingles = ngrams(hashes, self.unit)
+        self.print = simhash(self.shingles)
+        self.distinct, self.uses = np.unique(self.shingles, return_counts=True)
 
     def weigh(self, weights: np.ndarray) -> None:
         self.weights = weights
         self.total = float((weights * self.uses).sum())
 
-    def probes(self) -> np.ndarray:
-        """Shingles that together weigh more than a similar span may lack."""
-        order = np.lexsort((self.distinct, -self.weights))
-        weight = np.cumsum((self.weights * self.uses)[order])
-        least = int(np.searchsorted(weight, (1 - SIMILAR + SLACK) * self.total, "right"))
-        return self.distinct[order[: least + 1]]
+    def windows(self) -> tuple[int, np.ndarray]:
+        """(shingles in a window, fingerprints of the windows)."""
+        n = len(self.shingles)
+        each = np.concatenate([[0], np.cumsum(self.weights[np.searchsorted(self.distinct, self.shingles)])])
+        run = min(SHINGLE, n)
+        changed = int(REPLACED * self.total / (each[run:] - each[:-run]).min()) if n > run else 0
+        count = min(max(changed + 1, LEAST_WINDOWS), n)
+        size = int(WINDOW_SIZES[WINDOW_SIZES <= n // count][-1])
+        first = (n - count * size) // 2
+        return size, np.array([simhash(self.shingles[first + i * size: first + (i + 1) * size]) for i in range(count)], U64)
 
 
 class ItemIndex:
@@ -127,13 +137,15 @@ class ItemIndex:
         n, in_items = (len(self.items), counts) if uses is None else (uses[0], uses[1](shingles))
         weights = np.log(1 + n / in_items)
         self.other = math.log(1 + n)
-        self.probes: dict[int, dict] = {}
-        for item in self.items:
+        found: dict[tuple[int, int], list] = {}
+        for k, item in enumerate(self.items):
             item.weigh(weights[np.searchsorted(shingles, item.distinct)])
-        for size in sorted({item.unit for item in self.items}):
-            prints = {k: item.probes() for k, item in enumerate(self.items) if item.unit == size}
-            self.probes[size] = self._blocks(np.concatenate([*prints.values()]),
-                                             np.repeat([*prints], [len(p) for p in prints.values()]))
+            size, prints = item.windows()
+            found.setdefault((item.unit, size), []).append((k, prints))
+        self.probes: dict[int, dict[int, dict]] = {}  # unit -> size of a window -> its tables
+        for (unit, size), held in sorted(found.items()):
+            self.probes.setdefault(unit, {})[size] = self._blocks(
+                np.concatenate([p for _, p in held]), np.repeat([k for k, _ in held], [len(p) for _, p in held]))
 
     @staticmethod
     def _blocks(prints: np.ndarray, places: np.ndarray) -> dict:
@@ -175,15 +187,19 @@ class ItemIndex:
         ``hashes``: word hashes of all texts, ``docs``: the first word of each.
         """
         out = []
-        for unit in self.probes:
+        item_words = np.array([item.words for item in self.items])
+        for unit, probes in self.probes.items():
             shingles = ngrams(hashes, unit)
-            windows, k = self._windows(shingles, unit)
+            prints = simhashes(shingles, [*probes])
+            near = [(size, *self._windows(np.ascontiguousarray(prints[size]).view(U64).ravel(), probes[size])) for size in probes]
+            windows, k = (np.concatenate([x[i] for x in near]) for i in (1, 2))
+            length = np.repeat([unit + size - 1 for size, *_ in near], [len(w) for _, w, _ in near])
             d = np.searchsorted(docs, windows, "right") - 1
-            words = np.array([item.words for item in self.items])[k]
+            words = item_words[k]
             # first words of the spans that hold the window inside its own document
-            low = np.maximum(windows + unit - words, docs[d])
+            low = np.maximum(windows + length - words, docs[d])
             high = np.maximum(np.minimum(windows, docs[d + 1] - words), docs[d])
-            whole = windows + unit <= docs[d + 1]
+            whole = windows + length <= docs[d + 1]
             order = np.lexsort((low, k, d))
             order = order[whole[order]]
             held: list = [None, 0, 0]
@@ -212,9 +228,8 @@ class ItemIndex:
         distance = (simhash(shingles[low + at: low + at + size]) ^ item.print).bit_count()
         return [(pair, float(found[at]), distance, low + at - int(docs[d]))]
 
-    def _windows(self, prints: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and the items of which they are within the radius of a probe."""
-        probes = self.probes[unit]
+    def _windows(self, prints: np.ndarray, probes: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and the items of which they are within the radius of a fingerprint."""
         halves = prints.view(np.uint16).reshape(-1, 4)
         pairs = []
         for b, (first, listed) in enumerate(probes["tables"]):

@@ -119,3 +119,38 @@ def test_blocks_are_bounded_in_characters(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
     items = spark.createDataFrame([(i, "x" * n) for i, n in enumerate([40, 60, 1, 500, 99])] + [(5, None)], "item_id long, text string")
     assert [[i for i, _ in b] for b in decontaminate.item_blocks(items.coalesce(1))] == [[0, 1], [2], [3], [4, 5]]
+
+
+@pytest.mark.parametrize("length", [12, 15, 21, 29, 40, 50, 59, 80, 120, 200, 300])
+def test_recall_by_length(length):
+    r = random.Random(length)
+    items = benchmark(r, [length] * 6)
+    docs = []
+    for _, text in items * 2:
+        words = text.split()
+        n = len(words)
+        docs += [" ".join(["before", *edited(r, words, e), "after"]) for e in {1, max(1, n // 50), max(1, n // 45)}]
+        docs += [" ".join(words[a: n - b]) for a, b in ((0, n // 9), (n // 9, 0), (n // 18, n // 18), (n // 12, n // 12), (0, n // 6))]
+    want, got = brute(docs, items), search(docs, items)
+    assert got.items() <= want.items() and len(got) >= 0.99 * len(want) and len(want) >= 30
+
+
+def test_the_radius_finds_what_equal_fingerprints_miss(monkeypatch):
+    """Two changed words, one shared by the first two of three windows and one inside the third."""
+    r = random.Random(5)
+    items = [(i, " ".join(f"q{r.randrange(10 ** 5)}" for _ in range(118))) for i in range(150)]
+    item = decontaminate.ItemIndex(items).items[0]
+    size, prints = item.windows()
+    assert len(prints) == 3
+    first = (len(item.shingles) - 3 * size) // 2
+    docs = []
+    for _, text in items:
+        words = text.split()
+        words[first + size + 1] = "one"  # the last three shingles of the first window, the first two of the second
+        words[first + 2 * size + size // 2] = "two"
+        docs.append(" ".join(words))
+    want = brute(docs, items)
+    assert len(want) == len(items)
+    found = search(docs, items)
+    monkeypatch.setattr(decontaminate, "RADIUS", 0)
+    assert len(found) >= 0.97 * len(want) and len(search(docs, items)) == 0
