@@ -14,13 +14,15 @@ as every set that shares this signature does, and only in the last of
 
 Signatures are packed and dealt out by hash; equal sets of a task go out once. Each
 task joins the sets that share one by a spanning forest, so a group of any size
-costs as many edges as it has sets. The connected sets form candidate clusters, and
-inside these the join is exact, by counting shared shingles: small clusters in
-one task, large ones against a few centres first, then what is still apart
-against bounded slices of the cluster.
+costs as many edges as it has sets. The connected sets form candidate clusters, in which
+components are formed from verified links only: sets are compared where they share a shingle
+of their prefixes (rarest in the cluster first), by counting shared shingles, and a
+link with one set of a component is enough. Small clusters are joined in one task. Large
+ones are first cut into the parts that prefixes connect; a part that is still large is
+joined against a few centres first, then what is still apart against bounded slices.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case; fewer than
-five words are one shingle; a null, empty or blank text has none and links with
+five words are one shingle; texts of any length are read whole; a null, empty or blank text has none and links with
 nothing; equal rows link; the component's id is its smallest id that is not
 null (null if there is none); an empty table gives an empty result. Extra
 columns are ignored.
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmart.llm.common import (
-    U64, Words, dealt_anew, mix, ngrams, ranges, row_number, shuffle_partitions, stage, text_arrays)
+    U64, Words, dealt_anew, distinct_name, mix, ngrams, ranges, row_number, shuffle_partitions, stage, text_arrays)
 from quillmart.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,6 +51,7 @@ STRONG = 2              # shingles of a signature that selects
 DEPTHS = 4
 CLUSTER_SHINGLES = 2_000_000   # of a cluster that one task joins, and of a slice of a larger one
 CENTRES = 16            # of a larger cluster
+MANY = 64               # members from which a set is compared with all at once
 TEXT_BYTES = 8 << 20     # of text handled at once in a task
 KEYS_SENT = 1_000_000   # row keys (8 bytes each) that are broadcast at most
 
@@ -265,20 +268,78 @@ class Postings:
         return np.flatnonzero(links(self.sizes, len(blob), shared))
 
 
+def prefix_length(n):
+    """Of a set's shingles, rarest first, the least number one of which every set that links with it has in
+    its own such part: the intersection holds at least ``PERCENT`` of the set."""
+    return n - -(-PERCENT * n // 100) + 1
+
+
+class _Forest:
+    """Disjoint sets of members, by their smallest member."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+
+
 def _cluster_labels(rows: np.ndarray, blobs: list[np.ndarray]) -> np.ndarray:
-    """The smallest row of each member's component, by exact comparison."""
-    label = np.arange(len(rows))
+    """The smallest row of each member's component, by exact comparison.
+
+    Only members that share a shingle of both their prefixes are compared (shingles that
+    a whole cluster shares are the last ones and in few prefixes), and of these only
+    members of other components so far: members listed under a prefix shingle are
+    kept by component, and one link with a component is enough.
+    """
     order = np.argsort(rows, kind="stable")
-    postings = Postings([blobs[i] for i in order])
-    for k, i in enumerate(order):
-        found = label[postings.linked(blobs[i])]
-        least = min(int(found.min()) if len(found) else k, int(label[k]))
-        if len(found) and (found != least).any() or label[k] != least:
-            label[np.isin(label, np.append(found, label[k]))] = least
-        if not label.any():
-            break
+    blobs = [blobs[i] for i in order]
+    sizes = np.array([len(b) for b in blobs], np.int64)
+    flat = np.concatenate(blobs)
+    owner = np.repeat(np.arange(len(blobs)), sizes)
+    _, code, uses = np.unique(flat, return_inverse=True, return_counts=True)
+    rare = np.lexsort((code, uses[code], owner))  # each member's shingles, rarest first
+    place = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+    kept = rare[(place < prefix_length(sizes)[owner]) & (uses[code[rare]] > 1)]
+    listed = code[kept]
+    first = np.searchsorted(owner[kept], np.arange(len(blobs) + 1))
+    forest, lists = _Forest(len(blobs)), {}
+    postings = None
+    for i in range(len(blobs)):
+        tried: set[int] = set()
+        own = [int(c) for c in listed[first[i]: first[i + 1]]]
+        for c in own:
+            groups = lists.setdefault(c, {})
+            for g in [g for g in groups if forest.root(g) != g]:  # components that have grown together
+                groups.setdefault(forest.root(g), []).extend(groups.pop(g))
+            for g in [*groups]:
+                if forest.root(g) == forest.root(i):
+                    continue
+                left = [j for j in groups[g] if j not in tried]
+                if len(left) > MANY:  # count the shingles shared with all members at once
+                    postings = postings or Postings(blobs)
+                    found = postings.linked(blobs[i])
+                    for j in found[found < i].tolist():
+                        forest.join(i, j)
+                    tried.update(range(i))
+                    continue
+                tried.update(left)
+                for j in left:
+                    if 100 * min(sizes[i], sizes[j]) >= PERCENT * max(sizes[i], sizes[j]):
+                        shared = len(np.intersect1d(blobs[i], blobs[j], assume_unique=True))
+                        if links(sizes[j], sizes[i], shared):
+                            forest.join(i, j)
+                            break
+        for c in own:
+            lists[c].setdefault(forest.root(i), []).append(i)
     out = np.empty_like(rows)
-    out[order] = rows[order][label]
+    out[order] = rows[order][[forest.root(i) for i in range(len(blobs))]]
     return out
 
 
@@ -360,6 +421,39 @@ def _large_edges(spark: SparkSession, members: DataFrame, sizes: DataFrame) -> D
     return stars.unionByName(stage(spark, rest, "apart"))
 
 
+def finer_clusters(spark: SparkSession, members: DataFrame) -> DataFrame:
+    """(row, part): members (cluster, row, n, shingles) of large clusters connected by a shingle that both
+    have in their prefixes, rarest in the cluster first; members connected with no other are left out.
+
+    Sets that only have a template in common share no such shingle, whatever signatures
+    connected them.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            blobs = batch.column("shingles").to_pylist()
+            counts = np.array([len(b) // 8 for b in blobs], np.int64)
+            take = np.repeat(np.arange(len(blobs)), counts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(take)) for c in ("cluster", "row", "n")]
+                + [pa.array(np.frombuffer(b"".join(blobs), np.int64))], names=["cluster", "row", "n", "shingle"])
+
+    each = stage(spark, members.select("cluster", "row", "n", "shingles").mapInArrow(
+        spread, "cluster long, row long, n int, shingle long"), "cluster-shingles")
+    uses = (each.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
+            .select(dealt_anew("cluster"), dealt_anew("shingle"), "uses"))
+    shared = each.join(uses, ["cluster", "shingle"]).groupBy("cluster", "row", "n").agg(
+        F.array_sort(F.collect_list(F.struct("uses", "shingle"))).alias("by_use"))
+    # a member's shingles that no other has come first
+    left = F.expr(f"n - cast(ceil({PERCENT} * n / 100) as int) + 1 - (n - size(by_use))")
+    listed = stage(spark, shared.where(left > 0).select(
+        "cluster", "row", F.explode(F.slice("by_use", F.lit(1), left)).alias("s")).select("cluster", "row", "s.shingle"), "prefixes")
+    least = (listed.groupBy("cluster", "shingle").agg(F.min("row").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1")
+             .select(dealt_anew("cluster"), dealt_anew("shingle"), "b"))
+    edges = listed.join(least, ["cluster", "shingle"]).where("row <> b").select(F.col("row").alias("a"), "b")
+    return components(spark, edges).select(F.col("node").alias("row"), F.col("root").alias("part"))
+
+
 def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(row, doc_id, n, label): the component of each row, null where the text has no words."""
     buckets = shuffle_partitions(spark)
@@ -392,6 +486,13 @@ def jaccard_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
             _join_small, "row long, label long")
     else:
         members = stage(spark, members, "members")
+        of_large = members.join(large.select("cluster"), "cluster", "left_semi")
+        parts = finer_clusters(spark, of_large)
+        finer = of_large.join(parts, "row").select(F.col("part").alias("cluster"), "row", "n", "shingles")
+        members = stage(spark, members.join(large, "cluster", "left_anti").select("cluster", "row", "n", "shingles")
+                        .unionByName(finer), "finer")
+        sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("members"))
+        large = stage(spark, sizes.where(F.col("total") > CLUSTER_SHINGLES), "finer-large")
         labels = (members.join(large, "cluster", "left_anti").repartition(buckets, "cluster")
                   .sortWithinPartitions("cluster").mapInArrow(_join_small, "row long, label long"))
         of_large = members.join(large.select("cluster"), "cluster", "left_semi")
@@ -422,7 +523,7 @@ def keep_one(spark: SparkSession, documents: DataFrame) -> DataFrame:
     first = rows.groupBy("label").agg(F.min(order)["row"].alias("row"))
     gone = stage(spark, rows.join(first, "row", "left_anti").select("row"), "duplicates")
     few = gone.limit(KEYS_SENT + 1).count() <= KEYS_SENT
-    name = "row" if "row" not in documents.columns else "row_number_of_join"
+    name = distinct_name(documents, "row")
     gone = gone.withColumnRenamed("row", name)
     return documents.withColumn(name, row_number(spark)).join(
         F.broadcast(gone) if few else gone, name, "left_anti").select(*documents.columns)

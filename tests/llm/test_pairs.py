@@ -128,3 +128,70 @@ def test_labels_of_one_cluster():
     labels = jaccard._cluster_labels(np.array([9, 8, 7, 6, 5, 4]), sets)
     assert labels.tolist() == [6, 6, 5, 6, 5, 4]
     assert len(pa.array(labels)) == 6
+
+
+def _components(sets):
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = label[i], label[j]
+                label = [min(x, y) if v in (x, y) else v for v in label]
+    return label
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_labels_equal_all_pairs(seed, monkeypatch):
+    monkeypatch.setattr(jaccard, "MANY", 2 if seed % 2 else 64)
+    r = random.Random(seed)
+    sets = []
+    for _ in range(12):
+        base = [r.randrange(10 ** 6) for _ in range(r.choice([1, 4, 10, 40]))] + list(range(r.choice([0, 5, 30])))
+        for _ in range(12):
+            own = set(base)
+            for _ in range(r.randrange(len(base) // 4 + 1)):
+                own.discard(r.choice(base))
+                own.add(r.randrange(10 ** 6))
+            sets.append(own)
+    sets = [s for s in sets if s]
+    got = jaccard._cluster_labels(np.arange(len(sets)), [np.array(sorted(s), np.uint64) for s in sets])
+    assert got.tolist() == _components(sets)
+
+
+def test_sets_with_a_common_template_cost_little():
+    r = np.random.default_rng(1)
+    template = np.arange(6, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([template, r.integers(100, 1 << 62, 9).astype(np.uint64)])) for _ in range(60_000)]
+    import time
+    start = time.perf_counter()
+    assert (jaccard._cluster_labels(np.arange(len(sets)), sets) == np.arange(len(sets))).all()
+    assert time.perf_counter() - start < 20
+
+
+def test_large_clusters_of_templates_are_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jaccard, "CLUSTER_SHINGLES", 300)
+    r = random.Random(9)
+    template = [f"t{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        own = [f"o{r.randrange(10 ** 6)}" for _ in range(14)]
+        rows.append((i, " ".join(template + own)))
+        if i % 3 == 0:
+            rows.append((1000 + i, " ".join(template + own[:-1] + ["last"])))
+    sf = data.write_tables(spark, tmp_path, documents=data.documents(spark, rows))
+    want = brute.jaccard(rows)
+    assert 30 < len({c for *_, c in want}) < len(rows)
+    made = []
+    finer = jaccard.finer_clusters
+    monkeypatch.setattr(jaccard, "finer_clusters", lambda *a: made.append(finer(*a)) or made[-1])
+    got = queries.op7_jaccard_join(spark, sf).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+    assert made and made[0].groupBy("part").count().agg({"count": "max"}).head()[0] < 20
+
+
+def test_keep_one_leaves_a_column_named_row(spark):
+    df = data.documents(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z")]).selectExpr(
+        "*", "concat('r', doc_id) AS ROW", "7 AS row_")
+    got = jaccard.keep_one(spark, df)
+    assert got.columns == df.columns and got.dtypes == df.dtypes
+    assert sorted((r["doc_id"], r["ROW"], r["row_"]) for r in got.collect()) == [(1, "r1", 7), (3, "r3", 7)]
