@@ -2,11 +2,13 @@
 
 Base rules find candidate credentials in every whole text. Each candidate's
 value is hashed, and the hashes are aggregated over the corpus: how many
-distinct repositories and owners carry the same value. A value that more than
-``MAX_OWNERS`` owners carry is a copied example. The others look live, in however
-many repositories of an owner they stand. The verdicts go back to each document.
+distinct repositories and owners carry the same value. A value is a copied example if
+a share of ``OWNER_SHARE`` of all owners of the corpus, and ``LEAST_OWNERS`` at least, carry it
+and no owner has more than a share of ``OWNER_MOST`` of its repositories. The others look live:
+those of few owners, in however many repositories, and those that stand mostly with one owner.
+The verdicts go back to each document as spans of the kinds live and example beside the base spans.
 
-Defined cases: a null or empty text has no findings; equal rows count once per
+Defined cases: a null or empty text has no findings; a text of any length is scanned whole; equal rows count once per
 (repository, owner) and each get the same result; a null owner or repository is
 a value of its own; an empty table gives an empty result. Extra columns are
 ignored.
@@ -34,9 +36,12 @@ ASSIGN = rb"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][
 ACCESS = rb"AKIA[A-Z0-9]+"
 HEX = rb"[0-9a-f]{16,}"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-# A real key gets around by a copied passage or a shared project; only what more
-# distinct owners than this carry counts as an example.
-MAX_OWNERS = 5
+VERDICTS = ("example", "live")
+# A real key gets around by a copied passage or a shared project; only what many owners carry,
+# none of them most of it, counts as an example.
+OWNER_SHARE = 0.1
+LEAST_OWNERS = 3
+OWNER_MOST = 0.5
 KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 SCHEMA = ("doc_id long, repo string, owner string, n_assign long, n_access long, n_hex long, "
@@ -102,8 +107,9 @@ def scan(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     ).mapInArrow(per_partition, SCHEMA)
 
 
-def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per hashed value: distinct repositories, distinct owners and the verdict.
+def ownership(found: DataFrame, owners: int, share: float = OWNER_SHARE, least: int = LEAST_OWNERS,
+              most: float = OWNER_MOST) -> DataFrame:
+    """Per hashed value: distinct repositories, distinct owners and the verdict, in a corpus of ``owners``.
 
     Counted in three partial aggregations, so a value that a third of all rows
     carry is reduced before each shuffle.
@@ -112,41 +118,62 @@ def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     per_repo = pairs.groupBy("value", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
     per_owner = per_repo.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
     total = per_owner.groupBy("value").agg(
-        F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_uses"))
-    return total.withColumn("live", F.col("n_owners") <= max_owners)
+        F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_uses"),
+        F.max("repos").alias("most_repos"))
+    copied = (F.col("n_owners") >= max(least, share * owners)) & (F.col("most_repos") <= most * F.col("n_repos"))
+    return total.withColumn("live", ~copied)
 
 
-def secret_scan(spark: SparkSession, documents: DataFrame, max_owners: int = MAX_OWNERS, **columns) -> DataFrame:
-    """Findings of each row and how many of its values look live or are copied examples."""
-    found = stage(spark, scan(documents, **columns), "secrets")
-    verdicts = ownership(found, max_owners).select(dealt_anew("value"), "n_owners", "live")
-    values = found.where(F.size("found") > 0).select("doc_id", "repo", "owner", "spans",
+def count_owners(documents: DataFrame, owner_col: str = "source") -> int:
+    """Distinct owners of the corpus (a null one counts): one read of that column."""
+    return documents.select(F.col(owner_col).cast("string").alias("owner")).distinct().count()
+
+
+def secret_scan(spark: SparkSession, documents: DataFrame, owner_col: str = "source", rule: dict | None = None,
+                **columns) -> DataFrame:
+    """Findings of each row and how many of its values look live or are copied examples.
+
+    ``spans``: the base spans and, at the same places, each finding's verdict (live or example), by
+    start and then kind in the order of ``KINDS`` and ``VERDICTS``. ``rule``: options of ``ownership``.
+    """
+    found = stage(spark, scan(documents, owner_col=owner_col, **columns), "secrets")
+    verdicts = ownership(found, count_owners(documents, owner_col), **(rule or {})).select(dealt_anew("value"), "n_owners", "live")
+    values = found.where(F.size("found") > 0).select("doc_id", "repo", "owner", F.col("spans").alias("base"),
                                                      F.explode("found").alias("f")).distinct()
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    named = lambda spans: F.array_join(F.transform(
+        F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    span = lambda place, kind: F.struct(
+        F.col("f.start").alias("start"), place.cast("int").alias("place"), F.col("f.stop").alias("stop"), kind.alias("kind"))
+    own = span(F.array_position(kinds, F.col("f.kind")), F.col("f.kind"))
+    verdict = span(F.when(F.col("live"), len(KINDS) + 2).otherwise(len(KINDS) + 1),
+                   F.when(F.col("live"), F.lit(VERDICTS[1])).otherwise(F.lit(VERDICTS[0])))
     per_row = (values.join(verdicts, F.col("f.value") == verdicts["value"])
-               .groupBy("doc_id", "repo", "owner", "spans")
+               .groupBy("doc_id", "repo", "owner", "base")
                .agg(F.sum(F.col("live").cast("long")).alias("n_live"),
                     F.sum((~F.col("live")).cast("long")).alias("n_shared"),
                     F.max("n_owners").alias("most_owners"),
-                    F.array_join(F.transform(
-                        F.sort_array(F.collect_list(F.when(F.col("live"), F.struct("f.start", "f.kind", "f.stop")))),
-                        lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",").alias("live_spans")))
-    a, b = found.alias("a"), per_row.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "repo", "owner", "spans")]
+                    named(F.concat(F.collect_list(own), F.collect_list(verdict))).alias("spans"),
+                    named(F.collect_list(F.when(F.col("live"), own))).alias("live_spans")))
+    a, b = found.withColumnRenamed("spans", "base").alias("a"), per_row.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "repo", "owner", "base")]
     return a.join(b, on=same, how="left").select(
-        "a.doc_id", "a.n_assign", "a.n_access", "a.n_hex", "a.base_sha256", "a.spans",
+        "a.doc_id", "a.n_assign", "a.n_access", "a.n_hex", "a.base_sha256",
+        F.coalesce("b.spans", F.lit("")).alias("spans"),
         F.coalesce("b.n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("b.n_shared", F.lit(0)).cast("long").alias("n_shared"),
         F.coalesce("b.most_owners", F.lit(0)).cast("long").alias("most_owners"),
         F.coalesce("b.live_spans", F.lit("")).alias("live_spans"))
 
 
-def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = MAX_OWNERS,
+def mask_live(spark: SparkSession, documents: DataFrame, rule: dict | None = None,
               text_col: str = "text", id_col: str = "doc_id", repo_col: str = "doc_id",
               owner_col: str = "source", mask: str = "[secret]") -> DataFrame:
     """``documents`` with the live-looking findings of ``text_col`` replaced by ``mask``.
 
     Copied examples stay. Rows without a finding pass through where they are read;
-    only rows with findings are shuffled, to meet the verdicts on their values.
+    only rows with findings are shuffled, to meet the verdicts on their values. The texts are
+    scanned once: rows with their findings are written first.
     """
     schema = documents.schema
     mark = distinct_name(documents, "found")
@@ -159,12 +186,12 @@ def mask_live(spark: SparkSession, documents: DataFrame, max_owners: int = MAX_O
             yield from rows.append_column(mark, pa.array(found, pa.list_(pa.struct(
                 [("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())])))).to_batches()
 
-    marked = documents.mapInArrow(find, T.StructType([*schema, T.StructField(mark, kind)]))
+    marked = stage(spark, documents.mapInArrow(find, T.StructType([*schema, T.StructField(mark, kind)])), "marked")
     clean = marked.where(F.size(mark) == 0).drop(mark)
     dirty = marked.where(F.size(mark) > 0)
     owners = dirty.select(F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"),
                           F.col(mark).alias("found"))
-    live = ownership(owners, max_owners).where("live").select(dealt_anew("value"))
+    live = ownership(owners, count_owners(documents, owner_col), **(rule or {})).where("live").select(dealt_anew("value"))
     own = dirty.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.explode(f"{mark}.value").alias("value"))
     per_row = (own.distinct().join(live, "value").groupBy("id", "hash")
                .agg(F.collect_set("value").alias("values")))  # of one text
