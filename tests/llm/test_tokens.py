@@ -204,3 +204,41 @@ def test_ledger_is_idempotent_and_signed(spark):
     assert ledger.commit(3, changes().limit(0))
     got = {(r["source"], r["lang"], r["tokenizer_version"]): (r["n_docs"], r["n_tokens"]) for r in ledger.totals().collect()}
     assert got == {("b", "en", "v"): (1, 9), (None, None, "v"): (1, 0)}
+
+
+CHANGE = "doc_id long, source string, lang string, tokenizer_version string, n_tokens long, op string, seq int"
+
+
+def test_a_small_batch_reads_and_writes_its_own_buckets(spark):
+    ledger = rollup.TokenLedger(spark, buckets=50)
+    ledger.commit(1, spark.createDataFrame([(i, f"s{i % 3}", "en", "v", i, "insert", 0) for i in range(2000)], CHANGE))
+    before, read = ledger.states.current(), []
+    true = ledger._read
+    ledger._read = lambda schema, state, parts: read.append(set(parts)) or true(schema, state, parts)
+    ledger.commit(2, spark.createDataFrame([(7, "s9", "de", "v", 1000, "revise", 0), (8, None, None, "v", 0, "delete", 0)], CHANGE))
+    ledger._read = true
+    after = ledger.states.current()
+    changed = {p for p in before.folders if p.startswith("bucket-") and before.folders[p] != after.folders.get(p)}
+    assert 1 <= len(changed) <= 2 and set().union(*read) == changed | {"totals"}
+    got = {r["source"]: (r["n_docs"], r["n_tokens"]) for r in ledger.totals().collect()}
+    want = {f"s{k}": (len(v), sum(v)) for k in range(3) if (v := [i for i in range(2000) if i % 3 == k and i not in (7, 8)])}
+    assert got == {**want, "s9": (1, 1000)}
+    held = ledger.documents().groupBy("source").agg(F.count("*"), F.sum("n_tokens")).collect()
+    assert got == {r[0]: (r[1], r[2]) for r in held}
+    signed = ledger.ledger().groupBy("source").agg(F.sum("d_docs"), F.sum("d_tokens")).collect()
+    assert got == {r[0]: (r[1], r[2]) for r in signed if r[1]}
+
+
+def test_a_commit_that_dies_changes_nothing(spark, monkeypatch):
+    ledger = rollup.TokenLedger(spark, buckets=4)
+    ledger.commit(1, spark.createDataFrame([(1, "a", "en", "v", 10, "insert", 0)], CHANGE))
+    batch = spark.createDataFrame([(1, "a", "en", "v", 4, "revise", 0), (2, "a", "en", "v", 5, "insert", 0)], CHANGE)
+    with monkeypatch.context() as m:
+        def die(*args):
+            raise RuntimeError("died")
+        m.setattr(type(ledger.states), "_place", die)
+        with pytest.raises(RuntimeError, match="died"):
+            ledger.commit(2, batch)
+    assert [tuple(r)[3:] for r in ledger.totals().collect()] == [(1, 10)] and not ledger.committed(2)
+    assert ledger.commit(2, batch) and not ledger.commit(2, batch)
+    assert [tuple(r)[3:] for r in ledger.totals().collect()] == [(2, 9)]
