@@ -1,18 +1,20 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
-A text is the set of its paragraphs' 64-bit digests (a paragraph is a line; a
-line of over 256 characters is cut after its sentences). A sketch has three
+A text is the set of its paragraphs' 64-bit digests (a paragraph is a line; what is longer
+than 256 characters is cut after its sentences, a piece that is still longer by its
+content: see ``CUTS``). A sketch has three
 tables of cells; a digest is added to one cell of each: a count, the XOR of
 digests and the XOR of check values. Subtracting one version's cells from
 another's leaves the digests in which they differ, and peeling recovers them:
 a cell that holds one digest gives it away, it is taken out of its other cells,
-and so on. If cells remain, the pair is tried again with a larger sketch.
+and so on. If cells remain, that pair alone is tried again with a larger sketch, until all
+are recovered; the recovered digests of each side are returned as their number and XOR.
 
 Everything is DataFrame and SQL functions. The table of digests is bucketed, so
 the cells of a document are made, subtracted and peeled in one task without
 another shuffle.
 
-Defined cases: a null text is an empty one, with one empty paragraph; equal
+Defined cases: texts of any length are taken whole; a null text is an empty one, with one empty paragraph; equal
 texts have equal fingerprints and likeness 1; the order and number of equal
 paragraphs do not matter; null ids sort first; rows of one id are in order of
 their text, and every row is answered; a single document is its own neighbour;
@@ -33,6 +35,10 @@ from quillmart.session import scratch_path
 
 BASE_CELLS = 4  # in each of the three tables of a fingerprint
 LONG_LINE = 256
+# Where a piece of over LONG_LINE characters is cut, one after the other while pieces are still longer:
+# after sentences, after those of other scripts, after words that end in h, l or y, at every blank,
+# and after some frequent characters of scripts without blanks.
+CUTS = (r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", " ", "(?<=[的是了，、])")
 ROUNDS = 2          # of the three tables, for a sketch sized to the sets
 PARTS = 3           # ranges of documents for each shuffle partition
 MOST_RETRIES = 24
@@ -40,12 +46,16 @@ PAIRS_SENT = 1_000_000  # keys of failed pairs (some 16 bytes each) that are bro
 ROW = ["part", "rn"]
 
 
+def _cut_by(pattern: str):
+    return lambda x: F.when(F.length(x) > LONG_LINE, F.split(x, pattern)).otherwise(F.array(x))
+
+
 def paragraphs(text: Column) -> Column:
     """Distinct digests of a text's paragraphs."""
-    lines = F.split(text, "\n")
-    cut = F.flatten(F.transform(lines, lambda x: F.when(
-        F.length(x) > LONG_LINE, F.split(x, r"(?<=[.!?]) ")).otherwise(F.array(x))))
-    return F.array_distinct(F.transform(cut, lambda x: F.xxhash64(x)))
+    pieces = F.split(text, "\n")
+    for cut in CUTS:
+        pieces = F.flatten(F.transform(pieces, _cut_by(cut)))
+    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
 
 
 def _cell(key: Column, table: int, cells: Column, seed: int) -> Column:
@@ -84,8 +94,8 @@ def _not_empty(rows: DataFrame) -> DataFrame:
 
 def peel(rows: DataFrame, keys: list[str], seed: int, keep: bool = False, rounds: int = ROUNDS) -> DataFrame:
     """Take out what the cells give away. Rows left with cell >= 0 were not recovered; recovered
-    digests are rows with cell -1 (only in a) and -2 (only in b), counted in ``cnt`` and with
-    ``keep`` one row per digest (``found``).
+    digests are rows with cell -1 (only in a) and -2 (only in b), counted in ``cnt``, with their
+    XOR in ``ks`` and with ``keep`` one row per digest (``found``).
 
     One table at a time: a digest is in one cell of each table, so no two cells of
     a step give away the same one.
@@ -99,8 +109,7 @@ def peel(rows: DataFrame, keys: list[str], seed: int, keep: bool = False, rounds
                           (-F.col("cnt")).alias("cnt"), F.col("ks"), F.col("hs")) for t in range(3) if t != table]
         given = F.struct(F.when(F.col("cnt") > 0, -1).otherwise(-2).cast("int").alias("cell"),
                          (F.col("ks") if keep else F.lit(0).cast("long")).alias("found"),
-                         F.lit(1).cast("long").alias("cnt"), F.lit(0).cast("long").alias("ks"),
-                         F.lit(0).cast("long").alias("hs"))
+                         F.lit(1).cast("long").alias("cnt"), F.col("ks").alias("ks"), F.lit(0).cast("long").alias("hs"))
         moved = rows.select(*keys, "cells", F.explode(
             F.when(lone, F.array(*taken, given)).otherwise(F.array(same))).alias("m")).select(*keys, "cells", "m.*")
         rows = _not_empty(_sum_cells(moved, keys))
@@ -108,10 +117,12 @@ def peel(rows: DataFrame, keys: list[str], seed: int, keep: bool = False, rounds
 
 
 def _outcome(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per pair: did cells remain, and how many digests are on one side only."""
+    """Per pair: did cells remain, and of the digests on one side only their number and XOR."""
+    side = lambda cell, c: F.when(F.col("cell") == cell, F.col(c)).otherwise(F.lit(0).cast("long"))
     return rows.groupBy(*keys).agg(
         F.max((F.col("cell") >= 0).cast("int")).alias("left"),
-        F.sum(F.when(F.col("cell") < 0, F.col("cnt")).otherwise(0)).alias("differ"))
+        F.sum(side(-1, "cnt")).alias("n_a"), F.sum(side(-2, "cnt")).alias("n_b"),
+        F.bit_xor(side(-1, "ks")).alias("x_a"), F.bit_xor(side(-2, "ks")).alias("x_b"))
 
 
 def _renamed(pairs: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], dict[str, str]]:
@@ -121,28 +132,25 @@ def _renamed(pairs: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], d
 
 
 def differences(spark: SparkSession, pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, differ): number of digests on one side only, for each row of ``pairs`` (keys, a, b).
+    """(keys, n_a, n_b, x_a, x_b): number and XOR of the digests on one side only, for each row of
+    ``pairs`` (keys, a, b).
 
-    First with the base sketch; then with one sized to the two sets, doubled
-    with new hash functions until every pair is recovered. Pairs without
+    First with the base sketch; pairs that it can't recover, and only these, with one sized to the
+    two sets, doubled with new hash functions until every pair is recovered. Pairs without
     difference have no row.
     """
     pairs, keys, names = _renamed(pairs, keys)
-    base = _outcome(peel(difference(pairs, keys, F.lit(BASE_CELLS), 0), keys, 0, rounds=1), keys)
     fit = (F.lit(8) + F.size("a") + F.size("b")).cast("int")
-    open_pairs = pairs
-    answers = []
-    for retry in range(1, MOST_RETRIES):
-        sized = _outcome(peel(difference(open_pairs, keys, fit * (1 << (retry - 1)), retry), keys, retry), keys)
-        if retry == 1:
-            sized = sized.withColumn("larger", F.lit(1)).unionByName(base.withColumn("larger", F.lit(0)))
-            sized = sized.groupBy(*keys).agg(  # the base sketch's answer where it has one
-                F.min("left").alias("left"),
-                F.min_by("differ", F.struct("left", "larger")).alias("differ"))
+    open_pairs, answers = pairs, []
+    for retry in range(MOST_RETRIES):
+        if retry:
+            tried = _outcome(peel(difference(open_pairs, keys, fit * (1 << (retry - 1)), retry), keys, retry), keys)
+        else:
+            tried = _outcome(peel(difference(pairs, keys, F.lit(BASE_CELLS), 0), keys, 0, rounds=1), keys)
         path = scratch_path(spark, "differences")
-        sized.write.parquet(path)
-        done = spark.read.schema(sized.schema).parquet(path)
-        answers.append(done.where("left = 0").select(*keys, "differ"))
+        tried.write.parquet(path)
+        done = spark.read.schema(tried.schema).parquet(path)
+        answers.append(done.where("left = 0").drop("left"))
         failed = done.where("left = 1").select(*keys)
         count = failed.limit(PAIRS_SENT + 1).count()
         if not count:
@@ -219,7 +227,8 @@ def with_next(spark: SparkSession, documents: DataFrame, parts: int) -> DataFram
 
 def fingerprint_edits(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Each document, its edited text (the last half replaced by the start of the next document)
-    and its next document: fingerprints and likenesses (shared paragraphs / all paragraphs)."""
+    and its next document: fingerprints, likenesses (shared paragraphs / all paragraphs) and
+    the recovered digests, as number:XOR of those lost and number:XOR of those new (empty: none)."""
     parts = PARTS * shuffle_partitions(spark)
     rows = with_next(spark, documents.select(F.col("doc_id").cast("long"), "text"), parts)
     half = F.floor(F.length("text") / 2).cast("int")
@@ -239,8 +248,11 @@ def fingerprint_edits(spark: SparkSession, documents: DataFrame) -> DataFrame:
         return held.select(*ROW, F.lit(k).alias("pair"), F.col("own").alias("a"), F.col(other).alias("b"))
 
     differ = differences(spark, pairs("edited", 0).unionByName(pairs("next", 1)), [*ROW, "pair"])
-    per_row = differ.groupBy(*ROW).agg(F.sum(F.when(F.col("pair") == 0, F.col("differ"))).alias("d0"),
-                                       F.sum(F.when(F.col("pair") == 1, F.col("differ"))).alias("d1"))
+    of = lambda k, c: F.max(F.when(F.col("pair") == k, F.col(c)))
+    digest = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    named = F.concat_ws(":", "n_a", digest("x_a"), "n_b", digest("x_b"))
+    per_row = differ.select(*ROW, "pair", (F.col("n_a") + F.col("n_b")).alias("differ"), named.alias("recovered")).groupBy(*ROW).agg(
+        of(0, "differ").alias("d0"), of(1, "differ").alias("d1"), of(0, "recovered").alias("r0"), of(1, "recovered").alias("r1"))
     own = sketch_text(held, ROW, "own")
     new = sketch_text(held, ROW, "edited").withColumnRenamed("fingerprint", "edited_fingerprint")
 
@@ -251,4 +263,5 @@ def fingerprint_edits(spark: SparkSession, documents: DataFrame) -> DataFrame:
     return held.join(per_row, ROW, "left").join(own, ROW).join(new, ROW).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness("edited", "d0").alias("near_edited"), likeness("next", "d1").alias("near_next"),
-        F.col("n_own").alias("n_paragraphs"))
+        F.col("n_own").alias("n_paragraphs"), F.coalesce("r0", F.lit("")).alias("recovered_edited"),
+        F.coalesce("r1", F.lit("")).alias("recovered_next"))

@@ -4,6 +4,8 @@ import collections
 import hashlib
 import re
 
+import xxhash
+
 from tests.llm import data
 
 
@@ -48,15 +50,29 @@ def substrings(rows, window=35):
     return out
 
 
+CUTS = [r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", " ", "(?<=[的是了，、])"]
+
+
 def paragraphs(text):
-    out = set()
-    for line in text.split("\n"):
-        out.update(re.split(r"(?<=[.!?]) ", line) if len(line) > 256 else [line])
-    return out
+    pieces = text.split("\n")
+    for cut in CUTS:
+        pieces = [q for p in pieces for q in (re.split(cut, p) if len(p) > 256 else [p])]
+    return set(pieces)
+
+
+def recovered(a, b):
+    """number:XOR of the digests of a without b, number:XOR of those of b without a."""
+    sides = []
+    for one, other in ((a, b), (b, a)):
+        total = 0
+        for p in one - other:
+            total ^= xxhash.xxh64_intdigest(p.encode(), seed=42)
+        sides.append(f"{len(one - other)}:{total:016x}")
+    return ":".join(sides) if a != b else ""
 
 
 def edits(rows):
-    """[(doc_id, chars, edited digest, likeness to the edited text, to the next text)]"""
+    """[(doc_id, chars, edited digest, likeness to the edited text, to the next text, recovered digests)]"""
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""), reverse=True)
     out = []
     for i, (d, t, *_) in enumerate(ordered):
@@ -65,5 +81,5 @@ def edits(rows):
         edited = t[:len(t) - half] + follow[:half]
         a, b, c = paragraphs(t), paragraphs(edited), paragraphs(follow)
         out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(),
-                    round(len(a & b) / len(a | b), 9), round(len(a & c) / len(a | c), 9)))
+                    round(len(a & b) / len(a | b), 9), round(len(a & c) / len(a | c), 9), recovered(a, b), recovered(a, c)))
     return out

@@ -1,4 +1,6 @@
 import collections
+import functools
+import operator
 import random
 
 import numpy as np
@@ -26,7 +28,7 @@ def test_op10_query(spark, tmp_path):
     sf = data.write_tables(spark, tmp_path, documents=data.documents(spark, all_rows).repartition(4))
     got = queries.op10_fingerprints(spark, sf).collect()
     assert collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9),
-                                round(r["near_next"], 9)) for r in got) == collections.Counter(brute.edits(all_rows))
+                                round(r["near_next"], 9), r["recovered_edited"], r["recovered_next"]) for r in got) == collections.Counter(brute.edits(all_rows))
     by = collections.defaultdict(set)
     text = dict(all_rows)
     for r in got:
@@ -51,8 +53,29 @@ def test_peeling_recovers_the_differing_digests(spark):
     got = {r["k"]: r for r in fingerprints.recovered(pairs, ["k"], 16).collect()}
     assert got[1]["whole"] and got[1]["only_a"] == [100, 101, 102, 103, 104] and got[1]["only_b"] == [160, 161, 162]
     assert got[2]["only_a"] == [100] and not got[3]["whole"]
-    counts = {r["k"]: r["differ"] for r in fingerprints.differences(spark, pairs, ["k"]).collect()}
-    assert counts == {1: 8, 2: 1, 3: 500}
+    counts = {r["k"]: (r["n_a"], r["n_b"], r["x_a"], r["x_b"]) for r in fingerprints.differences(spark, pairs, ["k"]).collect()}
+    xor = lambda xs: functools.reduce(operator.xor, xs, 0)
+    assert counts == {1: (5, 3, xor(a[:5]), xor([160, 161, 162])), 2: (1, 0, 100, 0), 3: (500, 0, xor(range(500)), 0)}
+
+
+def test_only_failed_pairs_are_tried_again(spark, monkeypatch):
+    pairs = spark.createDataFrame([(k, list(range(k, k + 30)), list(range(k, k + 30 + (k % 7 == 0) * 60 + 1))) for k in range(70)],
+                                  "k int, a array<long>, b array<long>")
+    tried, true = [], fingerprints.difference
+    monkeypatch.setattr(fingerprints, "difference", lambda p, keys, cells, seed: tried.append(p.count()) or true(p, keys, cells, seed))
+    got = {r["k"]: (r["n_a"], r["n_b"]) for r in fingerprints.differences(spark, pairs, ["k"]).collect()}
+    assert got == {k: (0, 61 if k % 7 == 0 else 1) for k in range(70)}
+    assert tried[0] == 70 and tried[1] == 10 and all(n <= 10 for n in tried[2:])
+
+
+def test_a_long_line_without_sentences_keeps_its_unchanged_half(spark, tmp_path):
+    long = ["文字是了" * 300, "word " * 300, " ".join(f"w{i}$" for i in range(400)),
+            "one sentence. " * 60, "这是一个句子。" * 200]
+    rows = [(i, t) for i, t in enumerate(long)]
+    sf = data.write_tables(spark, tmp_path, documents=data.documents(spark, rows))
+    got = queries.op10_fingerprints(spark, sf).collect()
+    assert {r["doc_id"]: round(r["near_edited"], 9) for r in got} == {d: n for d, _, _, n, *_ in brute.edits(rows)}
+    assert all(r["near_edited"] > 0 for r in got)
 
 
 def test_parts_by_cuts(spark):
@@ -99,8 +122,8 @@ def test_multi_index_finds_every_fingerprint_within_the_radius():
     items = [(i, " ".join(text.split()[a: a + 20])) for i, a in enumerate(range(0, 3900, 130))]
     index = decontaminate.ItemIndex(items)
     words = Words(pa.array([text]))
-    size, probes = next(iter(index.probes.items()))
-    prints = decontaminate.simhashes(decontaminate.ngrams(words.hashes()[0], 5), [size - 4])[size - 4].view(np.uint64).ravel()
+    size, probes = next(iter(index.probes[5].items()))
+    prints = decontaminate.simhashes(decontaminate.ngrams(words.hashes()[0], 5), [size])[size].view(np.uint64).ravel()
     for k, p in enumerate(probes["prints"]):
         near = np.flatnonzero(np.bitwise_count(prints ^ p) <= decontaminate.RADIUS)
         hit = np.zeros(len(prints), bool)
