@@ -1,5 +1,5 @@
 """Operators for preparing training text at scale.
 
-Ten operators and the queries that apply them; nothing else in the library
+Thirteen operators and the queries that apply them; nothing else in the library
 imports this subpackage.
 """

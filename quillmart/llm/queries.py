@@ -23,10 +23,12 @@ def _json(name: str) -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item, similarity and place of the best span."""
     return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's findings and their verdicts by ownership (repository: doc_id, owner: source)."""
     return secrets.secret_scan(spark, table(spark, sf_dir, "documents"))
 
 
@@ -61,32 +63,39 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
     return quality.quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back: place, number and crc32 of each one's ids."""
     return wavelet.token_files(spark, table(spark, sf_dir, "documents"), _json(WORD_BPE), END_ID,
                                digest=True, lower=True)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
     return toxicity.toxicity_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of similar documents."""
     return jaccard.jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes decoded from them."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path(MULTI_RANKS))
     return byte_bpe.id_digest(table(spark, sf_dir, "documents"), spark, ranks, public_tokenizers.PATTERN)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when repeated windows of 35 words go."""
     return substrings.substring_dedup(spark, table(spark, sf_dir, "documents"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and what the two and the next one share."""
     return fingerprints.fingerprint_edits(spark, table(spark, sf_dir, "documents"))
 
 
