@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read back as the next stage's documents. All stages but
 the last return the columns of documents.
+
+Defined cases, in every stage: a null text is an empty one, which no stage removes or changes; texts
+of any length are read whole; null and repeated ids stay, with one decision per row (of
+equal texts, one row stays); columns of other names, also those that operators use
+inside, pass through; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secret scan: live-looking credentials are masked; copied examples and all documents stay."""
+    """Secret scan: live-looking credentials are masked; copied examples (see ``secrets``) and all documents stay."""
     return secrets.mask_live(spark, docs)
 
 
