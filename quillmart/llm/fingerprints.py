@@ -36,9 +36,11 @@ from quillmart.session import scratch_path
 BASE_CELLS = 4  # in each of the three tables of a fingerprint
 LONG_LINE = 256
 # Where a piece of over LONG_LINE characters is cut, one after the other while pieces are still longer:
-# after sentences, after those of other scripts, after words that end in h, l or y, at every blank,
+# after sentences, after those of other scripts, after words that end in h, l or y, then in e, t or a,
+# then in h, l or y before other signs, at every blank,
 # and after some frequent characters of scripts without blanks.
-CUTS = (r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", " ", "(?<=[的是了，、])")
+CUTS = (r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", "(?<=[eta]) ",
+        "(?<=[hly][^a-z]) |(?<=[hly][^a-z]{2}) |(?<=[hly][^a-z]{3}) ", " ", "(?<=[的是了，、])")
 ROUNDS = 2          # of the three tables, for a sketch sized to the sets
 PARTS = 3           # ranges of documents for each shuffle partition
 MOST_RETRIES = 24

@@ -50,7 +50,8 @@ def substrings(rows, window=35):
     return out
 
 
-CUTS = [r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", " ", "(?<=[的是了，、])"]
+CUTS = [r"(?<=[.!?]) ", "(?<=[。！？；…])", "(?<=[hly]) ", "(?<=[eta]) ",
+        "(?<=[hly][^a-z]) |(?<=[hly][^a-z]{2}) |(?<=[hly][^a-z]{3}) ", " ", "(?<=[的是了，、])"]
 
 
 def paragraphs(text):
