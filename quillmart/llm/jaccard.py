@@ -309,33 +309,42 @@ def _cluster_labels(rows: np.ndarray, blobs: list[np.ndarray]) -> np.ndarray:
     kept = rare[(place < prefix_length(sizes)[owner]) & (uses[code[rare]] > 1)]
     listed = code[kept]
     first = np.searchsorted(owner[kept], np.arange(len(blobs) + 1))
+
+    def linked(i: int, j: int) -> bool:
+        if 100 * min(sizes[i], sizes[j]) < PERCENT * max(sizes[i], sizes[j]):
+            return False
+        return bool(links(sizes[j], sizes[i], len(np.intersect1d(blobs[i], blobs[j], assume_unique=True))))
+
     forest, lists = _Forest(len(blobs)), {}
     postings = None
+    if len(blobs) > MANY:  # groups of near copies come together by a few members
+        postings, centres = Postings(blobs), 0
+        for i in range(len(blobs)):
+            if forest.root(i) == i and centres < CENTRES:
+                centres += 1
+                for j in postings.linked(blobs[i]).tolist():
+                    forest.join(i, j)
     for i in range(len(blobs)):
-        tried: set[int] = set()
         own = [int(c) for c in listed[first[i]: first[i + 1]]]
+        apart = []  # (component, members) listed under a shared prefix shingle, of other components
         for c in own:
             groups = lists.setdefault(c, {})
             for g in [g for g in groups if forest.root(g) != g]:  # components that have grown together
                 groups.setdefault(forest.root(g), []).extend(groups.pop(g))
-            for g in [*groups]:
-                if forest.root(g) == forest.root(i):
-                    continue
-                left = [j for j in groups[g] if j not in tried]
-                if len(left) > MANY:  # count the shingles shared with all members at once
-                    postings = postings or Postings(blobs)
-                    found = postings.linked(blobs[i])
-                    for j in found[found < i].tolist():
+            mine = forest.root(i)
+            apart += [(g, members) for g, members in groups.items() if g != mine]
+        if sum(len(members) for _, members in apart) > MANY:  # count the shingles shared with all members at once
+            postings = postings or Postings(blobs)
+            found = postings.linked(blobs[i])
+            for j in found.tolist():
+                forest.join(i, j)
+        else:
+            tried = set()
+            for g, members in apart:
+                for j in members:
+                    if j not in tried and forest.root(i) != forest.root(g) and linked(i, j):
                         forest.join(i, j)
-                    tried.update(range(i))
-                    continue
-                tried.update(left)
-                for j in left:
-                    if 100 * min(sizes[i], sizes[j]) >= PERCENT * max(sizes[i], sizes[j]):
-                        shared = len(np.intersect1d(blobs[i], blobs[j], assume_unique=True))
-                        if links(sizes[j], sizes[i], shared):
-                            forest.join(i, j)
-                            break
+                    tried.add(j)
         for c in own:
             lists[c].setdefault(forest.root(i), []).append(i)
     out = np.empty_like(rows)
