@@ -274,29 +274,12 @@ def prefix_length(n):
     return n - -(-PERCENT * n // 100) + 1
 
 
-class _Forest:
-    """Disjoint sets of members, by their smallest member."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-
-
 def _cluster_labels(rows: np.ndarray, blobs: list[np.ndarray]) -> np.ndarray:
     """The smallest row of each member's component, by exact comparison.
 
     Only members that share a shingle of both their prefixes are compared (shingles that
     a whole cluster shares are the last ones and in few prefixes), and of these only
-    members of other components so far: members listed under a prefix shingle are
-    kept by component, and one link with a component is enough.
+    members of other components so far.
     """
     order = np.argsort(rows, kind="stable")
     blobs = [blobs[i] for i in order]
@@ -307,48 +290,47 @@ def _cluster_labels(rows: np.ndarray, blobs: list[np.ndarray]) -> np.ndarray:
     rare = np.lexsort((code, uses[code], owner))  # each member's shingles, rarest first
     place = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
     kept = rare[(place < prefix_length(sizes)[owner]) & (uses[code[rare]] > 1)]
-    listed = code[kept]
     first = np.searchsorted(owner[kept], np.arange(len(blobs) + 1))
+    # the members listed under each prefix shingle, and the place of each entry in its list
+    by = np.lexsort((owner[kept], code[kept]))
+    members, codes = owner[kept][by], code[kept][by]
+    place, begin = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+    place[by], begin[by] = np.arange(len(by)), np.searchsorted(codes, codes)
 
     def linked(i: int, j: int) -> bool:
         if 100 * min(sizes[i], sizes[j]) < PERCENT * max(sizes[i], sizes[j]):
             return False
         return bool(links(sizes[j], sizes[i], len(np.intersect1d(blobs[i], blobs[j], assume_unique=True))))
 
-    forest, lists = _Forest(len(blobs)), {}
+    label = np.arange(len(blobs))  # each member's component: its smallest member
+
+    def join(i: int, others: np.ndarray) -> None:
+        met = np.unique(np.append(label[others], label[i]))
+        if len(met) > 1:
+            label[np.isin(label, met)] = met[0]
+
     postings = None
     if len(blobs) > MANY:  # groups of near copies come together by a few members
-        postings, centres = Postings(blobs), 0
-        for i in range(len(blobs)):
-            if forest.root(i) == i and centres < CENTRES:
-                centres += 1
-                for j in postings.linked(blobs[i]).tolist():
-                    forest.join(i, j)
+        postings = Postings(blobs)
+        for i in range(MANY):
+            if not label.any():
+                break
+            join(i, postings.linked(blobs[i]))
     for i in range(len(blobs)):
-        own = [int(c) for c in listed[first[i]: first[i + 1]]]
-        apart = []  # (component, members) listed under a shared prefix shingle, of other components
-        for c in own:
-            groups = lists.setdefault(c, {})
-            for g in [g for g in groups if forest.root(g) != g]:  # components that have grown together
-                groups.setdefault(forest.root(g), []).extend(groups.pop(g))
-            mine = forest.root(i)
-            apart += [(g, members) for g, members in groups.items() if g != mine]
-        if sum(len(members) for _, members in apart) > MANY:  # count the shingles shared with all members at once
+        if i % MANY == 0 and not label.any():  # all are one component
+            break
+        mine = slice(first[i], first[i + 1])
+        before = members[ranges(begin[mine], place[mine] - begin[mine])]
+        apart = before[label[before] != label[i]]
+        if len(apart) > MANY:  # count the shingles shared with all members at once
             postings = postings or Postings(blobs)
-            found = postings.linked(blobs[i])
-            for j in found.tolist():
-                forest.join(i, j)
+            join(i, postings.linked(blobs[i]))
         else:
-            tried = set()
-            for g, members in apart:
-                for j in members:
-                    if j not in tried and forest.root(i) != forest.root(g) and linked(i, j):
-                        forest.join(i, j)
-                    tried.add(j)
-        for c in own:
-            lists[c].setdefault(forest.root(i), []).append(i)
+            for j in np.unique(apart).tolist():
+                if label[j] != label[i] and linked(i, j):
+                    join(i, np.array([j]))
     out = np.empty_like(rows)
-    out[order] = rows[order][[forest.root(i) for i in range(len(blobs))]]
+    out[order] = rows[order][label]
     return out
 
 
