@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, div_round, from_cents, pct
-from quillmart.plans.joins import lookup_join
+from quillmart.operators.marts import product_rollup
+from quillmart.plans.joins import dim_column, lookup_join
 
 
 def _month_index(c: str):
@@ -25,14 +26,11 @@ def sales_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     index (exactly 1 and 12 months back, NULL when that month had no sales):
     one shuffle on the series keys, no self-join.
     """
-    f = fact.select("order_date", "product_key", "territory_key", "final_net_revenue", "net_units")
-    f = lookup_join(f, dims["product"].select("product_key", "product_line"), "product_key")
-    f = lookup_join(f, dims["territory"].select("territory_key", "territory_name"), "territory_key")
-    g = f.groupBy(F.trunc("order_date", "month").alias("revenue_month"), "product_line",
-                  "territory_name").agg(
-        F.sum("final_net_revenue").cast(MONEY).alias("revenue"),
-        F.sum("net_units").cast("bigint").alias("units"),
-    )
+    territory = dim_column(fact, "territory")
+    f = lookup_join(fact, dims["territory"].select(territory, "territory_name"), territory)
+    g = product_rollup(f, dims["product"], ("product_line",),
+                       {"revenue_month": F.trunc("order_date", "month"), "territory_name": F.col("territory_name")},
+                       {"final_net_revenue": "revenue", "net_units": "units"})
     g = g.withColumn("_mi", _month_index("revenue_month"))
     w = Window.partitionBy("product_line", "territory_name").orderBy("_mi")
     pm = F.sum("revenue").over(w.rangeBetween(-1, -1))
@@ -50,13 +48,14 @@ def sales_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 # --------------------------------------------------------------------- A2
 def rep_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Revenue and quota attainment per (rep, year), ranked within region and year."""
-    f = fact.select("order_date", "rep_key", "final_net_revenue", "order_id")
-    g = f.groupBy("rep_key", F.year("order_date").cast("int").alias("year")).agg(
+    rep = dim_column(fact, "rep")
+    f = fact.select("order_date", rep, "final_net_revenue", "order_id")
+    g = f.groupBy(rep, F.year("order_date").cast("int").alias("year")).agg(
         F.sum("final_net_revenue").cast(MONEY).alias("revenue"),
         F.count("order_id").cast("bigint").alias("order_lines"),
     )
-    reps = dims["rep"].select("rep_key", "rep_id", "rep_name", "region", "annual_quota")
-    g = lookup_join(g, reps, "rep_key")
+    reps = dims["rep"].select(*dict.fromkeys((rep, "rep_id")), "rep_name", "region", "annual_quota")
+    g = lookup_join(g, reps, rep)
     q = F.col("annual_quota")
     g = g.select(
         "rep_id", "rep_name", "region", "year", "revenue", "order_lines", "annual_quota",
@@ -70,25 +69,26 @@ def rep_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 # --------------------------------------------------------------------- A3
 def territory_health(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Territory scorecard: revenue, customers, reps, average discount, returns."""
-    f = fact.select("territory_key", "customer_key", "rep_key", "final_net_revenue",
+    territory, customer, rep = (dim_column(fact, d) for d in ("territory", "customer", "rep"))
+    f = fact.select(F.col(territory).alias("_t"), F.col(customer).alias("_c"), F.col(rep).alias("_r"), "final_net_revenue",
                     "units_sold", "units_returned", "discount_pct")
     # Two steps instead of two distinct counts: those would multiply the fact's rows (Expand).
-    pairs = f.groupBy("territory_key", "customer_key", "rep_key").agg(
-        F.sum("final_net_revenue").alias("revenue"), F.count("*").alias("order_lines"),
+    pairs = f.groupBy("_t", "_c", "_r").agg(
+        F.sum(cents("final_net_revenue")).alias("revenue"), F.count("*").alias("order_lines"),
         F.sum(F.round(F.col("discount_pct") * 1_000_000, 0).cast("bigint")).alias("_disc_u"),
         F.count("discount_pct").alias("_disc_n"),
         F.sum("units_sold").alias("units_sold"), F.sum("units_returned").alias("units_returned"))
     sums = [F.sum(c).alias(c) for c in ("revenue", "order_lines", "_disc_u", "_disc_n", "units_sold", "units_returned")]
-    first = F.count("customer_key").alias("customers")
-    by_rep = pairs.groupBy("territory_key", "rep_key").agg(F.count(F.lit(1)).alias("_n"))
-    by_customer = pairs.groupBy("territory_key", "customer_key").agg(*sums).groupBy("territory_key").agg(first, *sums)
-    reps = by_rep.groupBy(F.col("territory_key").alias("_t")).agg(F.count("rep_key").alias("reps"))
-    g = by_customer.join(reps, F.col("territory_key").eqNullSafe(F.col("_t")), "left").select(
-        "territory_key", F.col("revenue").cast(MONEY).alias("revenue"),
+    first = F.count("_c").alias("customers")
+    by_rep = pairs.groupBy("_t", "_r").agg(F.count(F.lit(1)).alias("_n"))
+    by_customer = pairs.groupBy("_t", "_c").agg(*sums).groupBy("_t").agg(first, *sums)
+    reps = by_rep.groupBy(F.col("_t").alias("_u")).agg(F.count("_r").alias("reps"))
+    g = by_customer.join(reps, F.col("_t").eqNullSafe(F.col("_u")), "left").select(
+        F.col("_t").alias(territory), from_cents(F.col("revenue"), wide=True).alias("revenue"),
         *(F.col(c).cast("bigint").alias(c) for c in ("customers", "reps", "order_lines", "_disc_u", "_disc_n",
                                                       "units_sold", "units_returned")))
-    t = dims["territory"].select("territory_key", "territory_id", "territory_name", "region", "zone")
-    g = lookup_join(g, t, "territory_key")
+    t = dims["territory"].select(*dict.fromkeys((territory, "territory_id")), "territory_name", "region", "zone")
+    g = lookup_join(g, t, territory)
     return g.select(
         "territory_id", "territory_name", "region", "zone", "revenue", "customers", "reps",
         "order_lines",
@@ -157,11 +157,11 @@ def seasonality_index(actuals: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- A7
 def dedupe_latest(df: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
     """Keep, per key, the row that is last by ``order_by`` (ties broken by the
-    remaining columns). An aggregation (``max_by``) rather than a row_number
+    remaining columns). An aggregation (``max``) rather than a row_number
     window: partial aggregation runs map-side, so a key with many copies is
     reduced before the shuffle and never lands whole in one task.
     """
     rest = [c for c in df.columns if c not in key and c not in order_by]
-    ordering = F.struct(*[F.col(c) for c in order_by + rest])
-    latest = F.max_by(F.struct(*[F.col(c) for c in df.columns]), ordering)
-    return df.groupBy(*key).agg(latest.alias("_r")).select("_r.*")
+    latest = F.max(F.struct(*[F.col(c) for c in order_by + rest]))  # with the key: every column once
+    return df.groupBy(*key).agg(latest.alias("_r")).select(
+        *[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])

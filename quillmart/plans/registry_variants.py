@@ -52,7 +52,7 @@ SELECT dc.customer_id, dc.account_name, dc.segment, dc.tier, dc.region, dc.is_ac
 FROM dim_customer dc LEFT JOIN cm_run r ON dc.customer_id = r.customer_id""", _CM))
 def q_customer_months(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return M.customer_months(w.fact_sales, w.fact_mrr, w.dims["customer"], as_of=w.as_of)
+    return M.customer_months(w.sales, w.fact_mrr, w.dims["customer"], as_of=w.as_of)
 
 
 _CB = {
