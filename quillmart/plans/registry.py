@@ -52,6 +52,14 @@ def use_warehouse(w: Warehouse) -> None:
     held.update({k: w for k in held if k[0] == w.sf_dir})
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder once, for a query that reads it several times."""
+    from quillmart.session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ------------------------------------------------------------- staging
 def _stg(name: str):
     def fn(spark, sf_dir):
@@ -378,9 +386,11 @@ UNION ALL
 SELECT *, CAST(NULL AS TIMESTAMP) AS _updated_at FROM up_new""", _UP))
 def q_forecast_upsert(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    old = FC.forecast_linear(w.series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
-    existing = w.actuals.unionByName(old, allowMissingColumns=True)
-    return FC.upsert_forecast(existing, FC.forecast_linear(w.series))
+    actuals = _written(spark, w.actuals, "actuals")
+    series = _written(spark, FC.monthly_series(actuals), "series")
+    old = FC.forecast_linear(series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
+    existing = actuals.unionByName(old, allowMissingColumns=True)
+    return FC.upsert_forecast(existing, FC.forecast_linear(series))
 
 
 @register("forecast_table", ORACLE["forecast_upsert"])
@@ -390,9 +400,11 @@ def q_forecast_table(spark, sf_dir):
     from quillmart.sources.versions import VersionedTable
     w = _wh(spark, sf_dir)
     path = scratch_path(spark, "forecast-table")
-    VersionedTable(spark, path).replace(w.actuals)
-    old = FC.forecast_linear(w.series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
-    for forecast in (old, FC.forecast_linear(w.series), FC.forecast_linear(w.series), old.limit(0)):
+    table = VersionedTable(spark, path)
+    table.replace(w.actuals)
+    series = _written(spark, FC.monthly_series(table.read()), "series")  # of the actuals as written
+    old = FC.forecast_linear(series.where(F.col("revenue_month") < F.lit(UPSERT_OLD_CUTOFF).cast("date")))
+    for forecast in (old, FC.forecast_linear(series), FC.forecast_linear(series), old.limit(0)):
         FC.write_forecast(spark, path, forecast)
     return FC.read_forecast(spark, path)
 
@@ -683,7 +695,7 @@ LEFT JOIN ss_g py ON {_same_series('py', 'g')}
                  AND py.revenue_month = CAST(g.revenue_month - INTERVAL 12 MONTH AS DATE)""", _SS))
 def q_sales_summary(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return RP.sales_summary(w.fact_sales, w.dims)
+    return RP.sales_summary(w.sales, w.dims)
 
 
 @register("rep_performance", O.sql_for(f"""
@@ -698,7 +710,7 @@ FROM (SELECT rep_key, CAST(year(order_date) AS INTEGER) AS year,
 LEFT JOIN dim_rep r ON g.rep_key = r.rep_key"""))
 def q_rep_performance(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return RP.rep_performance(w.fact_sales, w.dims)
+    return RP.rep_performance(w.sales, w.dims)
 
 
 @register("territory_health", O.sql_for(f"""
@@ -721,7 +733,7 @@ FROM (SELECT territory_key,
 LEFT JOIN dim_territory t ON g.territory_key = t.territory_key"""))
 def q_territory_health(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return RP.territory_health(w.fact_sales, w.dims)
+    return RP.territory_health(w.sales, w.dims)
 
 
 @register("returns_by_reason", O.sql_for(f"""
@@ -980,7 +992,8 @@ def q_export_roundtrip(spark, sf_dir):
     from quillmart.sources.export import export_all
     w = _wh(spark, sf_dir)
     marts = {m: QUERIES[q](spark, sf_dir) for m, q in _EXPORTED.items()}
-    marts["mart_forecast"] = FC.upsert_forecast(w.actuals, FC.forecast_linear(w.series))
+    actuals = _written(spark, w.actuals, "actuals")
+    marts["mart_forecast"] = FC.upsert_forecast(actuals, FC.forecast_linear(FC.monthly_series(actuals)))
     res = export_all(marts, scratch_path(spark, "export"), dt.date(2001, 1, 1))
     if res["failed"]:
         raise RuntimeError(f"export failed: {res['failed']}")
