@@ -112,7 +112,7 @@ class TokenLedger:
         last = (changes.groupBy(*KEYS).agg(F.max(F.struct(
             "seq", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "op", "source", "lang")).alias("c"))
             .select(*KEYS, "c.source", "c.lang", "c.n_tokens", (F.col("c.op") == "delete").alias("gone"), bucket))
-        incoming = self._written(last, BUCKET)
+        incoming = self._written(last.hint("rebalance", BUCKET), BUCKET)  # else every task writes a file per bucket
         touched = self._buckets_in(incoming)
         info = {"batches": [*now.info.get("batches", []), int(batch_id)]}
         if not touched:
