@@ -65,6 +65,9 @@ def fact_sales(orders: DataFrame, returns: DataFrame, dims: dict[str, DataFrame]
     )
 
 
+REVENUE = ("mr_net_revenue", "mr_units_sold")
+
+
 def monthly_product_revenue(orders: DataFrame) -> DataFrame:
     """Revenue before returns and units per (month, product)."""
     return (orders.groupBy(F.trunc("order_date", "month").alias("revenue_month"), "product_id")
@@ -76,13 +79,14 @@ def fact_cogs(costs: DataFrame, orders: DataFrame, dims: dict[str, DataFrame],
               product_months: DataFrame | None = None) -> DataFrame:
     """Product × cost month; cost rows are preserved, months without cost vanish.
 
-    ``product_months``: ``monthly_product_revenue`` of ``orders`` where it is already written.
+    ``product_months``: ``monthly_product_revenue`` of ``orders`` where it is already written. Costs
+    that carry that revenue themselves are joined to none.
     """
     f = calendar_join(costs, dims["date"], _date_keys(dims["date"], "cost_month"), "cost_month")
     f = lookup_join(f, dims["product"].select("product_id", "product_key"), "product_id")
-    mr = product_months if product_months is not None else monthly_product_revenue(orders)
-    mr = mr.withColumnRenamed("revenue_month", "cost_month")
-    f = f.join(mr, ["cost_month", "product_id"], "left")
+    if not set(REVENUE) <= set(costs.columns):
+        mr = product_months if product_months is not None else monthly_product_revenue(orders)
+        f = f.join(mr.withColumnRenamed("revenue_month", "cost_month"), ["cost_month", "product_id"], "left")
     units = F.coalesce(F.col("mr_units_sold"), F.lit(0).cast("bigint"))
     rev = F.coalesce(F.col("mr_net_revenue"), F.lit(0).cast(MONEY))
     cogs = (F.col("actual_cost") * units).cast(MONEY)

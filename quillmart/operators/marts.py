@@ -123,10 +123,10 @@ def cogs_margin(fact_cogs: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """
     dd = dims["date"].select("date_key", "year", "quarter", "month_num", "month_name", "year_month",
                              "year_quarter", "fiscal_year", "fiscal_quarter", "is_current_month")
-    dp = dims["product"].select("product_key", "product_code", "product_name", "therapeutic_area",
+    dp = dims["product"].select(dim_column(fact_cogs, "product"), "product_code", "product_name", "therapeutic_area",
                                 "product_line", "value_tier")
     f = calendar_join(fact_cogs, dims["date"], dd, "date_key")
-    f = lookup_join(f, dp, "product_key")
+    f = lookup_join(f, dp, dim_column(fact_cogs, "product"))  # by id: rows lie by it already, for the window too
     w = Window.partitionBy("product_id").orderBy(F.col("cost_month").asc_nulls_last())
     frame = w.rowsBetween(-2, 0)
     gm_c = cents("gross_margin_pct")

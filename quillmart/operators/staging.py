@@ -91,8 +91,8 @@ def stage_reps(raw: DataFrame, loaded_at=None) -> DataFrame:
     ).where(F.col("rep_id").isNotNull())
 
 
-def stage_costs(raw: DataFrame, loaded_at=None) -> DataFrame:
-    """Adds cost_variance and cost_variance_pct (NULL when the standard is 0)."""
+def stage_costs(raw: DataFrame, loaded_at=None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Adds cost_variance and cost_variance_pct (NULL when the standard is 0); columns ``carry`` stay."""
     std = F.col("standard_cost").cast(MONEY14)
     act = F.col("actual_cost").cast(MONEY14)
     diff_c = cents(act) - cents(std)
@@ -104,6 +104,7 @@ def stage_costs(raw: DataFrame, loaded_at=None) -> DataFrame:
         (act - std).cast(MONEY).alias("cost_variance"),
         ratio(diff_c, cents(std), scale=4, times=100).alias("cost_variance_pct"),
         _ts(loaded_at).alias("_loaded_at"),
+        *carry,
     ).where(F.col("cost_id").isNotNull())
 
 

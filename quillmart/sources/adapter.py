@@ -43,6 +43,7 @@ QUOTA_BASE_CENTS = 80_000_000   # 800,000.00
 QUOTA_PER_BALANCE = 200
 COST_SWING_MOD = 17             # actual cost = standard × (92 .. 108) %
 COST_SWING_OFFSET = 8
+RETURNED = "R"                  # flag of the lines that have a return
 
 
 def _d(x: dt.date):
@@ -187,7 +188,7 @@ def orders(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) ->
 
 def returns(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     j = lines if lines is not None else order_lines(spark, sf_dir)
-    return j.where(F.col("l_returnflag") == "R").select(
+    return j.where(F.col("l_returnflag") == RETURNED).select(
         F.concat(F.lit("R-"), F.col("order_id")).alias("return_id"),
         "order_id",
         F.date_add("order_date", (F.col("l_linenumber") + 1).cast("int")).alias("return_date"),
@@ -197,13 +198,16 @@ def returns(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) ->
 
 
 def costs(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None,
-          products_df: DataFrame | None = None) -> DataFrame:
-    """One cost row per (product, month with sales); actual swings ±8 % around standard."""
-    o = orders_df if orders_df is not None else orders(spark, sf_dir)
+          products_df: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
+    """One cost row per (product, month with sales); actual swings ±8 % around standard.
+
+    ``months``: a row per product and ``cost_month`` with sales where that is at hand; its other columns stay.
+    """
+    if months is None:
+        o = orders_df if orders_df is not None else orders(spark, sf_dir)
+        months = o.select("product_id", F.trunc("order_date", "month").alias("cost_month")).distinct()
     p = products_df if products_df is not None else products(spark, sf_dir)
-    pm = (o.select("product_id", F.trunc("order_date", "month").alias("cost_month"))
-          .where(F.col("product_id").isNotNull() & F.col("cost_month").isNotNull())
-          .distinct())
+    pm = months.where(F.col("product_id").isNotNull() & F.col("cost_month").isNotNull())
     pm = pm.join(p.select("product_id", "unit_cost_standard"), "product_id", "left")
     m = F.year("cost_month") * 12 + F.month("cost_month")
     swing = 100 + (F.col("product_id") * 31 + m) % COST_SWING_MOD - COST_SWING_OFFSET
@@ -215,6 +219,7 @@ def costs(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None = None,
         "cost_month",
         F.col("unit_cost_standard").alias("standard_cost"),
         from_cents(div_round(std_c * swing, F.lit(100))).cast("decimal(14,2)").alias("actual_cost"),
+        *[c for c in months.columns if c not in ("product_id", "cost_month")],
     )
 
 
