@@ -35,6 +35,7 @@ from quillmart.sources.versions import Versions
 
 CSV_FORM = {"header": "true", "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"',
          "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+FILE_RECORDS = 500_000  # of a file that is written: files of one split are read without a copy
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+\.csv(/|$)"
 
 
@@ -133,10 +134,10 @@ def write_daily(df: DataFrame, raw_dir: str, table: str, date_col: str, grain: s
     """
     day = F.col(date_col).cast("date")
     part = F.trunc(day, "month") if grain == "month" else day
-    out = df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table] if c in df.columns],
-                    part.alias("load_date"))
-    (out.hint("rebalance", "load_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("load_date")
+    columns = [c for c in RAW_COLUMNS[table] if c in df.columns]
+    dealt = df.select(*columns, part.alias("load_date")).hint("rebalance", "load_date")  # typed rows are narrower than text
+    (dealt.select(*[F.col(c).cast("string").alias(c) for c in columns], "load_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_RECORDS).partitionBy("load_date")
      .options(**CSV_FORM).csv(os.path.join(raw_dir, table)))
 
 

@@ -42,6 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HEADER_BYTES = 1 << 16
 HEADER_READERS = 16
+CORES_MORE = 4
 QUOTES = re.compile(r'"+')
 # Kinds of rows that a split gives: a record, a bad record, fragments, and the split's report.
 RECORD, BAD, HEAD, WHOLE, TAIL, REPORT = range(6)
@@ -204,9 +205,30 @@ def _splits(lines: DataFrame, wanted: list[str], columns: list[str] | None, know
     return lines.mapInArrow(apply, ", ".join(f"`{c}` string" for c in wanted) + ", " + EXTRA)
 
 
-def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, files: list[str], uncut: bool = False) -> DataFrame:
+    """Lines with file and block; with ``uncut``, a file that comes in several splits ends the read."""
+    block = F.col("_metadata.file_block_start")
+    if uncut:
+        block = F.when(F.col("_metadata.file_block_length") == F.col("_metadata.file_size"), block).otherwise(F.raise_error(
+            F.lit("a file was split that is meant to be read whole: set spark.sql.files.minPartitionNum")))
     return spark.read.option("lineSep", "\n").text(files).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        "value", F.col("_metadata.file_path").alias("file"), block.alias("block"))
+
+
+def uncut_bytes(spark: SparkSession, lengths: list[int]) -> int:
+    """Length up to which files are read in one split if those up to it are read together.
+
+    Spark cuts at maxPartitionBytes, or at a core's share of all bytes where that is less; ``CORES_MORE`` times the
+    cores that there are now are allowed for. Never under what Spark opens a file for.
+    """
+    least, most = (_bytes(spark, f"spark.sql.files.{k}") for k in ("openCostInBytes", "maxPartitionBytes"))
+    cores = CORES_MORE * int(spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism)
+    while True:
+        together = [n for n in lengths if n <= most]
+        bound = min(most, max(least, sum(together) // cores))
+        if bound == most:
+            return most
+        most = bound
 
 
 def true_starts(rows: DataFrame) -> DataFrame:
@@ -269,12 +291,12 @@ def _joined_fragments(rows: DataFrame, wanted: list[str], columns: list[str]) ->
 def scan(spark: SparkSession, files: list[tuple[str, int]], wanted: list[str]) -> DataFrame:
     """``wanted`` columns as text by name (missing ones null), ``_file``, and for bad records
     ``_text`` and ``_reason`` (null otherwise)."""
-    one_split = min(_bytes(spark, "spark.sql.files.openCostInBytes"), _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    one_split = uncut_bytes(spark, [n for _, n in files])
     small = [f for f, n in files if n <= one_split]
     large = [f for f, n in files if n > one_split]
     parts = []
     if small:
-        rows = _splits(_lines(spark, small), wanted, None)
+        rows = _splits(_lines(spark, small, uncut=True), wanted, None)
         unended = F.when(F.col("_kind") == TAIL, F.lit("a quote never ends")).otherwise(F.col("_reason"))
         parts.append(rows.where(F.col("_kind").isin(RECORD, BAD, TAIL)).withColumn("_reason", unended))
     if large:

@@ -8,6 +8,9 @@ and nothing vanishes: every record read is either clean or rejected.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,16 +22,16 @@ _ERROR = "array<struct<column:string,value:string,reason:string>>"
 def checked(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns of ``schema`` (null where a value can't be cast), ``_errors`` and ``_record``, from
     text columns with ``_file``, ``_text`` and ``_reason`` (null for whole records); other columns stay."""
-    typed, errors = [], []
-    for f in schema.fields:
-        text = F.col(f"`{f.name}`")
+    cast, typed, wrong, errors = [], [], [F.col("_reason").isNotNull()], []
+    for i, f in enumerate(schema.fields):
+        text, value = F.col(f"`{f.name}`"), F.col(f"_typed{i}")
         if isinstance(f.dataType, T.StringType):
             typed.append(text)
             continue
-        value = F.nullif(F.trim(text), F.lit(""))
-        cast = value.try_cast(f.dataType)
-        typed.append(cast.alias(f.name))
-        errors.append(F.when(value.isNotNull() & cast.isNull(), F.struct(
+        cast.append(F.nullif(F.trim(text), F.lit("")).try_cast(f.dataType).alias(f"_typed{i}"))
+        typed.append(value.alias(f.name))
+        wrong.append(value.isNull() & text.isNotNull() & (F.trim(text) != ""))
+        errors.append(F.when(wrong[-1], F.struct(
             F.lit(f.name).alias("column"), text.alias("value"),
             F.lit(f"not a value of type {f.dataType.simpleString()}").alias("reason"))))
     broken = F.when(F.col("_reason").isNotNull(), F.struct(
@@ -37,7 +40,11 @@ def checked(rows: DataFrame, schema: T.StructType) -> DataFrame:
     record = F.coalesce("_text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])))
     rest = [c for c in rows.columns if c not in {*names, "_text", "_reason"}]
     found = F.array_compact(F.array(broken, *errors)).cast(_ERROR)
-    return rows.select(*typed, *rest, found.alias("_errors"), F.when(F.size(found) > 0, record).alias("_record"))
+    # Each value is cast once, in a projection of its own; errors and record are built for wrong rows only.
+    flagged = rows.select("*", *cast).select("*", functools.reduce(operator.or_, wrong).alias("_wrong"))
+    none = F.array().cast(_ERROR)
+    return flagged.select(*typed, *rest, F.when(F.col("_wrong"), found).otherwise(none).alias("_errors"),
+                          F.when(F.col("_wrong"), record).alias("_record"))
 
 
 def clean(rows: DataFrame) -> DataFrame:
