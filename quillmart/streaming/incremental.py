@@ -34,7 +34,7 @@ def stream_increment(spark: SparkSession, source_dir: str, sink_dir: str, checkp
     stream = incremental(stream, watermark, col)
     if transform is not None:
         stream = transform(stream)
-    q = (stream.writeStream.format("parquet")
+    q = (stream.writeStream.format("parquet").option("compression", "zstd")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start(sink_dir))
