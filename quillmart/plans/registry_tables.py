@@ -82,7 +82,7 @@ def q_load_dirty(spark, sf_dir):
                            F.when(F.col("product_id") % 11 == 0, F.concat(F.year("order_date").cast("string"), F.lit("-13-40")))
                            .otherwise(F.col("order_date").cast("string")).alias("order_date"))
     raw = scratch_path(spark, "raw")
-    spoilt.write.options(**CI.CSV_FORM).csv(os.path.join(raw, "orders.csv"))
+    spoilt.write.options(**CI.CSV_FORM, maxRecordsPerFile=CI.FILE_RECORDS).csv(os.path.join(raw, "orders.csv"))
     clean, rejects = CI.load_checked(spark, os.path.join(raw, "orders.csv"), "orders", orders.schema)
     bad = rejects.select(F.get_json_object("record", "$.order_id").alias("order_id"), F.col("column").alias("bad_column"),
                          F.col("value").alias("bad_value"), "reason")
@@ -105,7 +105,7 @@ def q_incremental_merge(spark, sf_dir):
     table = KeyedTable(spark, os.path.join(base, "table"), ["order_id"], ["_loaded_at"], buckets=16)
     first = F.col("_loaded_at") <= F.lit(RUN_TS_LIT).cast("timestamp_ntz")
     for part in (rows.where(first), rows.where(~first)):
-        part.write.mode("append").parquet(os.path.join(base, "drops"))
+        part.write.mode("append").option("compression", "zstd").parquet(os.path.join(base, "drops"))
         merge_stream(table, os.path.join(base, "drops"), os.path.join(base, "checkpoint"), rows.schema)
     return table.read()
 

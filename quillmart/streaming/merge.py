@@ -32,27 +32,29 @@ class KeyedTable(VersionedTable):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def merge(self, batch: DataFrame, batch_id: int | None = None) -> list[int]:
-        """Merge ``batch``; the buckets written (none for a batch that is empty or merged before)."""
+        """Merge ``batch``; the buckets written (none for a batch that is empty or merged before).
+
+        The batch is read twice, first its keys and then its rows, so it must give the same rows again.
+        """
         now = self.current()
         if batch_id is not None and now.info.get("batch_id", -1) >= batch_id:
             return []
-        incoming = f"{self.path}/{self.new_folder()}"
-        batch.withColumn(BUCKET, self.bucket()).write.partitionBy(BUCKET).parquet(incoming)
-        folder = self._new(incoming)
-        touched = sorted(int(s.getPath().getName().split("=")[1]) for s in self.fs.listStatus(folder) if s.isDirectory())
+        touched = sorted(r[0] for r in batch.select(self.bucket()).distinct().collect())  # buckets at most
         if touched:
-            new = self.spark.read.schema(T.StructType([*batch.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(incoming)
             held = self.read(now, {str(b) for b in touched})
-            both = new if held is None else new.unionByName(held.withColumn(BUCKET, self.bucket()))
+            both = batch if held is None else batch.unionByName(held)
             merged = self.new_folder()
-            (dedupe_latest(both, [BUCKET, *self.keys], self.order).hint("rebalance", BUCKET)
-             .write.partitionBy(BUCKET).parquet(f"{self.path}/{merged}"))
+            # Rows are written where the dedupe has put them: they move once.
+            (dedupe_latest(both.withColumn(BUCKET, self.bucket()), [BUCKET, *self.keys], self.order)
+             .write.option("compression", "zstd").partitionBy(BUCKET).parquet(f"{self.path}/{merged}"))
+            found = [s.getPath().getName().split("=")[1] for s in self.fs.listStatus(self._new(f"{self.path}/{merged}")) if s.isDirectory()]
+            if sorted(map(int, found)) != touched:
+                raise RuntimeError(f"the batch gave other rows when it was read again: buckets {touched}, then {found}")
             folders = now.folders | {str(b): f"{merged}/{BUCKET}={b}" for b in touched}
             schema = now.schema or batch.schema.json()
             if T.StructType.fromJson(json.loads(schema)).names != batch.columns:
                 raise ValueError(f"columns {batch.columns} differ from the table's")
             self.commit(now, folders, schema, batch_id=now.info.get("batch_id", -1) if batch_id is None else batch_id)
-        self.fs.delete(folder, True)
         return touched
 
 
