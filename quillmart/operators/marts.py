@@ -9,12 +9,15 @@ the number of orders behind it.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.functions.exact import MONEY, cents, div_round, from_cents, pct, sum_money
-from quillmart.plans.joins import HOME, calendar_join, dim_column, is_broadcast, lookup_join, order_key
+from quillmart.plans.joins import (
+    HOME, calendar_join, dim_column, is_broadcast, lookup_join, near_lookup, order_key)
 
 
 def _lit_date(d: dt.date):
@@ -83,8 +86,12 @@ def customer_rollup(fact: DataFrame, dim_customer: DataFrame, month: str, latest
 
 
 # --------------------------------------------------------------------- R1
-def sales_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Order-line mart: the fact joined to all five dimensions (star join)."""
+def sales_performance(fact: DataFrame, dims: dict[str, DataFrame],
+                      used: Mapping[str, DataFrame] = MappingProxyType({})) -> DataFrame:
+    """Order-line mart: the fact joined to all five dimensions (star join).
+
+    ``used``: cheaper frames with all pairs of the fact's ``HOME`` and an id.
+    """
     dd = dims["date"].select("date_key", "year", "quarter", "month_num", "month_name", "year_month",
                              "year_quarter", "fiscal_year", "fiscal_quarter", "is_current_month",
                              "is_actual")
@@ -100,7 +107,7 @@ def sales_performance(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     f = fact
     for dim, columns in (("product", dp), ("customer", dc), ("rep", dr), ("territory", dt_)):
         on = dim_column(fact, dim)
-        f = lookup_join(f, columns, on)
+        f = near_lookup(f, columns, on, used.get(on))
     f = calendar_join(f, dims["date"], dd, "date_key")  # last: its columns need not be moved
     return f.select(
         "order_id", "order_date", "year", "quarter", "month_num", "month_name", "year_month",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quillmart.plans import joins as J
 from quillmart.plans.joins import HOME
+from quillmart.plans.registry import QUERIES
 from quillmart.plans.warehouse import Warehouse
 from quillmart.sources import adapter
 
@@ -28,15 +29,23 @@ def rows(df, *columns):
     return sorted(map(str, df.select(*columns).collect()))
 
 
-def test_fact_rows_move_once(spark, no_broadcast):
-    """Before: by order key and by order id."""
+def test_fact_and_mart_rows_move_once(spark, no_broadcast):
+    """Before: by order key, by order id, and by each dimension."""
     w = Warehouse(spark, SF)
-    for df in (w.fact_sales,):
+    for df in (w.fact_sales, w.sales_performance()):
         assert not [k for k in moved_by(df) if "order_id" in k or k.startswith(HOME) and k.count(",") > 1]
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet [l_orderkey") + plan.count("o_orderkey") > 0 and "Window [collect_list(_right" in plan
 
 
+def test_mart_equals_the_broadcast_one(spark, no_broadcast):
+    lazy = Warehouse(spark, SF).sales_performance()
+    assert "_right" in lazy._jdf.queryExecution().analyzed().toString()
+    got = sorted(map(str, lazy.collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(str, QUERIES["sales_performance"](spark, SF).collect()))
+
+
 def test_near_lookup_equals_the_plain_join(spark, no_broadcast):
     left = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (1, 11, "c"), (2, 12, "d"), (2, None, "e"), (3, 10, "f")],
                                  f"{HOME} long, product_id long, v string")
