@@ -8,6 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillmart.session import release_shuffles
+
 # The most rows and bytes of a Parquet row group.
 ROW_GROUP_ROWS = 100_000
 ROW_GROUP_BYTES = 128 * 1024 * 1024
@@ -41,6 +43,7 @@ def export_table(df: DataFrame, export_dir: str, name: str, stringify: bool = Fa
      .option("parquet.block.size", ROW_GROUP_BYTES)
      .option("parquet.block.row.count.limit", row_group_rows)
      .parquet(path))
+    release_shuffles(df.sparkSession)
     return path
 
 
