@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quillmart.plans import oracle as O
 from quillmart.plans.registry import _DELIV, _EXPORTED, _HASHED, ORACLE, _hash_sql, _hashes, _wh, register
-from quillmart.session import scratch_path
+from quillmart.session import release_shuffles, scratch_path
 
 
 # ------------------------------------------------------------------ layers
@@ -106,7 +106,9 @@ def q_incremental_merge(spark, sf_dir):
     first = F.col("_loaded_at") <= F.lit(RUN_TS_LIT).cast("timestamp_ntz")
     for part in (rows.where(first), rows.where(~first)):
         part.write.mode("append").option("compression", "zstd").parquet(os.path.join(base, "drops"))
+        release_shuffles(spark)
         merge_stream(table, os.path.join(base, "drops"), os.path.join(base, "checkpoint"), rows.schema)
+    table.vacuum()  # the first merge's state, which the second has replaced
     return table.read()
 
 

@@ -25,3 +25,34 @@ def test_export_releases_shuffle_files_after_each_mart(spark, tmp_path):
 
     done = export_all(Watched(marts), str(tmp_path), dt.date(2001, 1, 1))
     assert len(done["ok"]) == 4 and max(found) <= 2  # before: 4 and more after three marts
+
+
+def test_merge_moves_parts_of_its_buckets(spark, tmp_path, monkeypatch):
+    from quillmart.streaming import merge
+    monkeypatch.setattr(merge, "PART_ROWS", 40)
+    released = []
+    monkeypatch.setattr(merge, "release_shuffles", released.append)
+    table = merge.KeyedTable(spark, str(tmp_path / "t"), ["id"], ["at"], buckets=8)
+    rows = "id long, v string, at int"
+    assert table.merge(spark.createDataFrame([(i, "a", 1) for i in range(100)] + [(None, "n", 1)], rows), 0) == list(range(8))
+    first = len(released)
+    table.merge(spark.createDataFrame([(i, "b", 2 if i % 3 else 0) for i in range(100)] + [(200, "c", 1)], rows), 1)
+    assert first >= 3 and len(released) - first >= 6  # before: each merge moved all rows at once
+    got = {r["id"]: r["v"] for r in table.read().collect()}
+    assert len(got) == 102 == table.read().count()
+    assert got == {i: "b" if i % 3 else "a" for i in range(100)} | {None: "n", 200: "c"}
+
+
+def test_restated_orders_lie_beside_their_returns(spark):
+    from quillmart.plans.warehouse import Warehouse
+    rows = Warehouse(spark, "/root/testdata/sf0.001").order_deliveries
+    plan = rows.where("_loaded_at > TIMESTAMP_NTZ '2001-01-01 01:30:00'")._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(order_id" in line or "Exchange hashpartitioning(_home" in line and "order_id" in line]
+
+
+def test_merged_table_keeps_its_last_state_only(spark):
+    from quillmart.plans.registry import QUERIES
+    files = QUERIES["incremental_merge"](spark, "/root/testdata/sf0.001").inputFiles()
+    import os
+    table = files[0].removeprefix("file:").split("/data-")[0].replace("///", "/")
+    assert len([f for f in os.listdir(table) if f.startswith("data-")]) == 1  # before: 2
