@@ -76,3 +76,15 @@ def test_equal_order_ids_have_equal_homes(spark, tmp_path):
         spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
     found = adapter.order_lines(spark, str(tmp_path)).groupBy("order_id").agg(F.collect_set(HOME).alias("h"), F.count("*").alias("n")).collect()
     assert sorted((r["h"], r["n"]) for r in found) == [([0], 1), ([7], 2)]
+
+
+def test_written_sales_move_once_to_large_dimensions(spark, no_broadcast, tmp_path):
+    from quillmart.plans.catalog import materialize_silver
+    w = Warehouse(spark, SF)
+    catalog, _ = materialize_silver(w, str(tmp_path), buckets=3)
+    assert len(catalog.table("fact_sales").inputFiles()) <= 3  # a file per bucket: written as they lay
+    mart = w.sales_performance()
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [collect_list(_right") == 3 and not [k for k in moved_by(mart) if k.startswith(HOME) and k.count(",") > 1]
+    assert rows(mart, *mart.columns) == rows(Warehouse(spark, SF).sales_performance(), *mart.columns)
+    assert HOME not in w.fact_sales.columns
