@@ -88,3 +88,19 @@ def test_written_sales_move_once_to_large_dimensions(spark, no_broadcast, tmp_pa
     assert plan.count("Window [collect_list(_right") == 3 and not [k for k in moved_by(mart) if k.startswith(HOME) and k.count(",") > 1]
     assert rows(mart, *mart.columns) == rows(Warehouse(spark, SF).sales_performance(), *mart.columns)
     assert HOME not in w.fact_sales.columns
+
+
+def test_report_moves_no_dimension_columns_to_the_mart(spark, no_broadcast):
+    plan = QUERIES["dq_report"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "product_name#" not in plan and "manager_name#" not in plan
+
+
+def test_uniqueness_is_counted_where_rows_lie(spark):
+    from quillmart.operators import quality as QC
+    checks = [("order_id", "unique", None), ("sales_key", "unique", None), ("n", "not_null", None)]
+    df = spark.createDataFrame([(1, "a", "A", 1), (1, "a", "A", None), (2, "b", "B", 3), (3, None, None, 4), (4, None, None, 5)],
+                               f"{HOME} long, order_id string, sales_key string, n int")
+    for some in (checks, [checks[0], checks[2]]):
+        near = QC.dq_table(df.repartition(HOME), "t", some)
+        assert sorted(map(tuple, near.collect())) == sorted(map(tuple, QC.dq_table(df.drop(HOME), "t", some).collect()))
+        assert not [k for k in moved_by(near) if "value" in k]  # before: every value was moved
